@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, pii
-from ._spark import table
+from . import byte_bpe, chat, exact_dedup, media, packing, pii, quality, sharding, simhash, toxicity
+from ._spark import cut, table
 
 HOSTILE = "\\### Assistant: </turn> ok"
 
@@ -46,10 +48,51 @@ FROM rendered GROUP BY conv_id
 """
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.load(media.store(table(spark, sf_dir, "documents")))
+
+
+def _split(doc_id: str, modulus: int, held: int):
+    """True for the rows of the held-out fold."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == held
+
+
+def _judged(scored: DataFrame, modulus: int, held: int, threshold: float) -> DataFrame:
+    return scored.select("doc_id", _split("doc_id", modulus, held).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~_split("doc_id", 5, 0)))
+    return _judged(toxicity.score(docs, model), 5, 0, 0.5)
+
+
 def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    described = cut(quality.features(table(spark, sf_dir, "documents")))
+    model = quality.fit(described, table(spark, sf_dir, "labels").filter(~_split("doc_id", 4, 2)))
+    return _judged(quality.scores(described, model), 4, 2, 0.7)
+
+
+def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
@@ -64,11 +107,25 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op2_simhash_dedup": op2_simhash_dedup,
+        "op3_pack": op3_pack,
+        "op4_flac": op4_flac,
+        "op5_toxicity": op5_toxicity,
         "op6_private_data": op6_private_data,
+        "op7_quality": op7_quality,
+        "op8_hilbert_shards": op8_hilbert_shards,
+        "op9_byte_bpe": op9_byte_bpe,
         "op10_exact_dedup": op10_exact_dedup,
+        "pipeline": pipeline,
     }
 
 
