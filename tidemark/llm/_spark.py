@@ -45,3 +45,11 @@ def text_of(col: str | Column) -> Column:
 def lower_ascii(col: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(col, UPPER, LOWER)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A name that no column of df has, for joins that keep df's own columns."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name

@@ -83,17 +83,19 @@ def turn_digest(role: Column, text: Column) -> Column:
     return F.sha2(F.concat(role, F.lit("\n"), text, F.lit("\n")), 256)
 
 
-def format_turns(rows: DataFrame) -> DataFrame:
-    """Adds to rows (role, text) the first rendering that reparses to its source: rendered, level."""
-    source = F.array(F.struct(F.col("role"), F.col("text")))
+def render_at(role: Column, text: Column, level: Column) -> Column:
+    """One turn as text at the level that a column states."""
+    return F.when(level == 0, render(role, text, 0)).when(level == 1, render(role, text, 1)).otherwise(render(role, text, 2))
+
+
+def lowest_level(role: Column, text: Column) -> Column:
+    """The first level of escaping at which a turn reparses to its source."""
+    source = F.array(F.struct(role.alias("role"), text.alias("text")))
 
     def identical(level: int) -> Column:
-        return F.coalesce(parse(render(F.col("role"), F.col("text"), level)) == source, F.lit(False))
+        return F.coalesce(parse(render(role, text, level)) == source, F.lit(False))
 
-    level = F.when(identical(0), 0).when(identical(1), 1).otherwise(2)
-    leveled = rows.withColumn("level", level)
-    made = F.when(F.col("level") == 0, render(F.col("role"), F.col("text"), 0)).when(F.col("level") == 1, render(F.col("role"), F.col("text"), 1)).otherwise(render(F.col("role"), F.col("text"), 2))
-    return leveled.withColumn("rendered", made)
+    return F.when(identical(0), 0).when(identical(1), 1).otherwise(2)
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
@@ -103,19 +105,23 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     characters, and where its body starts and how long it is inside the turn), verified.
     """
     rows = conversations.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"))
-    made = format_turns(rows).select(
+    level = lowest_level(F.col("role"), F.col("text"))
+    digest = turn_digest(F.col("role"), F.col("text"))
+    made = rows.select("conv_id", F.struct("turn", "role", "text", level.alias("level"), digest.alias("digest")).alias("part"))
+    grouped = made.groupBy("conv_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    rendered = grouped.select(
         "conv_id",
-        F.struct(
-            "turn",
-            "role",
-            "rendered",
-            "level",
-            (F.length(_safe_role(F.col("role"))) + len(HEAD) + 3).alias("body_start"),
-            turn_digest(F.col("role"), F.col("text")).alias("digest"),
-        ).alias("part"),
+        F.transform(
+            "parts",
+            lambda p: F.struct(
+                render_at(p["role"], p["text"], p["level"]).alias("rendered"),
+                p["level"].alias("level"),
+                (F.length(_safe_role(p["role"])) + len(HEAD) + 3).alias("body_start"),
+                p["digest"].alias("digest"),
+            ),
+        ).alias("parts"),
     )
-    grouped = made.groupBy("conv_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    joined = grouped.select("conv_id", "parts", F.array_join(F.transform("parts", lambda p: p["rendered"]), "").alias("formatted"))
+    joined = rendered.select("conv_id", "parts", F.array_join(F.transform("parts", lambda p: p["rendered"]), "").alias("formatted"))
     parsed = joined.select("conv_id", "parts", "formatted", parse(F.col("formatted")).alias("turns"))
     same = F.transform("turns", lambda t: turn_digest(t["role"], t["text"])) == F.transform("parts", lambda p: p["digest"])
     layout = F.transform(

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import cut, lower_ascii, text_of
+from ._spark import cut, fresh, lower_ascii, text_of
 
 #: Rows of a dropped-id table up to which the last filter is a broadcast join (8 bytes of id and 64 of digest each).
 BROADCAST_ROWS = 200_000
@@ -68,7 +68,8 @@ def drop_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     small, and joined by shuffle beyond that.
     """
     made = decisions(docs, id_col=id_col, text_col=text_col, salts=salts)
-    losers = cut(made.filter(~F.col("kept")).select(F.col("doc_id").alias("lost_id"), F.col("text_sha256").alias("lost_digest")).distinct())
+    lost_id, lost_digest = fresh(docs, "lost_id"), fresh(docs, "lost_digest")
+    losers = cut(made.filter(~F.col("kept")).select(F.col("doc_id").alias(lost_id), F.col("text_sha256").alias(lost_digest)).distinct())
     small = losers.count() <= broadcast_rows
-    match = F.col(id_col).eqNullSafe(F.col("lost_id")) & (F.sha2(_normal(text_col), 256) == F.col("lost_digest"))
+    match = F.col(id_col).eqNullSafe(F.col(lost_id)) & (F.sha2(_normal(text_col), 256) == F.col(lost_digest))
     return docs.join(F.broadcast(losers) if small else losers, match, "left_anti")

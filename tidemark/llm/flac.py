@@ -288,8 +288,9 @@ def decode_frames(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, num
             pos[on] += 8
         taps, shift = np.zeros((max(most, 1), n_rows), dtype=np.int64), np.zeros(n_rows, dtype=np.int64)
         for p, taken in _FIXED.items():
-            for j, c in enumerate(taken):
-                taps[j, ~linear & (order == p)] = c
+            if p <= most:
+                for j, c in enumerate(taken):
+                    taps[j, ~linear & (order == p)] = c
         if linear.any():
             bits = peek(pos[linear], 4) + 1
             shift[linear] = signed(peek(pos[linear] + 4, 5), 5)

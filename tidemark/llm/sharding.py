@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._spark import fresh
+
 SHARDS = 40
 BITS = 4
 BUCKETS = 256
@@ -107,6 +109,7 @@ def shards(docs: DataFrame, *, count: int = SHARDS, bits: int = BITS, buckets: i
 
 def write(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc_id") -> None:
     """Writes the documents as one folder per shard, in curve order inside, so that file statistics prune by every dimension."""
-    where = placed.select(F.col("doc_id").alias("_id"), "shard", "slot")
-    joined = docs.join(where, F.col(id_col).eqNullSafe(F.col("_id"))).drop("_id")
-    joined.repartition("shard").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(path)
+    key, shard, slot = (fresh(docs, name) for name in ("placed_id", "shard", "slot"))
+    where = placed.select(F.col("doc_id").alias(key), F.col("shard").alias(shard), F.col("slot").alias(slot))
+    joined = docs.join(where, F.col(id_col).eqNullSafe(F.col(key))).drop(key)
+    joined.repartition(shard).sortWithinPartitions(shard, slot).drop(slot).write.partitionBy(shard).parquet(path)

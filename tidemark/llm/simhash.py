@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import cut, text_of
+from ._spark import cut, fresh, text_of
 
 SHINGLE = 3
 RADIUS = 2
@@ -227,6 +227,7 @@ def drop_near_duplicates(docs: DataFrame, *, broadcast_rows: int = BROADCAST_ROW
     A null doc_id names nothing that could be compared, so such rows stay.
     """
     made = components(docs, id_col=id_col, **settings)
-    losers = cut(made.filter("doc_id <> component_id").select(F.col("doc_id").alias("lost_id")).distinct())
+    lost_id = fresh(docs, "lost_id")
+    losers = cut(made.filter("doc_id <> component_id").select(F.col("doc_id").alias(lost_id)).distinct())
     small = losers.count() <= broadcast_rows
-    return docs.join(F.broadcast(losers) if small else losers, F.col(id_col) == F.col("lost_id"), "left_anti")
+    return docs.join(F.broadcast(losers) if small else losers, F.col(id_col) == F.col(lost_id), "left_anti")
