@@ -8,7 +8,8 @@ beside its digest:
 3. global: at most ``salts`` winners per text are combined into one.
 
 A group that holds a third of all rows therefore reaches a reducer as one row per map task and
-salt, never as its members. Members get their decision by the digest; stage 3 has compared all
+salt, never as its members. Members get their decision by the digest and a salt, so that a large
+group's members spread over ``salts`` join tasks (and further by Spark's skew join); stage 3 has compared all
 texts of a digest by then and raises an error if two texts ever shared one, so no decision can
 rest on a collision.
 
@@ -49,8 +50,9 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 def decisions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int = 8) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
     groups = classes(docs, id_col=id_col, text_col=text_col, salts=salts).filter("group_size > 1")
-    members = docs.select(F.col(id_col).alias("doc_id"), F.sha2(_normal(text_col), 256).alias("digest"))
-    joined = members.join(groups, "digest", "left")
+    spread = groups.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)])))
+    members = docs.select(F.col(id_col).alias("doc_id"), F.sha2(_normal(text_col), 256).alias("digest"), F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("long").alias("salt"))
+    joined = members.join(spread, ["digest", "salt"], "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select(
         "doc_id",
