@@ -37,6 +37,7 @@ SHINGLE = 3
 RADIUS = 2
 SEED = 42
 TREE = 2_000
+SALTS = 8
 #: Ids of dropped documents up to which the last filter is a broadcast join (8 bytes each).
 BROADCAST_ROWS = 1_000_000
 
@@ -214,7 +215,10 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     labels = named.groupBy("root").agg(F.min("first_id").alias("label"))
     labelled = members.join(labels, "root").select(F.col("node").alias("fp"), "label")
     shared = distinct.join(labelled, "fp", "left").filter("n > 1 OR label IS NOT NULL").select("fp", F.coalesce("label", "first_id").alias("label"))
-    return prints.join(shared, "fp", "left").select(
+    # salted, so that the documents of one very common fingerprint spread over several join tasks
+    spread = shared.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])))
+    dealt = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("long"))
+    return dealt.join(spread, ["fp", "salt"], "left").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.coalesce("label", "doc_id").alias("component_id"),
