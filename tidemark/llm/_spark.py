@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..lineage import cut, shared_dir
+
+__all__ = ["cut", "fresh", "lower_ascii", "shared_dir", "table", "text_of"]
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -17,26 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write df once into the shared folder and read it back: the lineage ends there and lost executors cost no recomputation.
-
-    Unlike checkpoint(), which evaluates its plan a second time to save it, the plan runs once.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_of(col: str | Column) -> Column:
     """The text, null taken as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
