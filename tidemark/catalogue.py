@@ -1,15 +1,530 @@
-"""All queries of the library by name, and their equivalents in DuckDB's SQL."""
+"""All queries of the library by name, and their equivalents in DuckDB's SQL.
+
+The tables hold no articles, so titles, entities and stores are made of typed columns, alike in
+both languages, and vocabularies are given as parameters. Every query reads its whole tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import schemas
+from .functions import dates, keys, similarity, text
+from .operators import classify, cluster, decisions, enrich, extract, feeds, popup, qa, resolve, scan, schedule, state
+from .plans import daily
+from .sources import html
+from .vocabulary import Rejection, Rule
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- vocabularies for the invented prose
+
+RULES = (Rule("NOTICE", 60, ("this", "from")), Rule("REPORT", 54, ("that", "then")), Rule("STORY", 50, ("with", "have", "pour")))
+REJECTIONS = (Rejection("no keyword", None, ("OTHER",)), Rejection("bulk", r"(free|offer|###)"), Rejection("nothing new", r"(\d\d\d)", lifted=True), Rejection("story without news", None, ("STORY",), True))
+ANNOUNCES = r"(and|und)"
+_SPACE = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
+def _rules_sql(column: str, rules: tuple[Rule, ...] = RULES) -> str:
+    """Subquery rated: the table's columns, score, activity_type and keywords."""
+    hit = lambda k: f"contains(lower({column}), '{k}')"
+    n = ", ".join(f"{' + '.join(f'CAST({hit(k)} AS INT)' for k in r.keywords)} AS n{i}" for i, r in enumerate(rules))
+    s = ", ".join(f"CASE WHEN n{i} > 0 THEN {r.base} + least(12, 3 * (n{i} - 1)) ELSE 0 END AS s{i}" for i, r in enumerate(rules))
+    best = f"greatest({', '.join(f's{i}' for i in range(len(rules)))})"
+    kind = " ".join(f"WHEN s{i} = {best} THEN '{r.activity}'" for i, r in enumerate(rules))
+    words = ", ".join(f"CASE WHEN {hit(k)} THEN '{k}' END" for k in sorted(k for r in rules for k in r.keywords))
+    return f"""counted AS (SELECT doc_id, text, {n} FROM documents),
+scored AS (SELECT *, {s} FROM counted),
+rated AS (SELECT doc_id, text, CAST({best} AS INT) AS score, CASE WHEN {best} = 0 THEN 'OTHER' {kind} END AS activity_type, concat_ws('|', {words}) AS keywords FROM scored)"""
+
+
+def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("c", classify.classified(F.col("text"), RULES))
+    return made.select("doc_id", "text", F.col("c.score").alias("score"), F.col("c.activity").alias("activity_type"), F.array_join("c.keywords", "|").alias("keywords"))
+
+
+@query(
+    f"""WITH {_rules_sql("text")},
+keyed AS (SELECT *, substr(sha256('doc|' || lower(trim(regexp_replace(text, '{_SPACE}', ' ', 'g')))), 1, 24) AS dedupe_key FROM rated WHERE activity_type <> 'OTHER')
+SELECT doc_id, activity_type, score, dedupe_key FROM keyed QUALIFY row_number() OVER (PARTITION BY dedupe_key ORDER BY score DESC, doc_id) = 1"""
+)
+def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best new article per key."""
+    none = F.lit(None).cast("string")
+    found = _rated(spark, sf_dir).filter("activity_type <> 'OTHER'")
+    keyed = found.select("doc_id", "activity_type", "score", keys.dedupe_key(F.lit("doc"), none, none, F.col("text")).alias("dedupe_key"))
+    return scan.first_per(keyed, ["dedupe_key"], [F.desc("score"), "doc_id"])
+
+
+@query(f"WITH {_rules_sql('text')} SELECT doc_id, activity_type, score, keywords FROM rated")
+def keyword_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rated(spark, sf_dir).select("doc_id", "activity_type", "score", "keywords")
+
+
+_REASON = r"""CASE WHEN activity_type = 'OTHER' THEN 'no keyword' WHEN regexp_matches(text, '(?i)(free|offer|###)') THEN 'bulk'
+WHEN regexp_matches(text, '[0-9][0-9][0-9]') AND NOT regexp_matches(text, '(?i)(and|und)') THEN 'nothing new'
+WHEN activity_type = 'STORY' AND NOT regexp_matches(text, '(?i)(and|und)') THEN 'story without news' ELSE '' END"""
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rated(spark, sf_dir).select("doc_id", classify.rejection(F.col("text"), F.col("activity_type"), REJECTIONS, ANNOUNCES).alias("reason"))
+
+
+@query(f"WITH {_rules_sql('text')} SELECT doc_id, {_REASON} AS reason FROM rated")
+def rejection_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir)
+
+
+@query(
+    f"""WITH {_rules_sql("text")}, judged AS (SELECT doc_id, {_REASON} AS reason FROM rated), out AS (SELECT * FROM judged WHERE reason <> '')
+SELECT doc_id, reason, n FROM (SELECT doc_id, reason, row_number() OVER (PARTITION BY reason ORDER BY doc_id) AS r FROM out WHERE true QUALIFY r <= 20)
+JOIN (SELECT reason, count(*) AS n FROM out GROUP BY reason) USING (reason)"""
+)
+def excluded_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 20 left-out articles per reason, beside the count of all."""
+    counts, first = classify.excluded_report(_judged(spark, sf_dir).filter("reason <> ''").withColumnRenamed("doc_id", "seq"))
+    return first.join(counts, "reason").select(F.col("seq").alias("doc_id"), "reason", "n")
+
+
+@query(
+    f"""WITH c AS (SELECT doc_id, trim(regexp_replace(text, '{_SPACE}', ' ', 'g')) AS t FROM documents),
+p AS (SELECT *, coalesce(least(nullif(strpos(lower(t), 'that'), 0), nullif(strpos(lower(t), 'pour'), 0)), 1) AS pos FROM c),
+w AS (SELECT *, greatest(pos - 91, 0) AS a FROM p)
+SELECT doc_id, CASE WHEN t = '' THEN '' ELSE CASE WHEN a > 0 THEN '… ' ELSE '' END || trim(substr(t, a + 1, 320)) || CASE WHEN a + 320 < length(t) THEN ' …' ELSE '' END END AS clipped FROM w"""
+)
+def evidence_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.clip("text", F.array(F.lit("that"), F.lit("pour"))).alias("clipped"))
+
+
+_TITLE = "CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN n_name || ' announces' WHEN 1 THEN 'the ' || lower(n_name) || ', live' WHEN 2 THEN n_name || 'x band' ELSE 'with ' || n_name || ' and NATION_3' END"
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer and nation; the nations are a fixed list of countries."""
+    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return joined.join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+@query(
+    f"""WITH t AS (SELECT o_orderkey AS seq, {_TITLE} AS title FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+m AS (SELECT seq, CAST(n_nationkey AS VARCHAR) AS artist_id, n_name AS alias FROM t JOIN nation ON regexp_matches(title, '(?i)(^|[^A-Za-z0-9])' || n_name || '([^A-Za-z0-9]|$)')
+      QUALIFY row_number() OVER (PARTITION BY seq ORDER BY length(n_name) DESC, n_nationkey) = 1)
+SELECT seq, title, artist_id, alias FROM t LEFT JOIN m USING (seq)"""
+)
+def entity_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which nation a title is about, with boundaries and the longest name first."""
+    nations = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("artist_id"), F.lit("").alias("company"), F.lit("").alias("label"), F.col("n_name").alias("name"), F.array().cast("array<string>").alias("aliases"), F.lit(False).alias("priority"), F.col("n_nationkey").cast("long").alias("seq")
+    )
+    titles = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("seq"), F.expr(_TITLE).alias("title"))
+    return resolve.resolve(titles, resolve.alias_table(nations, [])).select("seq", "title", "artist_id", F.col("matched_artist_alias").alias("alias"))
+
+
+@query(
+    """SELECT event_type, count(*) FILTER (ts <= TIMESTAMP '2024-01-20 00:10:00') AS received, count(*) FILTER (ts BETWEEN TIMESTAMP '2024-01-13 00:00:00' AND TIMESTAMP '2024-01-20 00:10:00') AS recent,
+count(*) FILTER (ts < TIMESTAMP '2024-01-13 00:00:00') AS outside, CAST(0 AS BIGINT) AS missing, count(*) FILTER (ts > TIMESTAMP '2024-01-20 00:10:00') AS future FROM events GROUP BY event_type"""
+)
+def lookback_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    age = scan.age(F.col("ts"), F.lit("2024-01-20 00:00:00").cast(_stamp(spark, sf_dir)), 24 * 7)
+    return scan.figures(table(spark, sf_dir, "events").select("event_type", age.alias("age")), "event_type")
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> str:
+    return table(spark, sf_dir, "events").schema["ts"].dataType.simpleString()
+
+
+@query(
+    """SELECT event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) <= 2"""
+)
+def topk_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.top_per_group(table(spark, sf_dir, "events").select("event_type", "event_id", "value"), ["event_type"], [F.desc("value"), F.col("event_id")], 2)
+
+
+@query("SELECT event_type, CAST(json_extract(props, '$.k') AS INT) % 10 AS k, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY ALL")
+def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = table(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k int")["k"] % 10)
+    return read.groupBy("event_type", "k").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"))
+
+
+_URL = r"""regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?', {})"""
+_CANON = (
+    f"""lower({_URL.format(1)}) || '://' || lower({_URL.format(2)}) || CASE WHEN regexp_replace({_URL.format(3)}, '/+$', '') = '' THEN '/' ELSE regexp_replace({_URL.format(3)}, '/+$', '') END"""
+    f""" || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split({_URL.format(4)}, '&'), lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_|fbclid=|gclid=|referrer=)'))), '&'), ''), '')"""
+)
+
+
+@query(f"WITH c AS (SELECT page_id, {_CANON} AS canonical FROM pages) SELECT min(page_id) AS page_id, canonical FROM c GROUP BY canonical")
+def url_canonical_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first page per canonical URL."""
+    made = table(spark, sf_dir, "pages").select("page_id", text.canonical_url("url").alias("canonical"))
+    return made.groupBy("canonical").agg(F.min("page_id").alias("page_id"))
+
+
+@query(
+    rf"""WITH h AS (SELECT regexp_replace(lower({_URL.format(2)}), '^www\.', '') AS publisher FROM pages)
+SELECT publisher, CAST(CASE WHEN publisher = 'spam-farm.example.org' THEN 1 ELSE 3 END AS INT) AS publisher_score, count(*) AS n FROM h GROUP BY ALL"""
+)
+def domain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hosts = table(spark, sf_dir, "pages").select(text.host("url").alias("publisher")).groupBy("publisher").agg(F.count(F.lit(1)).alias("n"))
+    return resolve.publisher_score(hosts, {"spam-farm.example.org": 1}, 3)
+
+
+@query("""SELECT page_id, len(regexp_extract_all(html, '<a [^>]*href="[^"]+"')) AS n_links FROM pages""")
+def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many links each page has, outside scripts."""
+    return html.parsed(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", F.size("links").cast("long").alias("n_links"))
+
+
+@query()
+def html_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.parsed(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "title", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query()
+def html_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first link of each list item, by address once per page."""
+    return html.listed(table(spark, sf_dir, "pages").select("page_id", "url", "html"), link=".", least=2)
+
+
+@query(
+    """WITH s AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderkey % 60 AS INT) - 5 AS n FROM orders)
+SELECT o_orderkey, CAST(CASE WHEN n BETWEEN 0 AND 45 THEN n + 1 ELSE 0 END AS INT) AS days, CASE WHEN n BETWEEN 0 AND 45 THEN CAST(CAST(a + n AS DATE) AS VARCHAR) END AS last,
+CASE WHEN n < 0 THEN '' WHEN n > 45 THEN CAST(a AS VARCHAR) || '|' || CAST(CAST(a + n AS DATE) AS VARCHAR) ELSE array_to_string([CAST(CAST(a + CAST(i AS INT) AS DATE) AS VARCHAR) FOR i IN range(n + 1)], '|') END AS stored FROM s"""
+)
+def date_range_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of days, empty if reversed or too long, and as reviews store them."""
+    s = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("a"), ((F.col("o_orderkey") % 60).cast("int") - 5).alias("n"))
+    spans = s.select("o_orderkey", "a", F.date_add("a", F.col("n")).alias("b"), "n")
+    listed = spans.withColumn("d", dates.days(F.col("a"), F.col("b")))
+    return listed.select("o_orderkey", F.size("d").alias("days"), F.array_max("d").cast("string").alias("last"), F.when(F.col("n") < 0, "").otherwise(dates.review_days(F.col("a"), F.col("b"))).alias("stored"))
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as rows of a history: two of three with a span, one of three with a list of days."""
+    day = F.to_date("o_orderdate")
+    ranged = F.col("o_orderkey") % 3 > 0
+    made = {
+        "event_key": F.col("o_orderkey").cast("string"),
+        "artist_id": F.col("o_custkey").cast("string"),
+        "artist": F.concat(F.lit("C"), F.col("o_custkey").cast("string")),
+        "activity_type": F.when(F.col("o_orderstatus") == "F", "CONCERT").otherwise("OTHERWISE"),
+        "event_name": F.when(F.col("o_orderkey") % 5 == 0, "").otherwise(F.col("o_orderpriority")),
+        "event_start_date": F.when(ranged, day.cast("string")).otherwise(""),
+        "event_end_date": F.when(F.col("o_orderkey") % 3 == 1, F.date_add(day, 3).cast("string")).otherwise(""),
+        "event_dates": F.when(ranged, "").otherwise(F.concat_ws("|", day.cast("string"), F.date_add(day, 9).cast("string"))),
+        "approval_status": F.when(F.col("o_orderkey") % 11 == 0, "REJECTED").otherwise("AUTO_CONFIRMED"),
+        "primary_url": F.lit("http://x.example/"),
+    }
+    return table(spark, sf_dir, "orders").select(*[made.get(c, F.lit("")).alias(c) for c in schemas.HISTORY])
+
+
+@query(
+    """WITH s AS (SELECT *, CAST(o_orderdate AS DATE) AS d, CAST(o_orderkey AS VARCHAR) AS k, 'C' || o_custkey || ' · ' || CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority WHEN o_orderstatus = 'F' THEN '콘서트' ELSE 'OTHERWISE' END AS title,
+ CASE WHEN o_orderstatus = 'F' THEN '#0f766e' ELSE '#64748b' END AS color FROM orders WHERE o_orderkey % 11 <> 0),
+w AS (SELECT DATE '1998-06-15' - 14 AS a, DATE '1998-09-15' AS b),
+e AS (SELECT k AS id, title, color, d AS s, d + CASE WHEN o_orderkey % 3 = 1 THEN 4 ELSE 1 END AS t FROM s, w WHERE o_orderkey % 3 > 0 AND d + CASE WHEN o_orderkey % 3 = 1 THEN 3 ELSE 0 END >= a AND d <= b
+ UNION ALL SELECT k || ':' || CAST(CAST(d + o AS DATE) AS VARCHAR), title, color, d + o, NULL FROM s, w, (VALUES (0), (9)) AS x(o) WHERE o_orderkey % 3 = 0 AND d + o BETWEEN a AND b)
+SELECT id, title, color, CAST(CAST(s AS DATE) AS VARCHAR) AS start, CAST(CAST(t AS DATE) AS VARCHAR) AS "end" FROM e"""
+)
+def calendar_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.calendar_events(_stored(spark, sf_dir), "1998-06-15").select("id", "title", "color", "start", "end")
+
+
+def _dated_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles that name the day of an order (or a span of three days), published 20 days before."""
+    at = F.to_date("o_orderdate")
+    day = F.concat(F.month(at).cast("string"), F.lit("월 "), F.dayofmonth(at).cast("string"), F.lit("일"))
+    span = F.concat(F.lit("~"), F.month(F.date_add(at, 2)).cast("string"), F.lit("월 "), F.dayofmonth(F.date_add(at, 2)).cast("string"), F.lit("일"))
+    title = F.concat(F.col("c_name"), F.lit(" 콘서트 개최 "), day, F.when(F.col("o_orderkey") % 3 == 0, span).otherwise(""))
+    return _orders(spark, sf_dir).select(
+        F.col("o_orderkey").alias("seq"), F.col("o_custkey").cast("string").alias("artist_id"), F.col("c_name").alias("artist"), F.col("c_name").alias("matched_artist_alias"), title.alias("title"), F.lit("").alias("body"),
+        F.lit("CONCERT").alias("activity_type"), F.date_sub(at, 20).cast("timestamp").alias("published_at"), F.date_sub(at, 20).cast("timestamp").alias("fetched_at"),
+    )
+
+
+@query(
+    """SELECT o_orderkey AS seq, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS start, CAST(CAST(CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 0 END AS DATE) AS VARCHAR) AS "end",
+'HIGH' AS confidence, 'TITLE' AS source FROM orders JOIN customer ON o_custkey = c_custkey"""
+)
+def date_parse_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days read back out of titles; the oracle knows them from the source columns."""
+    found = extract.event_fields(_dated_titles(spark, sf_dir))
+    return found.select("seq", F.col("event_start_date").cast("string").alias("start"), F.col("event_end_date").cast("string").alias("end"), F.col("date_confidence").alias("confidence"), F.col("date_source").alias("source"))
+
+
+@query(
+    """WITH v AS (SELECT l_orderkey, CAST(l_shipdate AS DATE) AS d, count(*) AS votes, max(CAST(l_quantity AS INT)) AS q, min(l_linenumber) AS f FROM lineitem GROUP BY ALL),
+r AS (SELECT *, row_number() OVER w AS r, lead(votes) OVER w AS nxt FROM v WINDOW w AS (PARTITION BY l_orderkey ORDER BY votes DESC, q DESC, f, d))
+SELECT l_orderkey AS event_seq, CAST(d AS VARCHAR) AS start, CAST(d AS VARCHAR) AS "end", votes, coalesce(votes = nxt, false) AS tied FROM r WHERE r = 1"""
+)
+def date_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day most lines of an order name, and whether another has as many."""
+    day = F.to_date("l_shipdate").cast("string")
+    return enrich.vote(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("event_seq"), day.alias("start"), day.alias("end"), F.col("l_quantity").cast("int").alias("score"), F.col("l_linenumber").alias("seq")))
+
+
+@query(
+    """WITH s AS (SELECT o_orderkey AS k, o_custkey AS c, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + 30 AS b FROM orders)
+SELECT x.c AS custkey, count(*) AS overlaps FROM s x JOIN s y ON x.c = y.c AND x.k < y.k AND x.a <= y.b AND y.a <= x.b GROUP BY x.c"""
+)
+def interval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping spans of one customer. Only spans of the same or the next 31-day slot can overlap, so slots join, not all pairs."""
+    day = F.to_date("o_orderdate")
+    slot = F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / 31)
+    s = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("custkey"), day.alias("a"), slot.alias("slot"))
+    near = s.select(F.col("k").alias("k2"), "custkey", F.col("a").alias("a2"), F.explode(F.array(F.col("slot") - 1, F.col("slot"), F.col("slot") + 1)).alias("slot"))
+    met = s.join(near, ["custkey", "slot"]).filter((F.col("k") < F.col("k2")) & (F.abs(F.datediff("a", "a2")) <= 30))
+    return met.groupBy("custkey").agg(F.count(F.lit(1)).alias("overlaps"))
+
+
+_EVENT_COLUMNS = {"old": "o_orderdate < TIMESTAMP '1998-01-01'", "new": "o_orderdate >= TIMESTAMP '1998-01-01'"}
+
+
+def _events(spark: SparkSession, sf_dir: str, part: str | None = None) -> DataFrame:
+    """Orders as found events of their customers; part: old or new."""
+    day = F.to_date("o_orderdate")
+    orders = table(spark, sf_dir, "orders")
+    rows = orders if part is None else orders.filter(F.expr(_EVENT_COLUMNS[part]))
+    none = F.array().cast("array<string>")
+    made = {
+        "seq": F.col("o_orderkey"), "artist_id": F.col("o_custkey").cast("string"), "artist": F.lit(""), "matched_artist_alias": F.lit(""), "activity_type": F.lit("CONCERT"),
+        "title": F.col("o_orderpriority"), "event_name": F.col("o_orderpriority"), "event_dates": F.array(day), "event_start_date": day, "event_end_date": day, "event_is_range": F.lit(False),
+        "date_confidence": F.lit("HIGH"), "date_evidence": F.lit(""), "date_source": F.lit("TITLE"), "date_conflict": F.lit(False), "cities": F.array("o_orderstatus"), "venues": none,
+        "score": F.floor("o_totalprice").cast("int"), "publisher_score": F.lit(3), "published_at": F.col("o_orderdate").cast("timestamp"), "url": F.concat(F.lit("http://o.example/"), F.col("o_orderkey").cast("string")),
+        "original_url": F.lit(""), "naver_url": F.lit(""), "related_urls": none, "supporting_article_count": F.lit(1), "company": F.lit("c"), "label": F.lit("l"), "review_reason": F.lit(""),
+        "validation_status": F.lit("AUTO_SELECTED"), "schedule_status": F.lit("NEW_EVENT"), "source_type": F.lit("NEWS"), "clipped_text": F.lit(""),
+    }
+    return rows.select(*[c.alias(n) for n, c in made.items()])
+
+
+@query(
+    """WITH h AS (SELECT o_custkey AS c, o_orderpriority AS p, list(DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR)) AS ds, list(DISTINCT o_orderstatus) AS cs, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY ALL),
+j AS (SELECT o_orderkey AS seq, CAST(floor(o_totalprice) AS INT) AS score, n, NOT list_contains(cs, o_orderstatus) AS new_city, NOT list_contains(ds, CAST(CAST(o_orderdate AS DATE) AS VARCHAR)) AS new_date
+ FROM orders LEFT JOIN h ON c = o_custkey AND p = o_orderpriority WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+SELECT seq, CASE WHEN n IS NULL THEN 'NEW_EVENT' WHEN new_city THEN 'NEW_CITY' WHEN new_date THEN 'SAME_CITY_NEW_DATE' ELSE 'EXISTING_SCHEDULE' END AS schedule_status,
+CASE WHEN n IS NULL THEN 'CONCERT' WHEN new_city THEN 'TOUR_EXPANSION' WHEN new_date THEN 'ADDITIONAL_SHOW' ELSE 'CONCERT' END AS activity_type,
+CAST(score + CASE WHEN n IS NULL THEN 0 WHEN new_city THEN 12 WHEN new_date THEN 15 ELSE 0 END AS INT) AS score, CAST(coalesce(n, 0) AS INT) AS known FROM j"""
+)
+def schedule_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = _events(spark, sf_dir, "old").select(F.col("seq").cast("string").alias("event_key"), "artist_id", "activity_type", "event_name", F.col("event_start_date").cast("string").alias("event_dates"), F.array_join("cities", "|").alias("cities"))
+    made = schedule.assess(_events(spark, sf_dir, "new"), old, exact=True)
+    return made.select("seq", "schedule_status", "activity_type", "score", F.size("previous_event_keys").alias("known"))
+
+
+@query()
+def schedule_change_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = _events(spark, sf_dir, "old").select(F.col("seq").cast("string").alias("event_key"), "artist_id", "activity_type", "event_name", F.col("event_start_date").cast("string").alias("event_dates"), F.array_join("cities", "|").alias("cities"))
+    return schedule.assess(_events(spark, sf_dir, "new"), old).select("seq", "schedule_status", "activity_type", "score", F.size("previous_event_keys").alias("known"))
+
+
+_BLOCKS = "p_brand = q_brand AND p_size = q_size AND p_partkey < q_partkey"
+
+
+def _part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_name")
+    q = p.select(*[F.col(c).alias("q" + c[1:]) for c in p.columns])
+    return p.join(q, F.expr(_BLOCKS))
+
+
+@query(
+    f"""WITH t AS (SELECT a.p_partkey AS l, b.p_partkey AS r, string_split(a.p_name, ' ') AS x, string_split(b.p_name, ' ') AS y FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey)
+SELECT l, r, len(list_intersect(list_distinct(x), list_distinct(y))) / len(list_distinct(list_concat(x, y))) AS jaccard FROM t WHERE jaccard >= 0.3"""
+)
+def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like names inside one brand and size."""
+    empty = F.lit("")
+    made = _part_pairs(spark, sf_dir).withColumn("jaccard", similarity.jaccard(similarity.tokens(F.col("p_name"), empty, empty, empty), similarity.tokens(F.col("q_name"), empty, empty, empty)))
+    return made.filter("jaccard >= 0.3").select(F.col("p_partkey").alias("l"), F.col("q_partkey").alias("r"), "jaccard")
+
+
+@query()
+def ratio_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like names by matching blocks, bounded by length before Python sees them."""
+    near = _part_pairs(spark, sf_dir).filter(similarity.ratio_bound(F.col("p_name"), F.col("q_name")) >= 0.72)
+    made = near.withColumn("ratio", similarity.ratio("p_name", "q_name"))
+    return made.filter("ratio >= 0.72").select(F.col("p_partkey").alias("l"), F.col("q_partkey").alias("r"), "ratio")
+
+
+@query()
+def greedy_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of one customer by likeness of name and days, in order of quality."""
+    return cluster.assign(_events(spark, sf_dir)).select("seq", "cluster")
+
+
+@query(
+    """WITH g AS (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS cluster, count(*) AS n, arg_max(o_orderkey, (CAST(floor(o_totalprice) AS INT), o_orderdate, -o_orderkey)) AS seq,
+ array_to_string(list_sort(list(DISTINCT o_orderstatus)), '|') AS cities FROM orders GROUP BY ALL)
+SELECT g.seq, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS start, cities, CAST(n AS INT) AS articles, CAST(n - 1 AS INT) AS related FROM g JOIN orders ON seq = o_orderkey"""
+)
+def cluster_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given clusters of one customer and priority as one event each."""
+    events = _events(spark, sf_dir)
+    given = events.groupBy("artist_id", "event_name").agg(F.min("seq").alias("cluster"), F.collect_list("seq").alias("seqs")).select("cluster", F.explode("seqs").alias("seq"), F.lit("").alias("cluster_rank"))
+    made = cluster.roll_up(events, given)
+    return made.select("seq", F.col("event_start_date").cast("string").alias("start"), F.array_join("cities", "|").alias("cities"), F.col("supporting_article_count").alias("articles"), F.size("related_urls").alias("related"))
+
+
+_KEYS_SQL = """keyed AS (SELECT *, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d, substr(sha256(CAST(o_custkey AS VARCHAR) || '|http://o.example/' || o_orderkey), 1, 24) AS candidate_id,
+ substr(sha256(CAST(o_custkey AS VARCHAR) || '|CONCERT|' || lower(regexp_replace(o_orderpriority, '[^A-Za-z0-9_]+', '', 'g')) || '|' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ':' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '|' || o_orderstatus), 1, 24) AS event_key FROM orders)"""
+
+
+def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose names are all different, so that no two orders are one event."""
+    return state.keyed(_events(spark, sf_dir).withColumn("event_name", F.concat_ws(" ", "event_name", F.col("seq").cast("string"))))
+
+
+def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A queue as an earlier run has left it: the events of every even order."""
+    return state.review_rows(_named(spark, sf_dir).filter("seq % 2 = 0"), "T1").select(*schemas.QUEUE)
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = {"action": F.when(F.col("seq") % 7 == 0, "REJECT").otherwise("APPROVE"), "candidate_id": F.col("candidate_id"), "event_key": F.lit("none")}
+    return state.keyed(_events(spark, sf_dir)).select(*[made.get(c, F.lit("")).alias(c) for c in schemas.REVIEW_LOG])
+
+
+@query(
+    f"""WITH {_KEYS_SQL.replace("lower(regexp_replace(o_orderpriority,", "lower(regexp_replace(o_orderpriority || o_orderkey,")}, r AS (SELECT * FROM keyed)
+SELECT candidate_id, event_key, CASE WHEN o_orderkey % 2 = 0 THEN 'T1' ELSE 'T2' END AS first_seen, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0 THEN 'T2' ELSE 'T1' END AS last_seen FROM r
+WHERE o_orderkey % 2 = 0 OR (o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0)"""
+)
+def queue_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even orders are queued; every third comes (again), unless it was rejected."""
+    new = _named(spark, sf_dir).filter("seq % 3 = 0")
+    return state.upsert_queue(_queue(spark, sf_dir), new, _log(spark, sf_dir), "T2").select("candidate_id", "event_key", "first_seen", "last_seen")
+
+
+@query(
+    f"""WITH {_KEYS_SQL}, o AS (SELECT event_key, min(o_orderkey) AS a, max(o_orderkey) AS b, max(CAST(floor(o_totalprice) AS INT)) AS best, arg_max(CAST(floor(o_totalprice) AS INT), o_orderkey) AS score, count(*) AS n FROM keyed WHERE o_orderkey % 2 = 0 GROUP BY ALL),
+w AS (SELECT event_key, arg_max(CAST(floor(o_totalprice) AS INT), o_orderkey) AS score, max(CAST(floor(o_totalprice) AS INT)) AS best, list(o_orderkey) AS ks FROM keyed WHERE o_orderkey % 3 = 0 GROUP BY ALL),
+k AS (SELECT event_key, count(DISTINCT o_orderkey) AS urls FROM keyed WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 GROUP BY ALL)
+SELECT coalesce(o.event_key, w.event_key) AS event_key, CASE WHEN o.event_key IS NULL THEN 'T2' ELSE 'T1' END AS first_seen, CASE WHEN w.event_key IS NULL THEN 'T1' ELSE 'T2' END AS last_seen,
+CAST(CASE WHEN w.event_key IS NULL THEN o.score WHEN o.event_key IS NOT NULL AND o.a % 5 = 0 THEN greatest(o.score, w.best) ELSE w.score END AS VARCHAR) AS score
+FROM o FULL JOIN w ON o.event_key = w.event_key"""
+)
+def history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even orders are known, some confirmed by hand; every third comes (again)."""
+    events = state.keyed(_events(spark, sf_dir))
+    empty = spark.createDataFrame([], schemas.text_schema(schemas.HISTORY))
+    first = events.filter("seq % 2 = 0")
+    by_hand = first.groupBy("event_key").agg((F.min("seq") % 5 == 0).alias("by_hand"))
+    known = state.upsert_history(empty, first, "T1", fuzzy=False).join(by_hand, "event_key")
+    history = known.withColumn("approval_status", F.when(F.col("by_hand"), "MANUAL_CONFIRMED").otherwise(F.col("approval_status"))).drop("by_hand")
+    return state.upsert_history(history, events.filter("seq % 3 = 0"), "T2", fuzzy=False).select("event_key", "first_seen", "last_seen", "score")
+
+
+@query(
+    f"""WITH {_KEYS_SQL} SELECT candidate_id, event_key, o_orderkey AS seq FROM keyed WHERE o_orderkey % 7 <> 0"""
+)
+def reject_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = state.keyed(_events(spark, sf_dir)).select("candidate_id", "event_key", "seq")
+    return state.without_rejected(rows, _log(spark, sf_dir))
+
+
+_DECISIONS = """{"schema": "calendar-review-v1", "decisions": [
+ {"action": "UPDATE", "eventKey": "1", "eventName": "renamed", "activityType": "POPUP", "eventEndDate": ""}, {"action": "DELETE", "eventKey": "2"},
+ {"action": "CREATE", "artistId": "a", "artist": "A", "activityType": "CONCERT", "eventName": "new", "eventStartDate": "2026-01-30", "eventEndDate": "2026-02-01"}]}"""
+
+
+@query(
+    """WITH b AS (SELECT CAST(o_orderkey AS VARCHAR) AS event_key, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS event_name, CASE WHEN o_orderkey % 3 > 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) ELSE '' END AS event_start_date,
+ CASE WHEN o_orderkey % 3 > 0 THEN '' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '|' || CAST(CAST(o_orderdate AS DATE) + 9 AS VARCHAR) END AS event_dates FROM orders WHERE o_orderkey NOT IN (1, 2))
+SELECT * FROM b UNION ALL SELECT substr(sha256(CAST(o_custkey AS VARCHAR) || '|POPUP|renamed|' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '|'), 1, 24), 'renamed', CAST(CAST(o_orderdate AS DATE) AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders WHERE o_orderkey = 1
+UNION ALL SELECT substr(sha256('a|CONCERT|new|2026-01-30|'), 1, 24), 'new', '2026-01-30', '2026-01-30|2026-01-31|2026-02-01'"""
+)
+def decision_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An update, a deletion and a new event on a history."""
+    made, _, _ = decisions.apply(decisions.read_document(spark, _DECISIONS), _stored(spark, sf_dir), _queue(spark, sf_dir), "T2")
+    return made.select("event_key", "event_name", "event_start_date", "event_dates")
+
+
+@query(
+    f"""WITH {_rules_sql("text")}, p AS (SELECT DISTINCT doc_id FROM rated WHERE activity_type <> 'OTHER'), a AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+h AS (SELECT count(*) FILTER (p.doc_id IS NOT NULL) AS p, count(*) FILTER (a.doc_id IS NOT NULL) AS a, count(*) FILTER (p.doc_id IS NOT NULL AND a.doc_id IS NOT NULL) AS h FROM p FULL JOIN a ON p.doc_id = a.doc_id)
+SELECT p AS predicted, a AS actual, h AS hits, p - h AS false_positives, a - h AS false_negatives, CAST(CASE WHEN p = 0 THEN 0 ELSE h / p END AS DOUBLE) AS precision, CAST(CASE WHEN a = 0 THEN 0 ELSE h / a END AS DOUBLE) AS recall FROM h"""
+)
+def precision_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _rated(spark, sf_dir).filter("activity_type <> 'OTHER'").select(F.col("doc_id").cast("string").alias("event_key"))
+    truth = table(spark, sf_dir, "labels").filter("quality = 1").select(F.col("doc_id").cast("string").alias("event_key"))
+    return qa.scores(qa.compared(qa.keys(found), qa.keys(truth)))
+
+
+@query(
+    """WITH v AS (SELECT doc_id, CASE CAST(doc_id % 4 AS INT) WHEN 0 THEN ' =' || text WHEN 1 THEN '@' || text WHEN 2 THEN '''-' || text ELSE text END AS t FROM documents),
+s AS (SELECT doc_id, t, CASE WHEN regexp_matches(t, '^[ \t\r\n]*[=+@-]') THEN '''' || t ELSE t END AS safe FROM v)
+SELECT doc_id, sha256(safe) AS safe_sha256, CAST(length(CASE WHEN regexp_matches(safe, '^''[ \t\r\n]*[=+@-]') THEN substr(safe, 2) ELSE safe END) AS INT) AS restored_chars FROM s"""
+)
+def formula_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that a spreadsheet would run are quoted, and unquoted when read."""
+    mark = F.when(F.col("doc_id") % 4 == 0, " =").when(F.col("doc_id") % 4 == 1, "@").when(F.col("doc_id") % 4 == 2, "'-").otherwise("")
+    safe = table(spark, sf_dir, "documents").select("doc_id", text.formula_safe(F.concat(mark, "text")).alias("safe"))
+    return safe.select("doc_id", F.sha2("safe", 256).alias("safe_sha256"), F.length(text.formula_restore("safe")).alias("restored_chars"))
+
+
+@query(
+    """SELECT o_orderkey AS seq, CAST(CAST(o_orderdate + INTERVAL 10 YEAR AS DATE) AS VARCHAR) AS start_date, CAST(CAST(o_orderdate + INTERVAL 10 YEAR + INTERVAL 9 DAY AS DATE) AS VARCHAR) AS end_date, CAST(10 AS INT) AS duration_days,
+'일본' AS country, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 END AS INT) AS item_count, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE '품목 수 확인 필요' END AS verify FROM orders"""
+)
+def popup_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operating periods, places and articles out of notices made of orders."""
+    day = F.add_months(F.to_date("o_orderdate"), 120)
+    body = F.concat(F.lit("operating period "), F.date_format(day, "yyyy.MM.dd"), F.lit(" ~ "), F.date_format(F.date_add(day, 9), "yyyy.MM.dd"), F.lit(" Tokyo"), F.when(F.col("o_orderkey") % 2 == 0, " cushion").otherwise(""))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("seq"), F.lit("BLUE popup").alias("title"), body.alias("body"))
+    return popup.popup_rows(rows).select("seq", F.col("start_date").cast("string").alias("start_date"), F.col("end_date").cast("string").alias("end_date"), "duration_days", "country", "item_count", "verify")
+
+
+@query(
+    """SELECT n_nationkey, n_nationkey IN (SELECT s_nationkey FROM supplier) AS both_sides, false AS suppliers_only FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)
+UNION ALL SELECT n_nationkey, false, true FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier) AND n_nationkey NOT IN (SELECT c_nationkey FROM customer)"""
+)
+def set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations of customers and suppliers: union, intersection and difference."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("n_nationkey")).distinct()
+    s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n_nationkey")).distinct()
+    both = c.intersect(s).withColumn("both_sides", F.lit(True))
+    kept = c.join(both, "n_nationkey", "left").select("n_nationkey", F.coalesce("both_sides", F.lit(False)).alias("both_sides"), F.lit(False).alias("suppliers_only"))
+    return kept.unionByName(s.exceptAll(c).select("n_nationkey", F.lit(False).alias("both_sides"), F.lit(True).alias("suppliers_only")))
+
+
+@query()
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run over titles made of orders: window, entity, classification, dates, clusters and keys."""
+    titles = _dated_titles(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    articles = titles.select(
+        "seq", F.lit("S").alias("source_id"), F.lit("NEWS").alias("source_type"), F.col("artist_id").alias("searched_id"), *[none.alias(c) for c in ("artist_id", "artist", "company", "label", "matched_artist_alias")],
+        "title", "body", F.concat(F.lit("http://o.example/"), F.col("seq").cast("string")).alias("url"), F.lit("").alias("original_url"), F.lit("").alias("naver_url"), F.lit("").alias("publisher"), F.lit(3).alias("publisher_score"), F.lit("").alias("search_query"),
+        "published_at", "fetched_at",
+    )
+    entities = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("artist_id"), F.lit("c").alias("company"), F.lit("l").alias("label"), F.col("c_name").alias("name"), F.array().cast("array<string>").alias("aliases"), F.lit(False).alias("priority"), F.col("c_custkey").alias("seq"))
+    history = spark.createDataFrame([], schemas.text_schema(schemas.HISTORY))
+    run = daily.collect(articles, entities, history, "1998-01-01 00:00:00", daily.Settings(hours=24 * 365))
+    return daily.events(run.selected).select("seq", "artist_id", "event_key", F.col("event_start_date").cast("string").alias("start"), F.col("supporting_article_count").alias("articles"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)

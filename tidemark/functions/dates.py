@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..vocabulary import CUES, DATE_PATTERNS, FUTURE, NEXT_YEAR, PAST_PREFIX, DatePattern
-from .text import find_all
+from .text import find_all, let
 
 LONGEST = 45
 AROUND, AROUND_YEAR, BEFORE = 34, 30, 10
@@ -121,14 +121,23 @@ def choose(title: Column, body: Column, gap: int = GAP) -> Column:
     A title's single day gives way to a body's range that starts on the same day and scores no
     less. Of several spans the best must lead by ``gap``; otherwise they conflict.
     """
-    head, rest = _best(title), _best(body)
-    extends = (head["start"] == head["end"]) & (rest["start"] == head["start"]) & (rest["end"] > head["end"]) & (rest["score"] >= head["score"])
-    pool = F.when((F.size(title) == 0) | F.coalesce(extends, F.lit(False)), body).otherwise(title)
-    ranked = F.transform(pool, lambda c, i: F.struct(c["score"].alias("score"), c["start"].alias("start"), c["end"].alias("end"), (-i).alias("order"), c.alias("it")))
-    top = F.array_max(ranked)
-    second = F.array_max(F.filter(ranked, lambda r: (r["start"] != top["start"]) | (r["end"] != top["end"])))
-    clear = second.isNull() | (top["score"] - second["score"] >= gap)
-    return F.struct(F.when(clear, top["it"]).alias("it"), (top.isNotNull() & ~clear).alias("conflict"))
+
+    def pool(best: Column) -> Column:
+        head, rest = best["head"], best["rest"]
+        extends = (head["start"] == head["end"]) & (rest["start"] == head["start"]) & (rest["end"] > head["end"]) & (rest["score"] >= head["score"])
+        return F.when((F.size(title) == 0) | F.coalesce(extends, F.lit(False)), body).otherwise(title)
+
+    def led(both: Column) -> Column:
+        top = both["top"]
+        second = F.array_max(F.filter(both["ranked"], lambda r: (r["start"] != top["start"]) | (r["end"] != top["end"])))
+        clear = second.isNull() | (top["score"] - second["score"] >= gap)
+        return F.struct(F.when(clear, top["it"]).alias("it"), (top.isNotNull() & ~clear).alias("conflict"))
+
+    ranked = F.transform(
+        let(F.struct(_best(title).alias("head"), _best(body).alias("rest")), pool),
+        lambda c, i: F.struct(c["score"].alias("score"), c["start"].alias("start"), c["end"].alias("end"), (-i).alias("order"), c.alias("it")),
+    )
+    return let(ranked, lambda r: let(F.struct(r.alias("ranked"), F.array_max(r).alias("top")), led))
 
 
 def confidence(chosen: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,6 +17,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def filled(c: Column | str) -> Column:
     """Null as the empty string."""
     return F.coalesce(_col(c), F.lit(""))

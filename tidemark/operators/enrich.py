@@ -37,7 +37,7 @@ def supporting(events: DataFrame, hits: DataFrame) -> DataFrame:
 def vote(ballots: DataFrame, *, key: str = "event_seq") -> DataFrame:
     """Per key: the span most articles name (start, end, votes), and tied where two spans lead."""
     counted = ballots.groupBy(key, "start", "end").agg(F.count(F.lit(1)).alias("votes"), F.max("score").alias("score"), F.min("seq").alias("first"))
-    order = Window.partitionBy(key).orderBy(F.desc("votes"), F.desc("score"), "first")
+    order = Window.partitionBy(key).orderBy(F.desc("votes"), F.desc("score"), "first", "start", "end")
     ranked = counted.withColumns({"_r": F.row_number().over(order), "_next": F.lead("votes").over(order)})
     return ranked.filter("_r = 1").select(key, "start", "end", "votes", F.coalesce(F.col("votes") == F.col("_next"), F.lit(False)).alias("tied"))
 

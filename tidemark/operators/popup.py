@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import real_date
-from ..functions.text import collapse, filled, find_all
+from ..functions.text import collapse, filled, find_all, let
 
 # Titles that are taken, and titles that only amend an earlier notice.
 POPUP_TITLE = r"(pop\s*[-–—]?\s*up|popup|팝업|ポップアップ)"
@@ -122,12 +122,15 @@ def without_weekdays(text: Column) -> Column:
 
 def contexts(text: Column) -> Column:
     """Snippets from each period marker on, and the beginning of the text; distinct, in this order."""
-    clean = without_weekdays(text)
 
-    def after(marker: str) -> Column:
-        return F.transform(find_all(F.lower(clean), rf"\Q{marker.lower()}\E", 0), lambda m: F.substring(clean, m["from"] + 1, SNIPPET))
+    def after(clean: Column, low: Column, marker: str) -> Column:
+        return F.transform(find_all(low, rf"\Q{marker.lower()}\E", 0), lambda m: F.substring(clean, m["from"] + 1, SNIPPET))
 
-    return F.array_distinct(F.concat(*[after(m) for m in PERIOD_MARKERS], F.array(F.substring(clean, 1, HEAD))))
+    def of(both: Column) -> Column:
+        clean, low = both["clean"], both["low"]
+        return F.array_distinct(F.concat(*[after(clean, low, m) for m in PERIOD_MARKERS], F.array(F.substring(clean, 1, HEAD))))
+
+    return let(without_weekdays(text), lambda clean: let(F.struct(clean.alias("clean"), F.lower(clean).alias("low")), of))
 
 
 _PERIOD = "array<struct<start:date,end:date,said:string>>"
@@ -176,8 +179,14 @@ def ranked_periods(title: Column, body: Column) -> Column:
     every = F.flatten(F.transform(contexts(F.concat_ws(" ", filled(title), filled(body))), scored))
     numbered = F.transform(every, lambda p, i: F.struct((-p["score"]).alias("a"), i.alias("b"), p.alias("it")))
     ordered = F.transform(F.array_sort(numbered), lambda p: p["it"])
-    same = F.transform(ordered, lambda p: F.struct(p["start"], p["end"], p["said"]))
-    return F.filter(ordered, lambda p, i: F.array_position(same, F.struct(p["start"], p["end"], p["said"])) == i + 1)
+
+    def distinct(both: Column) -> Column:
+        return F.filter(both["ordered"], lambda p, i: F.array_position(both["same"], F.struct(p["start"], p["end"], p["said"])) == i + 1)
+
+    def beside(o: Column) -> Column:
+        return F.struct(o.alias("ordered"), F.transform(o, lambda p: F.struct(p["start"], p["end"], p["said"])).alias("same"))
+
+    return let(ordered, lambda o: let(beside(o), distinct))
 
 
 def location(title: Column, body: Column) -> Column:
