@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+from difflib import SequenceMatcher
 
 import duckdb
 import pytest
@@ -35,11 +36,19 @@ def test_against_sql(spark, duck, name):
     assert _rows(made.columns, [tuple(r) for r in made.collect()]) == _rows(expected.columns, expected.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.queries()) - set(catalogue.oracle_sql()) - {"daily_run"}))
+@pytest.mark.parametrize("name", sorted(set(catalogue.queries()) - set(catalogue.oracle_sql()) - {"daily_run", "ratio_pairs"}))
 def test_without_sql(spark, name):
     assert catalogue.queries()[name](spark, DATA).count() > 0
 
 
+def test_ratio_pairs(spark, duck):
+    data = "/root/testdata/sf0.01"
+    pairs = duck.sql(f"""SELECT a.p_partkey, b.p_partkey, a.p_name, b.p_name FROM '{data}/part.parquet' a JOIN '{data}/part.parquet' b
+    ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey""").fetchall()
+    expected = {(a, b): r for a, b, x, y in pairs if (r := SequenceMatcher(None, x, y).ratio()) >= 0.72}
+    assert expected and {(r["l"], r["r"]): r["ratio"] for r in catalogue.queries()["ratio_pairs"](spark, data).collect()} == expected
+
+
 def test_entry_needs_no_llm(monkeypatch):
     import __spark_entry__
 
