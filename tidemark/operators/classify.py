@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clip, filled
+from ..functions.text import clip, filled, let
 from ..vocabulary import ANNOUNCES, REJECTIONS, RULES, Rejection, Rule
 
 PER_HIT, MOST = 3, 12
@@ -16,18 +16,23 @@ OTHER = "OTHER"
 
 def classified(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """struct<activity, score, keywords>: the best rule (the earlier one on ties) and the sorted keywords of all rules that hit."""
-    low = F.lower(filled(text))
-    hits = [F.filter(F.array(*[F.lit(k) for k in r.keywords]), lambda k: F.contains(low, F.lower(k))) for r in rules]
-    scored = F.array(
-        *[
-            F.struct((F.lit(r.base) + F.least(F.lit(MOST), PER_HIT * (F.size(h) - 1))).alias("score"), F.lit(-i).alias("order"), F.lit(r.activity).alias("activity"), h.alias("hits"))
-            for i, (r, h) in enumerate(zip(rules, hits))
-        ]
-    )
-    met = F.filter(scored, lambda s: F.size(s["hits"]) > 0)
-    best = F.array_max(F.transform(met, lambda s: F.struct(s["score"].alias("score"), s["order"].alias("order"), s["activity"].alias("activity"))))
-    keywords = F.array_sort(F.array_distinct(F.flatten(F.transform(met, lambda s: s["hits"]))))
-    return F.struct(F.coalesce(best["activity"], F.lit(OTHER)).alias("activity"), F.coalesce(best["score"], F.lit(0)).alias("score"), keywords.alias("keywords"))
+
+    def rate(low: Column) -> Column:
+        hits = [F.array_compact(F.array(*[F.when(F.contains(low, F.lit(k.lower())), k) for k in r.keywords])) for r in rules]
+        scored = F.array(
+            *[
+                F.struct((F.lit(r.base) + F.least(F.lit(MOST), PER_HIT * (F.size(h) - 1))).alias("score"), F.lit(-i).alias("order"), F.lit(r.activity).alias("activity"), h.alias("hits"))
+                for i, (r, h) in enumerate(zip(rules, hits))
+            ]
+        )
+        return F.filter(scored, lambda s: F.size(s["hits"]) > 0)
+
+    def best_of(met: Column) -> Column:
+        best = F.array_max(F.transform(met, lambda s: F.struct(s["score"].alias("score"), s["order"].alias("order"), s["activity"].alias("activity"))))
+        keywords = F.array_sort(F.array_distinct(F.flatten(F.transform(met, lambda s: s["hits"]))))
+        return F.struct(F.coalesce(best["activity"], F.lit(OTHER)).alias("activity"), F.coalesce(best["score"], F.lit(0)).alias("score"), keywords.alias("keywords"))
+
+    return let(F.lower(filled(text)), lambda low: let(rate(low), best_of))
 
 
 def classify(articles: DataFrame, rules: tuple[Rule, ...] = RULES, *, title_only: bool = True) -> DataFrame:
