@@ -209,7 +209,9 @@ def connected(edges: DataFrame) -> DataFrame:
 def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, tree: int = TREE) -> DataFrame:
     """One row per input row: doc_id, fingerprint (hexadecimal), component_id (the smallest doc_id reachable)."""
     prints = cut(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")))
+    # in two steps: the partial counts of one very common fingerprint, one per map task, spread over the salts first
+    counted = prints.groupBy("fp", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")).agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    distinct = cut(counted.groupBy("fp").agg(F.min("first_id").alias("first_id"), F.sum("n").alias("n")))
     members = cut(connected(links(distinct.select("fp"), radius=radius, tree=tree)))
     named = members.join(distinct, members["node"] == distinct["fp"])
     labels = named.groupBy("root").agg(F.min("first_id").alias("label"))
