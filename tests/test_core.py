@@ -12,7 +12,7 @@ from tidemark import schemas
 from tidemark.functions import dates, keys, names, similarity, text
 from tidemark.operators import classify, cluster, decisions, enrich, extract, feeds, popup, qa, resolve, scan, schedule, state
 from tidemark.plans import backfill, daily, review
-from tidemark.sources import files, html, search_api, sinks
+from tidemark.sources import embedded, files, html, search_api, sinks
 
 NOW = "2026-07-31 08:00:00"
 
@@ -355,6 +355,22 @@ def test_html(spark):
     assert [(r["url"], r["title"]) for r in html.listed(pages).orderBy("place").collect()] == [("https://s.org/news/1?utm_source=x", "First story"), ("https://o.org/post/3", "Third & last")]
 
 
+def test_embedded(spark):
+    nested = r"""{"a":{"title":"BLUE A POP-UP Weverse","n":[{"noticeBody":"Tokyo <b>shop</b> &amp; more\nline"},{"note":"Operating Period: 1"},{"x":"nothing"},{"title":"Weverse"}]}}"""
+    page = f"<html><head><title>Weverse</title><script type='application/json'>{nested}</script><script>var q = 'popup opens on 3';</script></head><body>Weverse</body></html>"
+    long = "<script>{\"body\":\"" + "ab\\\"c" * 100_000 + "\"}</script>"
+    rows = [(1, "u", page), (2, "u", "<h1>Plain</h1>text"), (3, None, None), (4, "u", long), (5, "u", "<title>Weverse</title>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in embedded.notices(pages).collect()}
+    assert (got[1]["title"], got[1]["body"], got[1]["method"]) == ("BLUE A POP-UP", "Tokyo shop & more line Operating Period: 1 var q = 'popup opens on 3';", "html+script_json")
+    assert (got[2]["title"], got[2]["body"], got[2]["method"]) == ("Plain", "Plain text", "html")
+    assert got[3]["method"] == got[5]["method"] == "shell_only" and got[4]["body"] == 'ab"c' * 100_000
+    found = embedded.notices(pages.filter("page_id IN (2, 5)")).selectExpr("*", "'[NOTICE] Found' AS search_title", "'a snippet' AS search_body")
+    filled = {r["page_id"]: (r["title"], r["body"], r["method"]) for r in embedded.with_search(found).collect()}
+    assert filled == {2: ("Plain", "Plain text a snippet", "html+search_append"), 5: ("Found", "Found a snippet", "shell_only+search_title+search_body")}
+    assert embedded.notices(pages.limit(0)).count() == 0
+
+
 def test_search_items(spark):
     items = spark.createDataFrame([(1, "g1", "q", "<b>Blue</b> &quot;x&quot;", "https://www.yna.co.kr/1", "https://p/1", "d", "Fri, 31 Jul 2026 08:00:00 +0900"), (2, "g1", "q", "t", "", "https://p/2", None, "no date")], "seq long, searched_id string, search_query string, title string, originallink string, link string, description string, pubDate string")
     r = {x["seq"]: x for x in search_api.as_articles(items, NOW).collect()}

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .functions import dates, keys, similarity, text
+from .functions import dates, keys, names, similarity, text
 from .operators import classify, cluster, decisions, enrich, extract, feeds, popup, qa, resolve, scan, schedule, state
 from .plans import daily
-from .sources import html
+from .sources import embedded, html
 from .vocabulary import Rejection, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,6 +206,24 @@ def html_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.listed(table(spark, sf_dir, "pages").select("page_id", "url", "html"), link=".", least=2)
 
 
+@query("""SELECT page_id, 'Page ' || page_id AS titles, 'no. ' || page_id || ' & "é"' AS texts FROM pages""")
+def script_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles and texts out of a script that is put before each page."""
+    script = F.concat(F.lit('<script>{"a": [{"title": "Page <b>'), F.col("page_id"), F.lit('</b>"}, {"body": "no. '), F.col("page_id"), F.lit(' &amp; \\"\\u00e9\\""}]}</script>'), text.filled("html"))
+    made = embedded.script_texts(table(spark, sf_dir, "pages").select("page_id", script.alias("html")))
+    return made.select("page_id", F.array_join("titles", "|").alias("titles"), F.array_join("texts", "|").alias("texts"))
+
+
+@query(
+    """SELECT o_orderkey AS seq, CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN '도쿄' WHEN 1 THEN '부산' WHEN 2 THEN '' ELSE '서울|오사카' END AS cities, 'Green ' || o_orderkey || ' Hall' AS venues FROM orders"""
+)
+def event_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cities and venues out of announcements made of orders."""
+    said = F.expr("CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 'live in Tokyo' WHEN 1 THEN '부산 공연' WHEN 2 THEN 'somewhere' ELSE 'OSAKA and Seoul' END || ', Green ' || o_orderkey || ' Hall'")
+    made = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("seq"), said.alias("said"))
+    return made.select("seq", F.array_join(names.cities(F.col("said")), "|").alias("cities"), F.array_join(names.venues(F.col("said")), "|").alias("venues"))
+
+
 @query(
     """WITH s AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderkey % 60 AS INT) - 5 AS n FROM orders)
 SELECT o_orderkey, CAST(CASE WHEN n BETWEEN 0 AND 45 THEN n + 1 ELSE 0 END AS INT) AS days, CASE WHEN n BETWEEN 0 AND 45 THEN CAST(CAST(a + n AS DATE) AS VARCHAR) END AS last,
