@@ -209,10 +209,24 @@ def connected(edges: DataFrame) -> DataFrame:
 def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, tree: int = TREE) -> DataFrame:
     """One row per input row: doc_id, fingerprint (hexadecimal), component_id (the smallest doc_id reachable)."""
     prints = cut(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle))
+    distinct = _distinct(prints)
+    return _labelled(prints, distinct, links(distinct.select("fp"), radius=radius, tree=tree))
+
+
+def _distinct(prints: DataFrame) -> DataFrame:
+    """fp, first_id, n."""
     # in two steps: the partial counts of one very common fingerprint, one per map task, spread over the salts first
     counted = prints.groupBy("fp", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")).agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    distinct = cut(counted.groupBy("fp").agg(F.min("first_id").alias("first_id"), F.sum("n").alias("n")))
-    members = cut(connected(links(distinct.select("fp"), radius=radius, tree=tree)))
+    return cut(counted.groupBy("fp").agg(F.min("first_id").alias("first_id"), F.sum("n").alias("n")))
+
+
+def labelled(prints: DataFrame, edges: DataFrame) -> DataFrame:
+    """As ``components``, of given prints doc_id, fp and links a, b between them."""
+    return _labelled(prints, _distinct(prints), edges)
+
+
+def _labelled(prints: DataFrame, distinct: DataFrame, edges: DataFrame) -> DataFrame:
+    members = cut(connected(edges))
     named = members.join(distinct, members["node"] == distinct["fp"])
     labels = named.groupBy("root").agg(F.min("first_id").alias("label"))
     labelled = members.join(labels, "root").select(F.col("node").alias("fp"), "label")
@@ -232,7 +246,11 @@ def drop_near_duplicates(docs: DataFrame, *, broadcast_rows: int = BROADCAST_ROW
 
     A null doc_id names nothing that could be compared, so such rows stay.
     """
-    made = components(docs, id_col=id_col, **settings)
+    return keep_first(docs, components(docs, id_col=id_col, **settings), id_col=id_col, broadcast_rows=broadcast_rows)
+
+
+def keep_first(docs: DataFrame, made: DataFrame, *, id_col: str = "doc_id", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The input's rows and columns without the documents that do not name their component."""
     lost_id = fresh(docs, "lost_id")
     losers = cut(made.filter("doc_id <> component_id").select(F.col("doc_id").alias(lost_id)).distinct())
     small = losers.count() <= broadcast_rows
