@@ -6,11 +6,12 @@ same text as the plain ones but are written so that Java's engine neither recurs
 run of characters: possessive groups, and look-behinds that let a match start only where the
 plain pattern's leftmost match can start.
 
-Terms: for a word w and a kind of entity k the corpus gives n(w), the documents that hold w,
-n(w, k), the documents in which w stands near an entity of kind k, n(k) and N. With
-IC(k) = log2(N / n(k)) and PMI(w; k) = log2(n(w, k) N / (n(w) n(k))), disclosure = PMI / IC is 1
-where w always comes with such an entity. Words near at least ``support`` distinct values whose
-disclosure reaches ``generalise`` are spans of kind ``term``; in sanitised text they become
+Terms: an entity e is a kind (any span of it). For a word w the
+corpus gives n(w), the documents that hold w outside base spans, n(w, e), those of them that hold e
+anywhere, n(e) and N. With IC(e) = log2(N / n(e)) and PMI(w; e) = log2(n(w, e) N / (n(w) n(e))),
+disclosure = PMI / IC is 1 where w never comes without e. Words that share at least ``support``
+different texts with an entity and whose disclosure reaches ``generalise`` are spans of kind
+``term`` wherever they stand, also in texts without an entity; in sanitised text they become
 ``[TERM]``, or are removed from ``remove`` on. All counts cover all documents.
 
 Defined cases: null text is empty and has no spans; equal texts get equal spans; ties and
@@ -39,7 +40,9 @@ PATTERNS = {
 #: A cheap test that holds wherever the pattern can match.
 GATES = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 WORD = r"\p{L}{3,}+"
-REACH = 64
+SALTS = 8
+#: Rows of entities or terms up to which they are broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def _find_all(text: Column, pattern: str) -> Column:
@@ -98,75 +101,78 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(kind) for kind in KINDS])
 
 
-def _near(text: Column, span: Column, base: Column) -> Column:
-    """Words that stand whole within REACH characters of a span and in no span: array<struct<kind, value, start, end, term>>."""
+def _masked(text: Column, base: Column) -> Column:
+    """The text with every base span blanked, so that all other places stay."""
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    spans = F.array_sort(F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+    def step(acc: Column, span: Column) -> Column:
+        first, last = F.greatest(acc["at"], span["start"]), F.greatest(acc["at"], span["end"])
+        return F.struct(last.alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, first - acc["at"]), F.repeat(F.lit(" "), last - first)).alias("out"))
+
+    blanked = F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(base) > 0, blanked).otherwise(text)
 
-    def words(first: Column, last: Column) -> Column:
-        found = _find_all(F.substring(text, first + 1, last - first), WORD)
-        whole = F.filter(found, lambda w: ((w["start"] > 0) | (first == 0)) & ((w["end"] < last - first) | (last == F.length(text))))
-        return F.transform(
-            whole,
-            lambda w: F.struct(
-                span["kind"].alias("kind"),
-                span["value"].alias("value"),
-                (w["start"] + first).alias("start"),
-                (w["end"] + first).alias("end"),
-                F.lower(w["value"]).alias("term"),
-            ),
-        )
 
-    first, last = F.greatest(span["start"] - REACH, F.lit(0)), F.least(span["end"] + REACH, F.length(text))
-    both = F.concat(words(first, span["start"]), words(span["end"], last))
-    return F.filter(both, lambda w: ~F.exists(base, lambda b: (w["start"] < b["end"]) & (w["end"] > b["start"])))
+def _words(text: Column, base: Column) -> Column:
+    """The distinct lower-case words of a text that stand in no base span."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(_masked(text, base), F.lit(WORD), F.lit(0)), F.lower))
 
 
 def _described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Input rows as _pii_row, with text, base spans and a key: equal for equal texts that hold a span, spread by id otherwise."""
+    """Input rows as _pii_row, with text, base spans, a key that is equal for equal texts, and a salt that spreads their copies."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_pii_row"), F.col(id_col).alias("_pii_id"), text_of(text_col).alias("_pii_text"))
-    with_base = rows.select("*", base_spans(F.col("_pii_text")).alias("_pii_base"))
-    key = F.when(F.size("_pii_base") > 0, F.sha2("_pii_text", 256)).otherwise(F.concat(F.lit("-"), F.coalesce(F.col("_pii_id").cast("string"), F.lit(""))))
-    return with_base.select("*", key.alias("_pii_key"))
+    salt = F.pmod(F.xxhash64("_pii_id"), F.lit(SALTS)).alias("_pii_salt")
+    return rows.select("*", base_spans(F.col("_pii_text")).alias("_pii_base"), F.sha2("_pii_text", 256).alias("_pii_key"), salt)
 
 
 def contexts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per distinct text that holds a base span: key, copies, base, near (written once, as three plans read it)."""
+    """One row per distinct text that holds a base span: key, copies, base, words (written once, as several plans read it)."""
     found = _described(docs, id_col, text_col).filter(F.size("_pii_base") > 0)
-    near = F.flatten(F.transform("_pii_base", lambda s: _near(F.col("_pii_text"), s, F.col("_pii_base"))))
-    rows = found.select(F.col("_pii_key").alias("key"), F.col("_pii_base").alias("base"), F.array_distinct(near).alias("near"))
-    return cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.first("base").alias("base"), F.first("near").alias("near")))
+    rows = found.select(F.col("_pii_key").alias("key"), F.col("_pii_base").alias("base"), _words(F.col("_pii_text"), F.col("_pii_base")).alias("words"))
+    return cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.first("base").alias("base"), F.first("words").alias("words")))
 
 
-def disclosing_terms(docs: DataFrame, context: DataFrame, *, text_col: str = "text", support: int = 3, generalise: float = 0.8) -> DataFrame:
-    """kind, term, disclosure of the words that reveal a protected entity."""
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_of(text_col)), F.lit(WORD), F.lit(0)))).alias("term"))
+def disclosing_terms(docs: DataFrame, context: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8) -> DataFrame:
+    """kind, value, term, disclosure of the words that reveal an entity; an empty value stands for any of the kind."""
+    words = _described(docs, id_col, text_col).select(F.explode(_words(F.col("_pii_text"), F.col("_pii_base"))).alias("term"))
     holding = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_w"))
-    hits = context.select("key", "copies", F.explode("near").alias("w")).select("key", "copies", F.col("w.kind").alias("kind"), F.col("w.term").alias("term"), F.col("w.value").alias("value"))
-    near_docs = hits.select("key", "copies", "kind", "term").distinct().groupBy("kind", "term").agg(F.sum("copies").alias("n_wk"))
-    values = hits.select("kind", "term", "value").distinct().groupBy("kind", "term").agg(F.count(F.lit(1)).alias("values")).filter(F.col("values") >= support)
-    kinds = context.select("copies", F.explode(F.array_distinct(F.transform("base", lambda b: b["kind"]))).alias("kind")).groupBy("kind").agg(F.sum("copies").alias("n_k"))
+    kinds = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), F.lit("").alias("value")))
+    named = context.select("key", "copies", F.explode(F.array_distinct(kinds)).alias("e")).select("key", "copies", "e.kind", "e.value")
+    # a word's support is at most its entity's, so entities with less need no pairs
+    sizes = cut(named.groupBy("kind", "value").agg(F.sum("copies").alias("n_k"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support).drop("texts"))
+    known_sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
+    entities = named.join(known_sizes, ["kind", "value"], "left_semi").groupBy("key").agg(F.collect_list(F.struct("kind", "value")).alias("entities"))
+    held = context.select("key", "copies", "words").join(entities, "key").select("copies", "entities", F.explode("words").alias("term"))
+    pairs = held.select("copies", "term", F.explode("entities").alias("e")).groupBy("e.kind", "e.value", "term").agg(F.sum("copies").alias("n_wk"), F.count(F.lit(1)).alias("texts"))
     total = docs.agg(F.count(F.lit(1)).alias("n"))
-    # at most one row per kind, and one row in all: both sides of a fixed size
-    sizes = kinds.join(F.broadcast(total), F.lit(True))
-    joined = values.join(near_docs, ["kind", "term"]).join(F.broadcast(sizes), "kind").join(holding, "term")
+    joined = pairs.filter(F.col("texts") >= support).join(known_sizes, ["kind", "value"]).join(holding, "term").join(F.broadcast(total), F.lit(True))
     known = F.log2(F.col("n") / F.col("n_k"))
     shared = F.log2(F.col("n_wk") * F.col("n") / (F.col("n_w") * F.col("n_k")))
-    scored = joined.select("kind", "term", F.when(known > 0, shared / known).otherwise(F.lit(0.0)).alias("disclosure"))
+    scored = joined.select("kind", "value", "term", F.when(known > 0, shared / known).otherwise(F.lit(0.0)).alias("disclosure"))
     return scored.filter(F.col("disclosure") >= generalise)
 
 
-def term_spans(context: DataFrame, terms: DataFrame) -> DataFrame:
-    """key, found: array<struct<start, end, disclosure>> by start, for the texts that hold a disclosing term near an entity."""
-    hits = context.select("key", F.explode("near").alias("w")).select("key", F.col("w.kind").alias("kind"), F.col("w.term").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end"))
-    best = hits.join(terms, ["kind", "term"]).groupBy("key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    return best.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("found"))
-
-
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8) -> DataFrame:
-    """Input rows as struct _pii_row, with _pii_text, _pii_base (fixed patterns) and _pii_terms (disclosing words)."""
+    """Input rows as struct _pii_row, with _pii_text, _pii_base (fixed patterns) and _pii_terms (disclosing words, wherever they stand)."""
     context = contexts(docs, id_col=id_col, text_col=text_col)
-    terms = disclosing_terms(docs, context, text_col=text_col, support=support, generalise=generalise)
-    spans = term_spans(context, terms).select(F.col("key").alias("_pii_key"), F.col("found").alias("_pii_terms"))
-    return _described(docs, id_col, text_col).join(spans, "_pii_key", "left")
+    terms = disclosing_terms(docs, context, id_col=id_col, text_col=text_col, support=support, generalise=generalise)
+    best = cut(terms.groupBy("term").agg(F.max("disclosure").alias("disclosure")))
+    count = best.count()
+    rows = _described(docs, id_col, text_col)
+    none = F.array().cast("array<struct<start:int,end:int,disclosure:double>>")
+    if not count:
+        return rows.select("*", none.alias("_pii_terms"))
+    words = rows.select("_pii_key", "_pii_salt", F.explode(_words(F.col("_pii_text"), F.col("_pii_base"))).alias("term"))
+    hits = words.join(F.broadcast(best) if count <= BROADCAST_ROWS else best, "term")
+    # one row per text and salt in use: the copies of one text spread over several join tasks
+    held = hits.groupBy("_pii_key", "_pii_salt").agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosure"))).alias("_pii_held"))
+    spans = F.transform(
+        _find_all(_masked(F.col("_pii_text"), F.col("_pii_base")), WORD),
+        lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.try_element_at("_pii_held", F.lower(w["value"])).alias("disclosure")),
+    )
+    found = F.when(F.col("_pii_held").isNotNull(), F.filter(spans, lambda s: s["disclosure"].isNotNull())).otherwise(none)
+    return rows.join(held, ["_pii_key", "_pii_salt"], "left").select(*rows.columns, found.alias("_pii_terms"))
 
 
 def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
