@@ -6,7 +6,7 @@ same text as the plain ones but are written so that Java's engine neither recurs
 run of characters: possessive groups, and look-behinds that let a match start only where the
 plain pattern's leftmost match can start.
 
-Terms: an entity e is a kind (any span of it). For a word w the
+Terms: an entity e is a kind (any span of it) or one protected value of a kind. For a word w the
 corpus gives n(w), the documents that hold w outside base spans, n(w, e), those of them that hold e
 anywhere, n(e) and N. With IC(e) = log2(N / n(e)) and PMI(w; e) = log2(n(w, e) N / (n(w) n(e))),
 disclosure = PMI / IC is 1 where w never comes without e. Words that share at least ``support``
@@ -138,7 +138,8 @@ def disclosing_terms(docs: DataFrame, context: DataFrame, *, id_col: str = "doc_
     words = _described(docs, id_col, text_col).select(F.explode(_words(F.col("_pii_text"), F.col("_pii_base"))).alias("term"))
     holding = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_w"))
     kinds = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), F.lit("").alias("value")))
-    named = context.select("key", "copies", F.explode(F.array_distinct(kinds)).alias("e")).select("key", "copies", "e.kind", "e.value")
+    values = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), F.lower(b["value"]).alias("value")))
+    named = context.select("key", "copies", F.explode(F.array_distinct(F.concat(kinds, values))).alias("e")).select("key", "copies", "e.kind", "e.value")
     # a word's support is at most its entity's, so entities with less need no pairs
     sizes = cut(named.groupBy("kind", "value").agg(F.sum("copies").alias("n_k"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support).drop("texts"))
     known_sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
