@@ -22,6 +22,8 @@ Offsets are code points, ends are exclusive. Spans of different kinds may overla
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +47,8 @@ SALTS = 8
 BROADCAST_ROWS = 100_000
 
 
-def _find_all(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, value>> of all matches, offsets in code points.
+def _find_all(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """array<struct<start, end, value>> of all matches (whose value is wanted), offsets in code points.
 
     Java splits at the same matches that it extracts, so starts are running sums of the lengths
     of gaps and matches.
@@ -58,7 +60,7 @@ def _find_all(text: Column, pattern: str) -> Column:
         start = acc["at"] + F.length(pair["gap"])
         end = start + F.length(pair["hit"])
         span = F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("value"))
-        return F.struct(F.coalesce(end, acc["at"]).alias("at"), F.when(pair["hit"].isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span))).alias("spans"))
+        return F.struct(F.coalesce(end, acc["at"]).alias("at"), F.when(pair["hit"].isNull() if wanted is None else ~F.coalesce(wanted(pair["hit"]), F.lit(False)), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span))).alias("spans"))
 
     return F.aggregate(pairs, zero, step, lambda acc: acc["spans"])
 
@@ -169,10 +171,10 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sup
     # one row per text and salt in use: the copies of one text spread over several join tasks
     held = hits.groupBy("_pii_key", "_pii_salt").agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosure"))).alias("_pii_held"))
     spans = F.transform(
-        _find_all(_masked(F.col("_pii_text"), F.col("_pii_base")), WORD),
+        _find_all(_masked(F.col("_pii_text"), F.col("_pii_base")), WORD, lambda hit: F.map_contains_key("_pii_held", F.lower(hit))),
         lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.try_element_at("_pii_held", F.lower(w["value"])).alias("disclosure")),
     )
-    found = F.when(F.col("_pii_held").isNotNull(), F.filter(spans, lambda s: s["disclosure"].isNotNull())).otherwise(none)
+    found = F.when(F.col("_pii_held").isNotNull(), spans).otherwise(none)
     return rows.join(held, ["_pii_key", "_pii_salt"], "left").select(*rows.columns, found.alias("_pii_terms"))
 
 
