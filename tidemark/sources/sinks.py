@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import filled, formula_safe
+from ..lineage import exists
 
 
 def safe(df: DataFrame) -> DataFrame:
@@ -35,12 +36,7 @@ def append_log(df: DataFrame, path: str) -> None:
 def append_daily(df: DataFrame, path: str) -> None:
     """Appends a run's rows; rows of another header are replaced."""
     spark = df.sparkSession
-    try:
-        same = spark.read.parquet(path).columns == df.columns
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        same = True
+    same = not exists(spark, path) or spark.read.parquet(path).columns == df.columns
     df.write.mode("append" if same else "overwrite").parquet(path)
 
 
