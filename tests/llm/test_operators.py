@@ -243,6 +243,16 @@ def test_exact_dedup(spark, docs):
     assert rows == sorted([(1, 1, 3, True), (1, 1, 3, True), (None, 1, 3, False), (None, 2, 2, False), (2, 2, 2, True)], key=str)
 
 
+@pytest.mark.parametrize("limit", [0, 1_000])
+@pytest.mark.parametrize("drop", [exact_dedup.drop_duplicates, simhash.drop_near_duplicates])
+def test_repeated_rows_leave_one(spark, drop, limit):
+    rows = [(1, "a", "x"), (1, "a", "y"), (1, "b", "z"), (None, "c", "x"), (None, "c", None), (None, "C", "x"), (7, "d", "x"), (8, "D", "x"), (8, "D", "x")]
+    kept = drop(spark.createDataFrame(rows, "doc_id long, text string, lost_id string"), broadcast_rows=limit)
+    assert kept.columns == ["doc_id", "text", "lost_id"]
+    last = 8 if drop is exact_dedup.drop_duplicates else 7
+    assert sorted(((r["doc_id"], r["text"].lower()) for r in kept.collect()), key=str) == sorted([(1, "a"), (1, "b"), (None, "c"), (last, "d")], key=str)
+
+
 def _labelled(spark, column):
     rng = random.Random(9)
     good = ["the", "river", "and", "Stone", "bridge", "holds", "water", "early", "morning", "light"]

@@ -14,10 +14,10 @@ texts of a digest by then and raises an error if two texts ever shared one, so n
 rest on a collision.
 
 Defined cases: a null text counts as empty; empty texts form one group; the largest doc_id of a
-group stays (nulls lose against any number; a group of only nulls keeps its nulls); rows that
-repeat both doc_id and text are one document and share its decision; an empty table gives an
-empty result; further columns, whatever their names, are ignored by ``decisions`` and passed
-through by ``drop_duplicates``.
+group stays (nulls lose against any number; a group of only nulls keeps a null); rows that repeat
+both doc_id and text are one document: they share its decision, and ``drop_duplicates`` leaves one
+of them; an empty table gives an empty result; further columns, whatever their names, are ignored
+by ``decisions`` and passed through by ``drop_duplicates``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import cut, fresh, lower_ascii, text_of
+from ._spark import lower_ascii, text_of, without
 
 #: Rows of a dropped-id table up to which the last filter is a broadcast join (8 bytes of id and 64 of digest each).
 BROADCAST_ROWS = 200_000
@@ -64,14 +64,6 @@ def decisions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int = 8, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The input's rows and columns without the documents that lose against an equal text.
-
-    The losers' ids are written once; they are broadcast only while their counted number is
-    small, and joined by shuffle beyond that.
-    """
-    made = decisions(docs, id_col=id_col, text_col=text_col, salts=salts)
-    lost_id, lost_digest = fresh(docs, "lost_id"), fresh(docs, "lost_digest")
-    losers = cut(made.filter(~F.col("kept")).select(F.col("doc_id").alias(lost_id), F.col("text_sha256").alias(lost_digest)).distinct())
-    small = losers.count() <= broadcast_rows
-    match = F.col(id_col).eqNullSafe(F.col(lost_id)) & (F.sha2(_normal(text_col), 256) == F.col(lost_digest))
-    return docs.join(F.broadcast(losers) if small else losers, match, "left_anti")
+    """The input's rows and columns without the documents that lose against an equal text; of rows that repeat doc_id and text, one stays."""
+    made = decisions(docs, id_col=id_col, text_col=text_col, salts=salts).filter("group_size > 1").select("doc_id", F.col("text_sha256").alias("digest"), F.col("kept").alias("stays"))
+    return without(docs, made, id_col, F.sha2(_normal(text_col), 256), broadcast_rows)

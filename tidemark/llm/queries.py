@@ -49,7 +49,7 @@ FROM rendered GROUP BY conv_id
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.components(table(spark, sf_dir, "documents"))
+    return simhash.components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
