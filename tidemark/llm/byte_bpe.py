@@ -1,14 +1,16 @@
 """Byte-level BPE encoding and decoding by overlapping chunks.
 
-Long texts are cut into chunks that overlap; the chunks are dealt over the cluster and
-pre-tokenised in parallel. Neighbours are stitched where their pre-token boundaries agree: the
-pattern looks ahead but never back, so from a boundary that both have found on, both read the
-same pre-tokens. A cut is taken only at a boundary before a plain space that follows a character
-which is not a space, so that a piece reads alone as it reads in its text. The pieces are then
-encoded, and decoding concatenates the raw bytes of the ids. Shorter texts are one chunk and are
-encoded where they are read, without a shuffle.
-
-Where an overlap holds no such boundary (one very long word), the text is encoded as a whole.
+Texts are cut into chunks that overlap; the chunks are dealt over the cluster and pre-tokenised in
+parallel. Neighbours are stitched where their pre-token boundaries agree: the pattern looks ahead
+but never back, so from a boundary that both have found on, both read the same pre-tokens. A cut is
+taken only at a boundary before a plain space that follows a character which is not a space, so
+that a piece reads alone as it reads in its text. Where two neighbours meet depends on the two
+alone, so each pair is stitched by itself, and each piece is encoded in a task of its own; counts
+and ids are then put together in the order of the pieces, and decoding concatenates the raw bytes
+of the ids. A text of one chunk is one piece: nothing is stitched, and it is encoded where it is
+read, without a shuffle.
+
+Chunks between which there is no meeting point (inside one very long word) are encoded as one piece.
 
 Defined cases: null text counts as empty and has no ids; equal texts get equal ids; equal long
 texts are chunked once; an empty table gives an empty result; further columns are ignored.
@@ -24,10 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import text_of
+from ._spark import cut, text_of
 
 CHUNK = 32_768
 OVERLAP = 512
@@ -56,70 +58,86 @@ def boundaries(chunk: str, pattern: str) -> np.ndarray:
     return np.fromiter((m.start() for m in _pretokens(pattern).finditer(chunk)), dtype=np.int32)
 
 
-def stitch(chunks: list[str], starts: list[np.ndarray], chunk: int, overlap: int) -> list[str] | None:
-    """The text as pieces that can be encoded alone; None if two neighbours do not resynchronise."""
-    pieces, begin = [], 0
-    for i, text in enumerate(chunks):
-        if i + 1 == len(chunks):
-            pieces.append(text[begin:])
-            return pieces
-        ours = starts[i][(starts[i] > max(begin, chunk)) & (starts[i] < len(text) - MARGIN)]
-        common = np.intersect1d(ours, starts[i + 1][starts[i + 1] < overlap] + chunk)
-        meet = next((p for p in common.tolist() if text[p] == " " and not text[p - 1].isspace()), None)
-        if meet is None:
-            return None
-        pieces.append(text[begin:meet])
-        begin = meet - chunk
-    return pieces
-
-
-def _digest(ids: list[int], numerals: list[str], decoder) -> tuple[int, str, str]:
-    said = ",".join([numerals[i] for i in ids]).encode()
-    return len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(decoder.decode_bytes(ids)).hexdigest()
+def meeting(text: str, ours: np.ndarray, theirs: np.ndarray, chunk: int, overlap: int) -> int | None:
+    """Where a chunk and the next one resynchronise: a position in this chunk's text, in the overlap, or None."""
+    mine = ours[(ours > chunk) & (ours < len(text) - MARGIN)]
+    common = np.intersect1d(mine, theirs[theirs < overlap] + chunk)
+    return next((p for p in common.tolist() if text[p] == " " and not text[p - 1].isspace()), None)
 
 
 def encode(text: str, encoder) -> list[int]:
     return encoder.encode_ordinary(text)
 
 
-def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """Per document: doc_id, n_tokens, ids_sha256 and, from the decoded ids, decoded_sha256."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    long = F.length("text") > chunk + overlap
-    id_type = rows.schema["doc_id"].dataType.simpleString()
+def _whole(rows: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Digests of texts of one chunk, encoded where they are read."""
 
-    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(path, pattern)
         numerals = [str(i) for i in range(encoder.n_vocab)]
         for batch in batches:
-            made = [_digest(encode(t.as_py(), encoder), numerals, encoder) for t in batch.column(1)]
-            columns = [pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))]
+            found = [encode(t.as_py(), encoder) for t in batch.column(1)]
+            said = [hashlib.sha256(",".join([numerals[i] for i in ids]).encode()).hexdigest() for ids in found]
+            raw = [hashlib.sha256(encoder.decode_bytes(ids)).hexdigest() for ids in found]
+            columns = [pa.array([len(ids) for ids in found], pa.int64()), pa.array(said), pa.array(raw)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    direct = rows.filter(~long).mapInArrow(short, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.select("doc_id", "text").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
-    keyed = rows.filter(long).withColumn("key", F.sha2("text", 256))
-    numbers = F.sequence(F.lit(0), F.floor((F.length("text") - overlap - 1) / chunk).cast("int"))
-    cuts = F.transform(numbers, lambda n: F.struct(n.alias("n"), F.substr(F.col("text"), n * chunk + 1, F.lit(chunk + overlap)).alias("chunk")))
-    dealt = keyed.select("key", F.explode(cuts).alias("c")).groupBy("key", F.col("c.n").alias("n")).agg(F.first("c.chunk").alias("chunk"))
+
+def encoded_pieces(texts: DataFrame, path: str, pattern: str, *, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """key, piece, n_tokens, ids (decimal, joined by commas), raw (decoded bytes) of distinct texts key, text, a row per piece."""
+    numbers = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("text") - overlap - 1) / chunk)).cast("int"))
+    last = F.size(numbers) - 1
+    cuts = F.transform(numbers, lambda n: F.struct(n.alias("n"), (n == last).alias("last"), F.substr(F.col("text"), n * chunk + 1, F.lit(chunk + overlap)).alias("chunk")))
+    dealt = texts.select("key", F.explode(cuts).alias("c")).select("key", "c.*").repartition("key", "n")
 
     def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [boundaries(c.as_py(), pattern).tobytes() for c in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=["key", "n", "chunk", "starts"])
-
-    def join(frame: pd.DataFrame) -> pd.DataFrame:
+            found = [boundaries(c.as_py(), pattern) for c in batch.column(3)]
+            columns = [pa.array([s.tobytes() for s in part], pa.binary()) for part in (found, [s[s < overlap] for s in found])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=["key", "n", "last", "chunk", "starts", "head"])
+
+    parsed = cut(dealt.mapInArrow(pretokenise, "key string, n int, last boolean, chunk string, starts binary, head binary"))
+
+    @F.pandas_udf("int")
+    def meet(text: pd.Series, ours: pd.Series, theirs: pd.Series) -> pd.Series:
+        found = [meeting(t, np.frombuffer(o, dtype=np.int32), np.frombuffer(h, dtype=np.int32), chunk, overlap) for t, o, h in zip(text, ours, theirs)]
+        return pd.Series(found, dtype="Int32")
+
+    heads = parsed.filter("n > 0").select("key", (F.col("n") - 1).alias("n"), F.col("head").alias("theirs"))
+    met = cut(parsed.filter("NOT last").join(heads, ["key", "n"]).select("key", "n", meet("chunk", "starts", "theirs").alias("stop")))
+    before = met.select("key", (F.col("n") + 1).alias("n"), (F.col("stop") - chunk).alias("start"))
+    placed = parsed.select("key", "n", "last", "chunk").join(met, ["key", "n"], "left").join(before, ["key", "n"], "left")
+    # chunks between which there is no meeting point are one piece; a row per chunk, without its text, is numbered
+    runs = before.withColumn("piece", F.max(F.when(F.col("start").isNotNull(), F.col("n"))).over(Window.partitionBy("key").orderBy("n"))).select("key", "n", F.coalesce("piece", F.lit(0)).alias("piece"))
+    upto = F.when(F.col("last"), F.length("chunk")).otherwise(F.coalesce("stop", F.lit(chunk)))
+    own = F.substr(F.col("chunk"), F.coalesce("start", F.lit(0)) + 1, upto - F.coalesce("start", F.lit(0)))
+    parts = placed.join(runs, ["key", "n"], "left").select("key", F.coalesce("piece", F.lit(0)).alias("piece"), "n", own.alias("part"))
+    pieces = parts.groupBy("key", "piece").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "part"))), lambda p: p["part"]), "").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(path, pattern)
-        frame = frame.sort_values("n")
-        chunks = frame["chunk"].tolist()
-        pieces = stitch(chunks, [np.frombuffer(s, dtype=np.int32) for s in frame["starts"]], chunk, overlap)
-        if pieces is None:
-            pieces = ["".join([c[:chunk] for c in chunks[:-1]] + chunks[-1:])]
-        ids = [i for piece in pieces for i in encode(piece, encoder)]
-        n, said, raw = _digest(ids, [str(i) for i in range(encoder.n_vocab)], encoder)
-        return pd.DataFrame({"key": [frame["key"].iloc[0]], "n_tokens": [n], "ids_sha256": [said], "decoded_sha256": [raw]})
-
-    parsed = dealt.select("key", "n", "chunk").mapInArrow(pretokenise, "key string, n int, chunk string, starts binary")
-    encoded = parsed.groupBy("key").applyInPandas(join, "key string, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    stitched = keyed.select("doc_id", "key").join(encoded, "key").drop("key")
-    return direct.unionByName(stitched)
+        numerals = [str(i) for i in range(encoder.n_vocab)]
+        for batch in batches:
+            found = [encode(t.as_py(), encoder) for t in batch.column(2)]
+            said, raw = [",".join([numerals[i] for i in ids]) for ids in found], [encoder.decode_bytes(ids) for ids in found]
+            columns = [pa.array([len(ids) for ids in found], pa.int64()), pa.array(said), pa.array(raw, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["key", "piece", "n_tokens", "ids", "raw"])
+
+    return pieces.mapInArrow(run, "key string, piece int, n_tokens long, ids string, raw binary")
+
+
+def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """Per document: doc_id, n_tokens, ids_sha256 and, from the decoded ids, decoded_sha256."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    several = F.length("text") > chunk + overlap
+    keyed = rows.filter(several).withColumn("key", F.sha2("text", 256))
+    texts = keyed.groupBy("key").agg(F.first("text").alias("text"))
+    encoded = encoded_pieces(texts, path, pattern, chunk=chunk, overlap=overlap)
+    ordered = encoded.groupBy("key").agg(F.sum("n_tokens").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("piece", "ids", "raw"))).alias("own"))
+    joined = F.array_join(F.transform("own", lambda p: p["ids"]), ",")
+    raw = F.array_join(F.transform("own", lambda p: p["raw"].cast("string")), "")
+    whole = ordered.select("key", "n_tokens", F.sha2(joined, 256).alias("ids_sha256"), F.sha2(raw, 256).alias("decoded_sha256"))
+    stitched = keyed.select("doc_id", "key").join(whole, "key").drop("key")
+    return _whole(rows.filter(~several), path, pattern).unionByName(stitched)

@@ -102,7 +102,8 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     """One row per conversation.
 
     conv_id, formatted, turns (role and text as reparsed from formatted), layout (per turn: level,
-    characters, and where its body starts and how long it is inside the turn), verified.
+    characters, where its body starts and how long it is inside the turn, and whether the body is
+    under the loss mask), verified.
     """
     rows = conversations.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"))
     level = lowest_level(F.col("role"), F.col("text"))
@@ -118,6 +119,7 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
                 p["level"].alias("level"),
                 (F.length(_safe_role(p["role"])) + len(HEAD) + 3).alias("body_start"),
                 p["digest"].alias("digest"),
+                (p["role"] == ASSISTANT).alias("loss"),
             ),
         ).alias("parts"),
     )
@@ -131,15 +133,26 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
             F.length(p["rendered"]).alias("chars"),
             p["body_start"].alias("body_start"),
             (F.length(p["rendered"]) - p["body_start"] - len(END) - 1).alias("body_chars"),
+            p["loss"].alias("loss"),
         ),
     )
     return parsed.select("conv_id", "formatted", "turns", layout.alias("layout"), F.coalesce(same, F.lit(False)).alias("verified"))
 
 
+def under_loss(formatted: Column, layout: Column) -> Column:
+    """The text under the loss mask, unescaped: the masked range of each turn of the formatted text, in order, nothing between."""
+    turns = F.zip_with(
+        F.split(formatted, END + "\n", -1),
+        layout,
+        lambda turn, at: F.when(at["loss"], _unescape(F.substr(turn, at["body_start"] + 1, at["body_chars"]), at["level"].cast("string"))).otherwise(""),
+    )
+    return F.array_join(turns, "")
+
+
 def digests(formatted: DataFrame) -> DataFrame:
-    """Counts and digests of what the formatted conversations say when read back."""
+    """Counts and digests of what the formatted conversations say when read back; the loss digest reads the text under the mask."""
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    masked = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == ASSISTANT), lambda t: t["text"]), "")
+    masked = under_loss(F.col("formatted"), F.col("layout"))
     return formatted.select("conv_id", "formatted", "turns", "verified", said.alias("said"), masked.alias("masked")).select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

@@ -17,7 +17,7 @@ BLOCK = 576
 RATE = 8_000
 PARTITIONS = 3  # as a power of two
 PRECISION = 12
-AT_ONCE = 2_048
+AT_ONCE = 1_024
 MAX_RICE = 14
 
 _FIXED = {0: [], 1: [1], 2: [2, -1], 3: [3, -3, 1], 4: [4, -6, 4, -1]}

@@ -6,7 +6,7 @@ features, and ``pcm_blocks`` writes decoded PCM as rows with their sample offset
 of samples is a filter.
 
 Defined cases: null text counts as empty, and an empty text is one block of 255s; equal texts give
-equal streams; long texts are coded some thousand blocks at a time; a damaged stream fails the
+equal streams; long texts are coded about a thousand blocks at a time; a damaged stream fails the
 task with the reason; an empty table gives an empty result; further columns are ignored.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from . import flac
 from ._spark import text_of
 
 #: Payload bytes that are coded at once.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 def payload(text: str) -> bytes:
@@ -34,7 +34,8 @@ def payload(text: str) -> bytes:
     return raw + b"\xff" * (-len(raw) % flac.BLOCK if raw else flac.BLOCK)
 
 
-def _slices(values: list, limit: int) -> Iterator[list]:
+def _slices(values: Iterable[bytes], limit: int) -> Iterator[list[bytes]]:
+    """Runs of values of about ``limit`` bytes; only one run is held."""
     held, size = [], 0
     for value in values:
         held.append(value)
@@ -53,7 +54,7 @@ def store(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lp
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for own in _slices([payload(t.as_py()) for t in batch.column(1)], SLICE):
+            for own in _slices((payload(t.as_py()) for t in batch.column(1)), SLICE):
                 made = pa.array(flac.write_streams(own, lpc_order), pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(own)), made], names=["doc_id", "media"])
                 at += len(own)
@@ -77,7 +78,7 @@ def load(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for own in _slices([m.as_py() for m in batch.column(1)], SLICE):
+            for own in _slices((m.as_py() for m in batch.column(1)), SLICE):
                 made = [
                     (len(p.rstrip(b"\xff")), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(m), hashlib.sha256(m).hexdigest(), features(p))
                     for m, p in zip(own, flac.read_streams(own))
@@ -97,7 +98,7 @@ def pcm_blocks(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "me
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for own in _slices([m.as_py() for m in batch.column(1)], SLICE):
+            for own in _slices((m.as_py() for m in batch.column(1)), SLICE):
                 decoded = flac.read_streams(own)
                 spread = np.repeat(np.arange(at, at + len(own)), [len(p) // flac.BLOCK for p in decoded])
                 offsets = [o for p in decoded for o in range(0, len(p), flac.BLOCK)]

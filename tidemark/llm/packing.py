@@ -12,8 +12,8 @@ Pieces are numbered without a hot task: they are spread over (length, bucket), c
 numbered inside a bucket from the running sum of the counts.
 
 Defined cases: null text counts as empty; an empty text is one piece that holds the end id; rows
-that repeat are packed as often as they stand; ties are broken by doc_id and piece; an empty
-table gives an empty result; further columns are ignored.
+that repeat are packed as often as they stand; ties are broken by doc_id and piece; doc_id keeps
+its type; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +37,10 @@ BUCKETS = 256
 WASTE = 0.004
 ROUNDS = 400
 
-_PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+#: Lengths tried at each place of a pattern of two and of three documents before the one that closes it; they bound the plan's work, whatever the input.
+TWO, THREE = (512, 48), (64, 24, 24)
+
+_PIECES = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
 
 
 def _byte_of_symbol() -> dict[str, int]:
@@ -81,20 +84,23 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text
         encode = tokenizer(tokenizer_path)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            owner: list[int] = []
+            for i, text in enumerate(batch.column(1)):
                 ids = np.append(encode(text.as_py()), np.uint32(end_id)).astype("<u4")
                 first = len(ids) % capacity or capacity
                 starts = [0, *range(first, len(ids), capacity)]
                 for n, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
-                    rows.append((doc_id, n, a, b - a, zlib.crc32(ids[a:b].tobytes())))
+                    owner.append(i)
+                    rows.append((n, a, b - a, zlib.crc32(ids[a:b].tobytes())))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _PIECES.types)], schema=_PIECES)
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), _PIECES)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), *columns], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
-def patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
+def patterns(lengths: np.ndarray, capacity: int, two: tuple[int, int] = TWO, three: tuple[int, int, int] = THREE) -> np.ndarray:
     """Multisets of two to four of the lengths that nearly fill a sequence, one a row, zeros to the right."""
     slack = int(capacity * WASTE)
 
@@ -112,11 +118,8 @@ def patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
     def spread(values: np.ndarray, n: int) -> np.ndarray:
         return values[np.unique(np.linspace(0, len(values) - 1, min(n, len(values))).astype(int))]
 
-    one = lengths[:, None]
-    few, fewer = spread(lengths, 48), spread(lengths, 24)
-    two = np.stack(np.meshgrid(spread(lengths, 512), few, indexing="ij"), -1).reshape(-1, 2)
-    three = np.stack(np.meshgrid(spread(lengths, 64), fewer, fewer, indexing="ij"), -1).reshape(-1, 3)
-    rows = np.concatenate([closing(x) for x in (one, two, three)])
+    fixed = [np.stack(np.meshgrid(*[spread(lengths, n) for n in tried], indexing="ij"), -1).reshape(-1, len(tried)) for tried in (two, three)]
+    rows = np.concatenate([closing(x) for x in (lengths[:, None], *fixed)])
     return np.unique(-np.sort(-rows, axis=1), axis=0)
 
 

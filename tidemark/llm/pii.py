@@ -11,8 +11,11 @@ corpus gives n(w), the documents that hold w outside base spans, n(w, e), those
 anywhere, n(e) and N. With IC(e) = log2(N / n(e)) and PMI(w; e) = log2(n(w, e) N / (n(w) n(e))),
 disclosure = PMI / IC is 1 where w never comes without e. Words that share at least ``support``
 different texts with an entity and whose disclosure reaches ``generalise`` are spans of kind
-``term`` wherever they stand, also in texts without an entity; in sanitised text they become
-``[TERM]``, or are removed from ``remove`` on. All counts cover all documents.
+``term`` wherever they stand, also in texts without an entity. In sanitised text they are removed
+from ``remove`` on, and generalised below it: the same counts are taken for the classes of words
+that begin with the same four and the same two letters (``LEVELS``), and a term becomes its first
+class that itself stays below ``generalise``, written as ``ab*``; without such a class it becomes
+``[TERM]``. All counts cover all documents.
 
 Defined cases: null text is empty and has no spans; equal texts get equal spans; ties and
 repeated rows count as often as they stand; an empty table gives an empty result; further columns
@@ -42,9 +45,12 @@ PATTERNS = {
 #: A cheap test that holds wherever the pattern can match.
 GATES = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 WORD = r"\p{L}{3,}+"
+#: Letters by which words are put into classes, the hierarchy along which terms are generalised.
+LEVELS = (4, 2)
 SALTS = 8
 #: Rows of entities or terms up to which they are broadcast.
 BROADCAST_ROWS = 100_000
+_TERMS = "array<struct<start:int,end:int,disclosure:double,put:string>>"
 
 
 def _find_all(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
@@ -121,11 +127,22 @@ def _words(text: Column, base: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(_masked(text, base), F.lit(WORD), F.lit(0)), F.lower))
 
 
+def _class(word: Column, letters: int) -> Column:
+    """The class of the words that begin alike, written as ``ab*``; no word holds a star."""
+    return F.concat(F.left(word, F.lit(letters)), F.lit("*"))
+
+
+def _with_classes(words: Column) -> Column:
+    """Words and the classes that they belong to."""
+    return F.concat(words, *[F.array_distinct(F.transform(words, lambda w: _class(w, n))) for n in LEVELS])
+
+
 def _described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Input rows as _pii_row, with text, base spans, a key that is equal for equal texts, and a salt that spreads their copies."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_pii_row"), F.col(id_col).alias("_pii_id"), text_of(text_col).alias("_pii_text"))
     salt = F.pmod(F.xxhash64("_pii_id"), F.lit(SALTS)).alias("_pii_salt")
-    return rows.select("*", base_spans(F.col("_pii_text")).alias("_pii_base"), F.sha2("_pii_text", 256).alias("_pii_key"), salt)
+    # a generator of one element: the spans are found once a row, however often they are used above
+    return rows.select("*", F.sha2("_pii_text", 256).alias("_pii_key"), salt, F.explode(F.array(base_spans(F.col("_pii_text")))).alias("_pii_base"))
 
 
 def contexts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -135,56 +152,84 @@ def contexts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     return cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.first("base").alias("base"), F.first("words").alias("words")))
 
 
-def disclosing_terms(docs: DataFrame, context: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8) -> DataFrame:
-    """kind, value, term, disclosure of the words that reveal an entity; an empty value stands for any of the kind."""
-    words = _described(docs, id_col, text_col).select(F.explode(_words(F.col("_pii_text"), F.col("_pii_base"))).alias("term"))
-    holding = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_w"))
+def _small(df: DataFrame) -> DataFrame:
+    """A written table, for broadcast while its counted rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def disclosures(docs: DataFrame, context: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8) -> DataFrame:
+    """kind, value, term, disclosure of words and classes of words; an empty value stands for any of the kind.
+
+    Words and classes that cannot reach ``generalise`` are left out.
+    """
+    total = F.broadcast(docs.agg(F.count(F.lit(1)).alias("n")))
     kinds = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), F.lit("").alias("value")))
     values = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), F.lower(b["value"]).alias("value")))
     named = context.select("key", "copies", F.explode(F.array_distinct(F.concat(kinds, values))).alias("e")).select("key", "copies", "e.kind", "e.value")
     # a word's support is at most its entity's, so entities with less need no pairs
     sizes = cut(named.groupBy("kind", "value").agg(F.sum("copies").alias("n_k"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support).drop("texts"))
-    known_sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
+    known_sizes = _small(sizes)
     entities = named.join(known_sizes, ["kind", "value"], "left_semi").groupBy("key").agg(F.collect_list(F.struct("kind", "value")).alias("entities"))
-    held = context.select("key", "copies", "words").join(entities, "key").select("copies", "entities", F.explode("words").alias("term"))
-    pairs = held.select("copies", "term", F.explode("entities").alias("e")).groupBy("e.kind", "e.value", "term").agg(F.sum("copies").alias("n_wk"), F.count(F.lit(1)).alias("texts"))
-    total = docs.agg(F.count(F.lit(1)).alias("n"))
-    joined = pairs.filter(F.col("texts") >= support).join(known_sizes, ["kind", "value"]).join(holding, "term").join(F.broadcast(total), F.lit(True))
+    near = context.select("key", "copies", F.explode(_with_classes(F.col("words"))).alias("term"))
+    held = near.join(entities, "key").select("copies", "term", F.explode("entities").alias("e"))
+    pairs = held.groupBy("e.kind", "e.value", "term").agg(F.sum("copies").alias("n_wk"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
     known = F.log2(F.col("n") / F.col("n_k"))
-    shared = F.log2(F.col("n_wk") * F.col("n") / (F.col("n_w") * F.col("n_k")))
-    scored = joined.select("kind", "value", "term", F.when(known > 0, shared / known).otherwise(F.lit(0.0)).alias("disclosure"))
-    return scored.filter(F.col("disclosure") >= generalise)
+
+    def scored(rows: DataFrame) -> DataFrame:
+        shared = F.log2(F.col("n_wk") * F.col("n") / (F.col("n_w") * F.col("n_k")))
+        return rows.withColumn("disclosure", F.when(known > 0, shared / known).otherwise(F.lit(0.0))).filter(F.col("disclosure") >= generalise)
+
+    # n(w) is at least what the texts with an entity hold, which leaves few words to be counted in all texts
+    least = near.groupBy("term").agg(F.sum("copies").alias("n_w"))
+    possible = cut(scored(pairs.join(known_sizes, ["kind", "value"]).join(least, "term").join(total, F.lit(True))).drop("n_w", "texts", "disclosure"))
+    wanted = _small(cut(possible.select("term").distinct()))
+    words = _described(docs, id_col, text_col).select(F.explode(_with_classes(_words(F.col("_pii_text"), F.col("_pii_base")))).alias("term"))
+    holding = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_w"))
+    return scored(possible.join(holding, "term")).select("kind", "value", "term", "disclosure")
+
+
+def disclosing_terms(found: DataFrame) -> DataFrame:
+    """term, disclosure (the greatest over all entities), put: the first class of the term that is below the threshold, or ``[TERM]``."""
+    best = cut(found.groupBy("term").agg(F.max("disclosure").alias("disclosure")))
+    terms = best.filter(~F.endswith("term", F.lit("*")))
+    classes = best.filter(F.endswith("term", F.lit("*"))).select(F.col("term").alias("class"), F.lit(True).alias("discloses"))
+    put = F.lit("[TERM]")
+    for n in sorted(LEVELS):
+        terms = terms.join(classes, _class(F.col("term"), n) == F.col("class"), "left").drop("class")
+        put = F.when(F.col("discloses").isNull(), _class(F.col("term"), n)).otherwise(put)
+        terms = terms.withColumn("put", put).drop("discloses")
+        put = F.col("put")
+    return terms
 
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8) -> DataFrame:
     """Input rows as struct _pii_row, with _pii_text, _pii_base (fixed patterns) and _pii_terms (disclosing words, wherever they stand)."""
     context = contexts(docs, id_col=id_col, text_col=text_col)
-    terms = disclosing_terms(docs, context, id_col=id_col, text_col=text_col, support=support, generalise=generalise)
-    best = cut(terms.groupBy("term").agg(F.max("disclosure").alias("disclosure")))
-    count = best.count()
+    terms = cut(disclosing_terms(disclosures(docs, context, id_col=id_col, text_col=text_col, support=support, generalise=generalise)))
     rows = _described(docs, id_col, text_col)
-    none = F.array().cast("array<struct<start:int,end:int,disclosure:double>>")
-    if not count:
+    none = F.array().cast(_TERMS)
+    if terms.isEmpty():
         return rows.select("*", none.alias("_pii_terms"))
     words = rows.select("_pii_key", "_pii_salt", F.explode(_words(F.col("_pii_text"), F.col("_pii_base"))).alias("term"))
-    hits = words.join(F.broadcast(best) if count <= BROADCAST_ROWS else best, "term")
+    hits = words.join(_small(terms), "term")
     # one row per text and salt in use: the copies of one text spread over several join tasks
-    held = hits.groupBy("_pii_key", "_pii_salt").agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosure"))).alias("_pii_held"))
+    held = cut(hits.groupBy("_pii_key", "_pii_salt").agg(F.map_from_entries(F.collect_set(F.struct("term", F.struct("disclosure", "put")))).alias("_pii_held")))
     spans = F.transform(
         _find_all(_masked(F.col("_pii_text"), F.col("_pii_base")), WORD, lambda hit: F.map_contains_key("_pii_held", F.lower(hit))),
-        lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.try_element_at("_pii_held", F.lower(w["value"])).alias("disclosure")),
+        lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.try_element_at("_pii_held", F.lower(w["value"])).alias("said")),
     )
-    found = F.when(F.col("_pii_held").isNotNull(), spans).otherwise(none)
-    return rows.join(held, ["_pii_key", "_pii_salt"], "left").select(*rows.columns, found.alias("_pii_terms"))
+    named = F.transform(spans, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), w["said"]["disclosure"].alias("disclosure"), w["said"]["put"].alias("put")))
+    found = F.when(F.col("_pii_held").isNotNull(), named).otherwise(none)
+    return rows.join(_small(held), ["_pii_key", "_pii_salt"], "left").select(*rows.columns, found.alias("_pii_terms"))
 
 
 def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
-    """The input's rows and columns; in the text, base spans become [KIND] and disclosing words [TERM] or nothing."""
+    """The input's rows and columns; in the text, base spans become [KIND] and disclosing words their class, [TERM] or nothing."""
     found = find(docs, id_col=id_col, text_col=text_col, support=support, generalise=generalise)
     base = F.transform("_pii_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("put")))
     words = F.transform(
-        F.coalesce("_pii_terms", F.array().cast("array<struct<start:int,end:int,disclosure:double>>")),
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["disclosure"] >= remove, "").otherwise("[TERM]").alias("put")),
+        F.coalesce("_pii_terms", F.array().cast(_TERMS)),
+        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["disclosure"] >= remove, "").otherwise(s["put"]).alias("put")),
     )
     text = F.col("_pii_text")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -209,7 +254,7 @@ def report(docs: DataFrame, **settings) -> DataFrame:
 
     base = said(F.col("_pii_base"))
     words = F.transform(
-        F.coalesce("_pii_terms", F.array().cast("array<struct<start:int,end:int,disclosure:double>>")),
+        F.coalesce("_pii_terms", F.array().cast(_TERMS)),
         lambda s: F.concat_ws(":", F.lit("term"), s["start"].cast("string"), s["end"].cast("string")),
     )
 

@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import cut, text_of
+from ._spark import fresh, text_of
 
 NAMES = ("length", "word", "upper", "symbol", "digit", "distinct", "doubled", "top", "bare", "ends", "lines", "spread")
 SHRINK = 0.02
 #: The largest log-density difference that is believed; the tails of a normal density say more than a sample can know.
 BOUND = 12.0
+#: Labelled ids up to which they are broadcast (8 bytes each).
+BROADCAST_ROWS = 1_000_000
 
 _TABLE = 0x110000
 _KINDS = np.zeros(_TABLE, dtype=np.uint8)  # 0 letter without case or other, 1 lower, 2 upper, 3 digit, 4 space, 5 symbol
@@ -138,8 +140,11 @@ def scores(described: DataFrame, model: Model) -> DataFrame:
 
 
 def keep(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", shrink: float = SHRINK) -> DataFrame:
-    """The input's rows and columns whose score reaches the threshold."""
-    model = fit(cut(features(docs, id_col=id_col, text_col=text_col)), labels, id_col=id_col, label_col=label_col, shrink=shrink)
+    """The input's rows and columns whose score reaches the threshold; only labelled rows are described twice."""
+    known = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias(fresh(docs, "_known"))).distinct()
+    match = F.col(id_col) == F.col(fresh(docs, "_known"))
+    taught = docs.join(F.broadcast(known) if known.count() <= BROADCAST_ROWS else known, match, "left_semi")
+    model = fit(features(taught, id_col=id_col, text_col=text_col), labels, id_col=id_col, label_col=label_col, shrink=shrink)
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:

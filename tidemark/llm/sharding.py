@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import fresh
+from ._spark import cut, fresh
 
 SHARDS = 40
 BITS = 4
@@ -71,7 +71,11 @@ def quantise_size(size: Column, bits: int = BITS, low: int = 4) -> Column:
 
 
 def shards(docs: DataFrame, *, count: int = SHARDS, bits: int = BITS, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """Per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (null under this law), cell."""
+    """Per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (null under this law), cell.
+
+    Of ``names`` those that docs has are dimensions, beside the size.
+    """
+    names = tuple(n for n in names if n in docs.columns)
 
     @F.pandas_udf("int")
     def curve(*axes: pd.Series) -> pd.Series:
@@ -81,7 +85,9 @@ def shards(docs: DataFrame, *, count: int = SHARDS, bits: int = BITS, buckets: i
     measured = docs.select(
         F.col(id_col).alias("doc_id"), size.alias("size"), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"), *[quantise_name(n, bits).alias(f"axis_{i}") for i, n in enumerate(names)]
     )
-    placed = measured.select("doc_id", "size", "text_crc32", curve(*[f"axis_{i}" for i in range(len(names))], quantise_size(F.col("size"), bits)).alias("cell"), F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(buckets)).alias("bucket"))
+    axes = [*[f"axis_{i}" for i in range(len(names))], quantise_size(F.col("size"), bits)]
+    # written once, as the counts and the ranks both read it
+    placed = cut(measured.select("doc_id", "size", "text_crc32", curve(*axes).alias("cell"), F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(buckets)).alias("bucket")))
 
     counts = placed.groupBy("cell", "bucket").agg(F.count(F.lit(1)).alias("n"))
     cells = counts.groupBy("cell").agg(F.sum("n").alias("n"))

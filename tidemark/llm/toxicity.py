@@ -8,8 +8,9 @@ attention weighs their states, and a logistic unit scores the weighted mean.
 
 Training knows labels of documents only, so the window that speaks for a document is chosen again
 each few epochs: the highest-scored one, first by the words' smoothed log-odds; clean documents
-add a random window. The sample holds at most ``sample`` documents of each label (a documented
-bound), picked by a hash of doc_id; vocabularies come from it, so the model's size is bounded too.
+add a random window. The sample holds at most ``sample`` documents of each label, picked by a hash of
+doc_id, and of them those of at most ``longest`` characters (documented bounds); vocabularies come
+from it, so the model's size is bounded too. Scores read whole texts of any length.
 
 Defined cases: null text counts as empty; a text without words gets the score of a window without
 words; labels that are null are ignored; without labels of both kinds every score is the share of
@@ -32,6 +33,8 @@ from ._spark import text_of
 
 WINDOW, STRIDE = 32, 16
 SAMPLE = 1_500
+#: Characters up to which a labelled text is taken into the sample: with SAMPLE it bounds what reaches the driver.
+LONGEST = 40_000
 UNITS, VECTOR = 8, 6
 MIN_DOCS = 3
 EPOCHS, BATCH, RATE = 24, 256, 0.02
@@ -284,13 +287,13 @@ class Scorer:
         return _sigmoid(best.astype(np.float64))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Network | float:
-    """A network for at most ``sample`` labelled documents of each label, or the share of toxic labels where there is only one."""
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, longest: int = LONGEST) -> Network | float:
+    """A network for at most ``sample`` labelled documents of each label and ``longest`` characters, or the share of toxic labels where there is only one."""
     known = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
     order = [F.xxhash64("_id"), F.col("_id")]
     picked = known.filter("_y = 1").orderBy(*order).limit(sample).unionByName(known.filter("_y = 0").orderBy(*order).limit(sample))
     # at most 2 * sample rows of an id and a label
-    rows = docs.select(F.col(id_col).alias("_doc"), text_of(text_col).alias("_text")).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
+    rows = docs.select(F.col(id_col).alias("_doc"), text_of(text_col).alias("_text")).filter(F.length("_text") <= longest).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
     held = sorted((r["_doc"], r["_text"], r["_y"]) for r in rows.select("_doc", "_text", "_y").collect())
     net = train([t for _, t, _ in held], [y for _, _, y in held])
     return net if net is not None else (sum(y for _, _, y in held) / len(held) if held else 0.0)
