@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 
@@ -63,6 +64,14 @@ def test_chat_round_trip(spark):
     made = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit("clash")))
     out = {r[0]: tuple(r[1:5]) for r in chat.digests(made).collect()}
     assert out == brute.turns(rows)
+    for r in made.collect():  # the mask covers the bodies of assistant turns and nothing else
+        at = 0
+        for turn, place in zip(r["turns"], r["layout"]):
+            assert place["loss"] == (turn["role"] == "assistant")
+            body = r["formatted"][at + place["body_start"] : at + place["body_start"] + place["body_chars"]]
+            assert r["formatted"][at : at + 4] == "### " and (place["level"] > 0 or body == turn["text"])
+            at += place["chars"]
+        assert at == len(r["formatted"])
     assert all(r["verified"] for r in made.collect())
     for r in made.collect():
         assert r["formatted"].count("</turn>\n") == len(r["turns"])
@@ -136,6 +145,12 @@ def test_packing(docs):
     assert len(sequences) <= -(-total // packing.CAPACITY) + 1
 
 
+def test_packing_keeps_the_type_of_ids(spark):
+    docs = spark.createDataFrame([("a-1", "one two"), ("b", None), (None, "x"), ("b", None)], "doc_id string, text string")
+    placed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    assert sorted((r["doc_id"] or "" for r in placed)) == ["", "a-1", "b", "b"] and len({r["sequence_id"] for r in placed}) == 1
+
+
 def test_packing_plan_is_tight():
     rng = np.random.default_rng(4)
     lengths = np.minimum(2048, rng.lognormal(5.5, 1.2, 50_000).astype(int) + 1)
@@ -159,6 +174,43 @@ def test_media(docs):
     assert all(len(s) == 1 for s in by_text.values())
 
 
+def _bits(value: int, n: int) -> str:
+    return format(value & ((1 << n) - 1), f"0{n}b")
+
+
+def _plain_flac(payload: bytes) -> bytes:
+    """A stream written bit by bit after the format's description, sharing no code with the operator: second differences, one partition."""
+
+    def crc(data: bytes, polynomial: int, width: int) -> int:
+        value, top = 0, 1 << (width - 1)
+        for byte in data:
+            value ^= byte << (width - 8)
+            for _ in range(8):
+                value = ((value << 1) ^ polynomial if value & top else value << 1) & ((1 << width) - 1)
+        return value
+
+    frames = []
+    samples = [b - 128 for b in payload]
+    for n in range(0, len(samples), 576):
+        x = samples[n : n + 576]
+        head = bytes([0xFF, 0xF8, 0x20, 0x02, n // 576])
+        head += bytes([crc(head, 0x07, 8)])
+        rest = [x[i] - 2 * x[i - 1] + x[i - 2] for i in range(2, 576)]
+        folded = [2 * r if r >= 0 else -2 * r - 1 for r in rest]
+        k = min(range(15), key=lambda k: sum((f >> k) + 1 + k for f in folded))
+        body = _bits((8 + 2) << 1, 8) + _bits(x[0], 8) + _bits(x[1], 8) + "00" + "0000" + _bits(k, 4)
+        body += "".join("0" * (f >> k) + "1" + (_bits(f, k) if k else "") for f in folded)
+        body += "0" * (-len(body) % 8)
+        frame = head + bytes(int(body[i : i + 8], 2) for i in range(0, len(body), 8))
+        frames.append(frame + crc(frame, 0x8005, 16).to_bytes(2, "big"))
+    sizes = [len(f) for f in frames]
+    pcm = bytes(s & 255 for s in samples)
+    info = (576).to_bytes(2, "big") * 2 + min(sizes).to_bytes(3, "big") + max(sizes).to_bytes(3, "big")
+    info += ((8_000 << 44) | (0 << 41) | (7 << 36) | len(samples)).to_bytes(8, "big") + hashlib.md5(pcm).digest()
+    seek = b"".join((i * 576).to_bytes(8, "big") + sum(sizes[:i]).to_bytes(8, "big") + (576).to_bytes(2, "big") for i in range(len(frames)))
+    return b"fLaC" + bytes([0]) + len(info).to_bytes(3, "big") + info + bytes([0x83]) + len(seek).to_bytes(3, "big") + seek + b"".join(frames)
+
+
 def test_flac_forms_and_damage():
     rng = np.random.default_rng(0)
     wave = (127 + 90 * np.sin(np.arange(576 * 3) / 9)).astype(np.uint8).tobytes()
@@ -169,6 +221,7 @@ def test_flac_forms_and_damage():
         streams = flac.write_streams(payloads, order)
         assert flac.read_streams(streams) == payloads
         assert flac.read_block(streams[0], 2) == wave[1152:]
+    assert flac.read_streams([_plain_flac(p) for p in payloads]) == payloads
     broken = bytearray(flac.write_streams([wave])[0])
     broken[-40] ^= 1
     with pytest.raises(ValueError):
@@ -179,6 +232,33 @@ def test_personal_data(docs):
     assert _by_id(pii.report(docs), "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == {d: brute.personal(t) for d, t in ROWS}
 
 
+def test_terms_and_classes_against_plain_counts(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 7))) for _ in range(150)] + ["zone", "quiet", "quilt"]
+    rows = []
+    for i in range(260):
+        own = [rng.choice(words) for _ in range(rng.randint(5, 30))]
+        if i % 9 == 0:
+            own[rng.randrange(len(own))] = f"u{i}@mail.example.org"
+            own.append(rng.choice(["Zorblax", "zorbs", "quillon", "abcdefgh"]))
+        if i % 31 == 0:
+            own += ["+49 30 1234567", "Vennig"]
+        if i == 7:
+            own.append("zorblax")
+        rows.append((i, " ".join(own)))
+    rows += [(1000, None), (1001, ""), (1002, rows[9][1]), (1003, rows[9][1])]
+    clean, spans = brute.sanitised([t for _, t in rows])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    report = {r["doc_id"]: r["spans"] for r in pii.report(docs).collect()}
+    base = [brute.base_spans(t or "") for _, t in rows]
+    assert report == {d: ",".join(f"{k}:{a}:{b}" for k, a, b in [*own, *terms]) for (d, _), own, terms in zip(rows, base, spans)}
+    assert {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()} == {d: c for (d, _), c in zip(rows, clean)}
+    assert sum(map(len, spans)) > 20
+    general, _ = brute.sanitised([t for _, t in rows], remove=2.0)
+    assert {r["doc_id"]: r["text"] for r in pii.sanitise(docs, remove=2.0).collect()} == {d: c for (d, _), c in zip(rows, general)}
+    assert any("*" in (c or "") for c in general)
+
+
 def test_terms_that_disclose(spark):
     rows = [(i, f"the file says patient {'zorblax' if i % 2 else 'quiet'} is at user{i}@mail.example.com for the doctor") for i in range(0, 40)]
     rows += [(100 + i, "the file says the doctor is quiet and the mail is late for all") for i in range(200)]
@@ -224,6 +304,29 @@ def test_shards_written_and_pruned(spark, docs, tmp_path):
     assert spark.read.parquet(f"file://{tmp_path}/out").count() == docs.count()
 
 
+def test_shards_keep_metadata_together(spark):
+    rows = [(i, "x" * (1 << (i // 40 % 6) + 4), f"l{i % 4}", f"s{i // 4 % 10}") for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    placed = sharding.shards(docs, count=20).join(docs, "doc_id").groupBy("shard").agg(F.countDistinct("lang").alias("langs"), F.countDistinct("source").alias("sources"), F.countDistinct("size").alias("sizes")).collect()
+    # a reader that wants one language, source or size skips most shards
+    assert sum(r["langs"] for r in placed) <= 0.5 * 4 * 20
+    assert sum(r["sources"] for r in placed) <= 0.6 * 10 * 20
+    assert sum(r["sizes"] for r in placed) <= 0.8 * 6 * 20
+    assert sharding.shards(docs.drop("lang", "source"), count=20).count() == len(rows)
+
+
+def test_shards_against_a_plain_order(docs):
+    """Positions by sorting all rows at once."""
+    made = sharding.shards(docs, count=7)
+    rows = made.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(sharding.BUCKETS))).collect()
+    order = sorted(rows, key=lambda r: (r["cell"], r["bucket"], r["doc_id"], r["text_crc32"]))
+    first: dict[int, int] = {}
+    for position, r in enumerate(order):
+        shard = position * 7 // len(order)
+        first.setdefault(shard, position)
+        assert (r["shard"], r["slot"]) == (shard, position - first[shard])
+
+
 @pytest.mark.parametrize(("chunk", "overlap"), [(32_768, 512), (64, 16), (200, 40)])
 def test_byte_bpe(docs, chunk, overlap):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -279,6 +382,20 @@ def test_toxicity_held_out(spark):
     assert all(0 <= s <= 1 for s in scores.values()) and scores[1000] == scores[1001]
 
 
+def test_toxicity_against_a_plain_forward_pass(spark):
+    docs, labels = _labelled(spark, "toxic")
+    net = toxicity.fit(docs, labels.filter("doc_id % 5 <> 0"))
+    texts = [t or "" for _, t in ROWS if len(t or "") < 4_000] + ["vilegit", "the vilegut river " * 40]
+    made = toxicity.Scorer(net).scores(texts)
+    assert np.allclose(made, [brute.toxicity_score(net, t) for t in texts], atol=2e-4)
+    assert toxicity.Scorer(net).scores(["the vilegit " + "river " * 500])[0] > toxicity.Scorer(net).scores(["river " * 500])[0]
+
+
+def test_toxicity_sample_is_bounded(spark):
+    docs, labels = _labelled(spark, "toxic")
+    assert isinstance(toxicity.fit(docs, labels, longest=10), float)
+
+
 def test_toxicity_gradients():
     rng = np.random.default_rng(0)
     net = toxicity.Network({"a": 1, "b": 2}, {"<a>": 1, "<b>": 2}, np.zeros(3, np.float32), np.zeros(3, np.float32))
@@ -318,6 +435,18 @@ def test_quality_held_out(spark):
     assert all(0 <= s <= 1 for s in scores.values())
 
 
+def test_quality_against_plain_densities(spark):
+    docs, labels = _labelled(spark, "quality")
+    extra = [(2000 + i, t) for i, t in enumerate(t for _, t in ROWS if len(t or "") < 4_000)]
+    docs = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.collect() if len(r["text"] or "") < 4_000]
+    known = {r["doc_id"]: r["quality"] for r in labels.filter("doc_id % 4 <> 2").collect()}
+    described = quality.features(docs)
+    made = {r["doc_id"]: r["score"] for r in quality.scores(described, quality.fit(described, labels.filter("doc_id % 4 <> 2"))).collect()}
+    expected = brute.quality_scores([(t, known[d]) for d, t in rows if known.get(d) in (0, 1)], [t for _, t in rows])
+    assert np.allclose([made[d] for d, _ in rows], expected, atol=1e-6)
+
+
 def test_one_kind_of_label_or_none(spark, docs):
     for rows, expected in (([(1, 1)], 1.0), ([], None)):
         labels = spark.createDataFrame(rows, "doc_id long, quality int").withColumn("toxic", F.col("quality"))
