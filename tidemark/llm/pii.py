@@ -132,9 +132,9 @@ def _class(word: Column, letters: int) -> Column:
     return F.concat(F.left(word, F.lit(letters)), F.lit("*"))
 
 
-def _with_classes(words: Column) -> Column:
-    """Words and the classes that they belong to."""
-    return F.concat(words, *[F.array_distinct(F.transform(words, lambda w: _class(w, n))) for n in LEVELS])
+def _classes(words: Column) -> Column:
+    """The distinct classes that words belong to."""
+    return F.concat(*[F.array_distinct(F.transform(words, lambda w: _class(w, n))) for n in LEVELS])
 
 
 def _described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -157,11 +157,15 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def disclosures(docs: DataFrame, context: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8) -> DataFrame:
-    """kind, value, term, disclosure of words and classes of words; an empty value stands for any of the kind.
+def disclosures(
+    docs: DataFrame, context: DataFrame, *, tokens: Callable[[Column], Column] | None = None, only: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8
+) -> DataFrame:
+    """kind, value, term, disclosure of the words that reach ``generalise``; an empty value stands for any of the kind.
 
-    Words and classes that cannot reach ``generalise`` are left out.
+    tokens: what is counted of a text's distinct words instead of them (their classes); only: the terms
+    (column term) to which the counts are limited.
     """
+    of = tokens or (lambda words: words)
     total = F.broadcast(docs.agg(F.count(F.lit(1)).alias("n")))
     kinds = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), F.lit("").alias("value")))
     values = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), F.lower(b["value"]).alias("value")))
@@ -170,7 +174,9 @@ def disclosures(docs: DataFrame, context: DataFrame, *, id_col: str = "doc_id",
     sizes = cut(named.groupBy("kind", "value").agg(F.sum("copies").alias("n_k"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support).drop("texts"))
     known_sizes = _small(sizes)
     entities = named.join(known_sizes, ["kind", "value"], "left_semi").groupBy("key").agg(F.collect_list(F.struct("kind", "value")).alias("entities"))
-    near = context.select("key", "copies", F.explode(_with_classes(F.col("words"))).alias("term"))
+    near = context.select("key", "copies", F.explode(of(F.col("words"))).alias("term"))
+    if only is not None:
+        near = near.join(_small(only), "term", "left_semi")
     held = near.join(entities, "key").select("copies", "term", F.explode("entities").alias("e"))
     pairs = held.groupBy("e.kind", "e.value", "term").agg(F.sum("copies").alias("n_wk"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
     known = F.log2(F.col("n") / F.col("n_k"))
@@ -183,29 +189,35 @@ def disclosures(docs: DataFrame, context: DataFrame, *, id_col: str = "doc_id",
     least = near.groupBy("term").agg(F.sum("copies").alias("n_w"))
     possible = cut(scored(pairs.join(known_sizes, ["kind", "value"]).join(least, "term").join(total, F.lit(True))).drop("n_w", "texts", "disclosure"))
     wanted = _small(cut(possible.select("term").distinct()))
-    words = _described(docs, id_col, text_col).select(F.explode(_with_classes(_words(F.col("_pii_text"), F.col("_pii_base")))).alias("term"))
-    holding = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_w"))
+    words = _described(docs, id_col, text_col).select(F.explode(F.array(_words(F.col("_pii_text"), F.col("_pii_base")))).alias("words"))
+    holding = words.select(F.explode(of(F.col("words"))).alias("term")).join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_w"))
     return scored(possible.join(holding, "term")).select("kind", "value", "term", "disclosure")
 
 
-def disclosing_terms(found: DataFrame) -> DataFrame:
-    """term, disclosure (the greatest over all entities), put: the first class of the term that is below the threshold, or ``[TERM]``."""
-    best = cut(found.groupBy("term").agg(F.max("disclosure").alias("disclosure")))
-    terms = best.filter(~F.endswith("term", F.lit("*")))
-    classes = best.filter(F.endswith("term", F.lit("*"))).select(F.col("term").alias("class"), F.lit(True).alias("discloses"))
+def generalised(terms: DataFrame, classes: DataFrame) -> DataFrame:
+    """Adds put to terms: the first class of a term that is not among those that disclose too, or ``[TERM]``."""
+    known = classes.select(F.col("term").alias("class")).distinct()
     put = F.lit("[TERM]")
     for n in sorted(LEVELS):
-        terms = terms.join(classes, _class(F.col("term"), n) == F.col("class"), "left").drop("class")
-        put = F.when(F.col("discloses").isNull(), _class(F.col("term"), n)).otherwise(put)
-        terms = terms.withColumn("put", put).drop("discloses")
+        terms = terms.join(known, _class(F.col("term"), n) == F.col("class"), "left")
+        terms = terms.withColumn("put", F.when(F.col("class").isNull(), _class(F.col("term"), n)).otherwise(put)).drop("class")
         put = F.col("put")
     return terms
 
 
-def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8) -> DataFrame:
-    """Input rows as struct _pii_row, with _pii_text, _pii_base (fixed patterns) and _pii_terms (disclosing words, wherever they stand)."""
+def find(docs: DataFrame, *, puts: bool = True, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8) -> DataFrame:
+    """Input rows as struct _pii_row, with _pii_text, _pii_base (fixed patterns) and _pii_terms (disclosing words, wherever they stand).
+
+    puts: whether it is also found what generalises each term.
+    """
+    settings = {"id_col": id_col, "text_col": text_col, "support": support, "generalise": generalise}
     context = contexts(docs, id_col=id_col, text_col=text_col)
-    terms = cut(disclosing_terms(disclosures(docs, context, id_col=id_col, text_col=text_col, support=support, generalise=generalise)))
+    terms = cut(disclosures(docs, context, **settings).groupBy("term").agg(F.max("disclosure").alias("disclosure")))
+    if puts and not terms.isEmpty():
+        own = cut(terms.select(F.explode(_classes(F.array("term"))).alias("term")).distinct())
+        terms = cut(generalised(terms, cut(disclosures(docs, context, tokens=_classes, only=own, **settings))))
+    else:
+        terms = terms.withColumn("put", F.lit("[TERM]"))
     rows = _described(docs, id_col, text_col)
     none = F.array().cast(_TERMS)
     if terms.isEmpty():
@@ -247,7 +259,7 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def report(docs: DataFrame, **settings) -> DataFrame:
     """Per document: doc_id, the number of base spans by kind, base_sha256 and all spans as kind:start:end."""
-    found = find(docs, **settings)
+    found = find(docs, puts=False, **settings)
 
     def said(spans: Column) -> Column:
         return F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
