@@ -7,9 +7,12 @@ import os
 from difflib import SequenceMatcher
 
 import duckdb
+import plain
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import catalogue
+from tidemark.operators import cluster, state
 
 DATA = "/root/testdata/sf0.001"
 
@@ -36,9 +39,63 @@ def test_against_sql(spark, duck, name):
     assert _rows(made.columns, [tuple(r) for r in made.collect()]) == _rows(expected.columns, expected.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.queries()) - set(catalogue.oracle_sql()) - {"daily_run", "ratio_pairs"}))
-def test_without_sql(spark, name):
-    assert catalogue.queries()[name](spark, DATA).count() > 0
+def test_every_query_has_sql_or_a_plain_version():
+    assert set(catalogue.queries()) - set(catalogue.oracle_sql()) == {"daily_run", "greedy_cluster", "history_match", "html_listed", "html_titles", "ratio_pairs", "schedule_change_fuzzy"}
+
+
+def _dicts(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def test_history_match(spark):
+    history, events = catalogue.match_inputs(spark, DATA)
+    known, found = _dicts(history), _dicts(events)
+    expected = plain.history_keys(known, found)
+    made = {r["seq"]: r["history_key"] for r in catalogue.queries()["history_match"](spark, DATA).collect()}
+    assert made == expected
+    own = {e["seq"]: e["event_key"] for e in found}
+    assert any(not r["event_start_date"] for r in known) and sum(made[s] != own[s] for s in own) > 20 and sum(made[s] == own[s] for s in own) > 20
+
+
+def test_history_match_by_listed_days(spark):
+    """A row without a start has the first of its listed days."""
+    history, events = catalogue.match_inputs(spark, DATA)
+    one = history.filter("event_start_date = '' AND approval_status <> 'MANUAL_CONFIRMED'").orderBy("event_key").limit(1).collect()
+    row = one[0].asDict() | {"event_name": "abcdefgh"}
+    new = events.orderBy("seq").limit(1).withColumns({"artist_id": F.lit(row["artist_id"]), "event_name": F.lit("abcdzzzzyyyyxxxx"), "event_start_date": F.to_date(F.lit(row["event_dates"].split("|")[0])), "event_key": F.lit("new")})
+    assert state.history_keys(spark.createDataFrame([row], history.schema), new).first()["history_key"] == row["event_key"]
+    later = new.withColumn("event_start_date", F.date_add("event_start_date", 1))
+    assert state.history_keys(spark.createDataFrame([row], history.schema), later).first()["history_key"] == "new"
+
+
+def test_greedy_cluster(spark):
+    expected = plain.clusters(_dicts(catalogue.monthly_events(spark, DATA)))
+    assert {r["seq"]: r["cluster"] for r in catalogue.queries()["greedy_cluster"](spark, DATA).collect()} == expected
+    assert len(set(expected.values())) < len(expected)
+
+
+def test_greedy_cluster_of_like_names(spark):
+    """One day and few entities, so that anchors of many kinds meet."""
+    base = catalogue._events(spark, DATA)
+    name = F.concat(F.substring(F.md5((F.col("seq") % 40).cast("string")), 1, 6), F.substring(F.md5(F.col("seq").cast("string")), 1, 3))
+    made = base.withColumns({"artist_id": (F.col("seq") % 5).cast("string"), "event_name": name, "title": F.substring(F.md5((F.col("seq") % 300).cast("string")), 1, 4), "event_start_date": F.to_date(F.lit("2026-01-01")), "event_end_date": F.to_date(F.lit("2026-01-01")), "event_dates": F.array(F.to_date(F.lit("2026-01-01")))})
+    expected = plain.clusters(_dicts(made))
+    assert {r["seq"]: r["cluster"] for r in cluster.assign(made).select("seq", "cluster").collect()} == expected
+    assert 20 < len(set(expected.values())) < len(expected)
+
+
+def test_schedule_change_fuzzy(spark):
+    old = [e | {"event_dates": str(e["event_start_date"]), "cities": e["cities"][0]} for e in _dicts(catalogue._events(spark, DATA, "old"))]
+    expected = plain.schedule(_dicts(catalogue._events(spark, DATA, "new")), old)
+    assert {r["seq"]: tuple(r)[1:] for r in catalogue.queries()["schedule_change_fuzzy"](spark, DATA).collect()} == expected
+
+
+def test_html(spark):
+    pages = _dicts(spark.read.parquet(f"{DATA}/pages.parquet"))
+    titles = {r["page_id"]: r["title"] for r in catalogue.queries()["html_titles"](spark, DATA).collect()}
+    assert titles == {p["page_id"]: plain.title(p["html"]) for p in pages}
+    found = sorted((r["page_id"], r["url"], r["title"]) for r in catalogue.queries()["html_listed"](spark, DATA).collect())
+    assert found == sorted((p["page_id"], u, t) for p in pages for u, t in plain.listed(p["html"], p["url"]))
 
 
 def test_ratio_pairs(spark, duck):

@@ -6,8 +6,9 @@ per block of (entity, activity), which is a grouped map; everything around it (s
 representative, unions, counts) is native.
 
 The articles of one block meet in one task. A block grows with the articles on one entity's one
-activity in one run's window, not with the archive; inside it an article is compared with
-clusters by tokens and anchors it shares, so the work is not the square of the block.
+activity in one run's window, not with the archive. Inside it an article meets only articles with
+which it shares a token or whose anchor is like its own; anchors are compared once per distinct
+pair, within the bound by lengths, however many articles bear them.
 """
 
 from __future__ import annotations
@@ -43,14 +44,29 @@ def _assign(block: pd.DataFrame) -> pd.DataFrame:
     rows = block.sort_values("rank")
     members: list[tuple] = []
     cluster_of: list[int] = []
-    by_token, by_anchor, anchored = defaultdict(list), defaultdict(list), []
-
-    def alike(a: tuple, b: tuple) -> float:
-        either = len(a[0] | b[0])
-        shared = len(a[0] & b[0]) / either if either else 0.0
-        return max(shared, SequenceMatcher(None, b[1], a[1]).ratio() if a[1] and b[1] else 0.0)
-
-    def same(a: tuple, b: tuple) -> bool:
+    by_token, by_anchor = defaultdict(list), defaultdict(list)
+    ratios: dict[str, dict[str, float]] = {"": {}}
+
+    def likeness(anchor: str) -> dict[str, float]:
+        """How like each anchor so far is to this one; those that can reach no limit are left out."""
+        if anchor not in ratios:
+            own, matcher = {}, SequenceMatcher(None)
+            matcher.set_seq2(anchor)
+            for other in by_anchor:
+                if 2 * min(len(other), len(anchor)) >= BOTH * (len(other) + len(anchor)):
+                    matcher.set_seq1(other)
+                    if matcher.real_quick_ratio() >= BOTH and matcher.quick_ratio() >= BOTH and (r := matcher.ratio()) >= BOTH:
+                        own[other] = r
+            ratios[anchor] = own
+        return ratios[anchor]
+
+    def note(anchor: str) -> None:
+        """A new anchor is compared with those that were already looked for."""
+        for other, own in ratios.items():
+            if other and 2 * min(len(other), len(anchor)) >= BOTH * (len(other) + len(anchor)) and (r := SequenceMatcher(None, anchor, other).ratio()) >= BOTH:
+                own[anchor] = r
+
+    def same(a: tuple, b: tuple, alike: float) -> bool:
         dated = (a[2] is not None) + (b[2] is not None)
         overlap = dated == 2 and a[2] <= b[3] and b[2] <= a[3]
         if dated == 2 and not overlap:
@@ -59,21 +75,25 @@ def _assign(block: pd.DataFrame) -> pd.DataFrame:
             return True
         if dated == 0 and not (a[1] and b[1]):
             return False
-        return alike(a, b) >= (BOTH if overlap else ONE if dated == 1 else NONE)
+        least = BOTH if overlap else ONE if dated == 1 else NONE
+        either = len(a[0] | b[0])
+        return alike >= least or (either > 0 and len(a[0] & b[0]) >= least * either)
 
     for r in rows.itertuples(index=False):
         me = (frozenset(r.tokens), r.anchor, r.start, r.end)
-        # a similarity above zero needs a shared token or two anchors
-        near = {i for t in me[0] for i in by_token[t]} | (set(anchored) if me[1] else set())
-        found = min((cluster_of[i] for i in near if same(me, members[i])), default=None)
+        like = likeness(me[1])
+        # a similarity above zero needs a shared token or two like anchors
+        near = {i for t in me[0] for i in by_token[t]} | {i for other in like for i in by_anchor[other]}
+        found = min((cluster_of[i] for i in near if same(me, members[i], like.get(members[i][1], 0.0) if me[1] else 0.0)), default=None)
         n = len(members)
         members.append(me)
         cluster_of.append(found if found is not None else n)
         for t in me[0]:
             by_token[t].append(n)
         if me[1]:
+            if me[1] not in by_anchor:
+                note(me[1])
             by_anchor[me[1]].append(n)
-            anchored.append(n)
     seqs = rows["seq"].tolist()
     return pd.DataFrame({"seq": seqs, "cluster": [seqs[i] for i in cluster_of], "cluster_rank": [rows["rank"].iloc[i] for i in cluster_of]})
 

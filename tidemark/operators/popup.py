@@ -94,14 +94,14 @@ def _any(text: Column, words: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w.lower())) for w in words])
 
 
-def wanted(status: Column, title: Column) -> Column:
-    """Why a fetched notice is left out, or an empty string."""
+def wanted(status: Column, title: Column, *, secondary: bool = False) -> Column:
+    """Why a fetched notice is left out, or an empty string. secondary: whether notices that amend another one are taken too."""
     text = filled(title)
     return (
         F.when(F.coalesce(status != 200, F.lit(True)), "not fetched")
         .when(F.trim(text) == "", "no title")
         .when(~text.rlike(f"(?iuU){POPUP_TITLE}"), "no pop-up shop")
-        .when(text.rlike(f"(?iuU){SECONDARY_TITLE}"), "amends another notice")
+        .when(F.lit(not secondary) & text.rlike(f"(?iuU){SECONDARY_TITLE}"), "amends another notice")
         .otherwise("")
     )
 

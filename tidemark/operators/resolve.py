@@ -1,8 +1,9 @@
 """Which entity a title is about.
 
-Aliases are found by an equi-join on their first two characters, not by trying every alias on
-every title, so the dictionary may grow; a title meets only aliases whose head it holds. The
-alias side is broadcast while its counted rows are few and shuffled beyond that.
+Aliases are found by an equi-join on their first word of Latin letters and digits (which a title
+must hold as a whole word) or, in other scripts, their first two characters, not by trying every
+alias on every title, so the dictionary may grow. The alias side is broadcast while its counted
+rows are few and shuffled beyond that.
 """
 
 from __future__ import annotations
@@ -48,36 +49,45 @@ def alias_table(entities: DataFrame, blocked: list[str]) -> DataFrame:
     rows = entities.select("artist_id", F.col("name").alias("artist"), "company", "label", "priority", F.col("seq").alias("entity_seq"), F.posexplode(aliases_of(F.col("name"), F.col("aliases"), blocked)).alias("alias_seq", "alias"))
     longest = rows.withColumn("size", size).withColumn("longest", F.max(size).over(Window.partitionBy("artist_id")))
     rank = F.struct((~F.col("priority")).alias("a"), (-F.col("longest")).alias("b"), F.col("entity_seq").alias("c"), (-F.col("size")).alias("d"), F.col("alias_seq").alias("e"))
-    return longest.select("artist_id", "artist", "company", "label", "alias", rank.alias("rank"), F.lower(F.substring("alias", 1, HEAD)).alias("head"))
+    return longest.select("artist_id", "artist", "company", "label", "alias", rank.alias("rank"), _head(F.lower("alias")).alias("head"))
+
+
+def _head(low: Column) -> Column:
+    """What a title must hold as one of its heads: the alias's first run of Latin letters and digits, else its first characters."""
+    run = F.regexp_extract(low, "^[a-z0-9]+", 0)
+    return F.when(run != "", run).otherwise(F.substring(low, 1, HEAD))
+
+
+def _heads(low: Column) -> Column:
+    """All runs of Latin letters and digits of a title, and its one and two characters from any other one on."""
+    starts = F.filter(F.sequence(F.lit(1), F.length(low)), lambda i: ~F.substr(low, i, F.lit(1)).rlike("[a-z0-9\\s]"))
+    cuts = [F.transform(starts, lambda i: F.substr(low, i, F.lit(n))) for n in range(1, HEAD + 1)]
+    return F.array_distinct(F.concat(F.regexp_extract_all(low, F.lit("[a-z0-9]+"), F.lit(0)), *[F.when(low.rlike("[^a-z0-9\\s]"), c).otherwise(F.array().cast("array<string>")) for c in cuts]))
 
 
 def holds(title: Column, alias: Column) -> Column:
     """Latin letters and digits need a boundary and no case; other aliases count as written, anywhere."""
-    quoted = F.regexp_replace(alias, r"([\\^$.|?*+()\[\]{}])", r"\\$1")
-    bounded = F.concat(F.lit("(?iu)(?<![A-Za-z0-9])"), quoted, F.lit("(?![A-Za-z0-9])"))
-    return F.when(alias.rlike("[A-Za-z0-9]"), F.regexp_like(title, bounded)).otherwise(F.contains(title, alias))
+    low, name = F.concat(F.lit(" "), F.lower(title), F.lit(" ")), F.lower(alias)
+    size = F.length(name)
 
+    def bounded(i: Column) -> Column:
+        return (F.substr(low, i, size) == name) & ~F.substr(low, i - 1, F.lit(1)).rlike("[a-z0-9]") & ~F.substr(low, i + size, F.lit(1)).rlike("[a-z0-9]")
 
-def matches(titles: DataFrame, aliases: DataFrame, *, key: str = "seq", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """key and the columns of every alias that the title holds. titles: key, title."""
-    low = F.lower("title")
+    anywhere = F.exists(F.sequence(F.lit(2), F.greatest(F.length(low) - size, F.lit(2))), bounded)
+    return F.when(~name.rlike("[a-z0-9]"), F.contains(title, alias)).otherwise(F.contains(low, name) & anywhere)
 
-    def cuts(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.length(low)), lambda i: F.substr(low, i, F.lit(n)))
 
-    grams = F.array_distinct(F.flatten(F.array(*[cuts(n) for n in range(1, HEAD + 1)])))
-    heads = titles.filter(filled("title") != "").select(key, "title", F.explode(grams).alias("head"))
+def matches(titles: DataFrame, aliases: DataFrame, *, key: str = "seq", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """key and the columns of every alias that the title holds. titles: key, title."""
+    heads = titles.filter(filled("title") != "").select(key, "title", F.explode(_heads(F.lower("title"))).alias("head"))
     small = aliases.count() <= broadcast_rows
     met = heads.join(F.broadcast(aliases) if small else aliases, "head")
-    return met.filter(holds(F.col("title"), F.col("alias"))).drop("title", "head")
-
+    # an alias of one run of letters and digits is found by its head alone
+    return met.filter((F.col("head") == F.lower("alias")) & F.col("head").rlike("^[a-z0-9]+$") | holds(F.col("title"), F.col("alias"))).drop("title", "head")
 
-def resolve(articles: DataFrame, aliases: DataFrame, *, default: bool = True, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Articles with the entity that their title names: artist_id, artist, company, label and matched_artist_alias, null where it names none.
 
-    Where the ranked entities do not match, the searched entity's own aliases count (``default``);
-    with a full dictionary that adds nothing.
-    """
+def resolve(articles: DataFrame, aliases: DataFrame, *, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Articles with the entity that their title names: artist_id, artist, company, label and matched_artist_alias, null where it names none."""
     best = matches(articles.select("seq", "title"), aliases, broadcast_rows=broadcast_rows).groupBy("seq").agg(
         F.min_by(F.struct("artist_id", "artist", "company", "label", F.col("alias").alias("matched_artist_alias")), "rank").alias("it")
     )

@@ -13,20 +13,17 @@ ALIKE = 0.48
 CITY_BONUS, DATE_BONUS, REVIEW_BONUS = 12, 15, 6
 
 
-def related(articles: DataFrame, history: DataFrame, *, alike: float = ALIKE, exact: bool = False) -> DataFrame:
+def related(articles: DataFrame, history: DataFrame, *, alike: float = ALIKE) -> DataFrame:
     """Per article seq: previous_event_keys, old_dates and old_cities of the known events it may continue.
 
     An equi-join by entity; the activity must be the same or both of the tour family, and the
-    names alike. ``exact`` compares normalised names for equality instead.
+    names alike.
     """
     new = articles.select("seq", "artist_id", F.col("activity_type").alias("new_type"), letters(F.coalesce(blank_to_null("event_name"), F.col("title"))).alias("new_name"))
     old = history.select("artist_id", F.col("activity_type").alias("old_type"), letters(filled("event_name")).alias("old_name"), "event_key", "event_dates", F.col("cities").alias("old_cities"))
     family = F.col("old_type").isin(*TOUR_FAMILY) & F.col("new_type").isin(*TOUR_FAMILY)
     met = new.join(old, "artist_id").filter((F.col("old_type") == F.col("new_type")) | family)
-    if exact:
-        met = met.filter((F.col("old_name") == F.col("new_name")) & (F.col("new_name") != ""))
-    else:
-        met = met.filter(ratio_bound(F.col("old_name"), F.col("new_name")) >= alike).filter(ratio("old_name", "new_name") >= alike)
+    met = met.filter(ratio_bound(F.col("old_name"), F.col("new_name")) >= alike).filter(ratio("old_name", "new_name") >= alike)
 
     def listed(name: str) -> Column:
         return F.array_distinct(F.filter(F.flatten(F.collect_list(F.split(filled(name), r"\|"))), lambda v: v != ""))

@@ -9,11 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import candidate_id, event_key
+from ..functions.similarity import ratio, ratio_bound
 from ..functions.text import blank_to_null, filled
+from ..lineage import cut
 from ..schemas import HISTORY, QUEUE
 
 #: Least likeness of names with the same first day, and without.
 SAME_DAY, ANY_DAY = 0.25, 0.72
+#: Events of a run up to which they are broadcast to the history.
+BROADCAST_ROWS = 200_000
 
 
 def _bars(c: str) -> Column:
@@ -33,11 +37,11 @@ def keyed(events: DataFrame) -> DataFrame:
 
 def _match(key: tuple, known: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
     """The history key of each new event of one (entity, activity): its own, else that of the first like event, in order."""
-    rows = {r.event_key: [r.start, r.name, r.fixed] for r in known.sort_values("place").itertuples(index=False)}
+    rows = {r.event_key: (r.start, r.name, r.fixed) for r in known.sort_values("place").itertuples(index=False)}
     out = []
     for r in new.sort_values("place").itertuples(index=False):
         to = r.event_key
-        if to not in rows:
+        if to not in rows and not r.exact:
             for k, (start, name, _) in rows.items():
                 least = SAME_DAY if r.start and start == r.start else ANY_DAY
                 if 2 * min(len(name), len(r.name)) < least * (len(name) + len(r.name)):
@@ -46,29 +50,56 @@ def _match(key: tuple, known: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
                     to = k
                     break
         if to not in rows or not rows[to][2]:
-            rows[to] = [r.start, r.name, False]
+            rows[to] = (r.first_day, r.name, False)
         out.append((r.place, to))
     return pd.DataFrame(out, columns=["seq", "history_key"])
 
 
-def history_keys(history: DataFrame, events: DataFrame) -> DataFrame:
-    """seq, history_key. Events of one entity and activity are matched in order, so that one may find a row which an earlier one made."""
-    place = F.concat_ws("|", F.coalesce(blank_to_null("event_start_date"), blank_to_null("event_dates"), F.lit("9999-99-99")), filled("company"), filled("artist"), "event_key")
-    fixed = (filled("approval_status") == "MANUAL_CONFIRMED") | (filled("official_verified") == "Y")
-    known = history.filter(filled("event_key") != "").select("artist_id", "activity_type", "event_key", filled("event_start_date").alias("start"), F.lower(filled("event_name")).alias("name"), fixed.alias("fixed"), place.alias("place"))
-    new = events.select("artist_id", "activity_type", "event_key", _iso("event_start_date").alias("start"), F.lower(F.coalesce(blank_to_null("event_name"), F.col("title"))).alias("name"), F.col("seq").alias("place"))
-    keys = ["artist_id", "activity_type"]
-    return known.groupBy(*keys).cogroup(new.groupBy(*keys)).applyInPandas(_match, "seq long, history_key string")
+def _first_day(start: Column, days: Column) -> Column:
+    """A row's first day: its start, else the first of its listed days, else empty."""
+    return F.coalesce(blank_to_null(start), blank_to_null(F.substring_index(days, "|", 1)), F.lit(""))
+
 
+def history_keys(history: DataFrame, events: DataFrame, *, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """seq, history_key. Events of one entity and activity are matched in order, so that one may find a row which an earlier one made.
 
-def upsert_history(history: DataFrame, events: DataFrame, now: str, *, fuzzy: bool = True) -> DataFrame:
+    Only what the run can touch leaves the history: rows whose key an event has, and rows that are
+    like an event without such a key. Likeness is tested pair by pair after an equi-join by entity and
+    activity and the bound by lengths; the ordered part sees the surviving rows only, and no group
+    all of whose events have their keys in the history.
+    """
+    keys = ["artist_id", "activity_type"]
+    place = F.concat_ws("|", F.coalesce(blank_to_null("event_start_date"), blank_to_null("event_dates"), F.lit("9999-99-99")), filled("company"), filled("artist"), "event_key")
+    fixed = (filled("approval_status") == "MANUAL_CONFIRMED") | (filled("official_verified") == "Y")
+    first_day = _first_day(F.col("event_start_date"), F.col("event_dates"))
+    known = history.filter(filled("event_key") != "").select(*keys, "event_key", first_day.alias("start"), F.lower(filled("event_name")).alias("name"), fixed.alias("fixed"), place.alias("place"))
+    name = F.lower(F.coalesce(blank_to_null("event_name"), F.col("title")))
+    raw = cut(events.select(*keys, "event_key", _iso("event_start_date").alias("start"), _first_day(_iso("event_start_date"), _bars("event_dates")).alias("first_day"), name.alias("name"), F.col("seq").alias("place")))
+    small = raw.count() <= broadcast_rows
+    few = F.broadcast if small else (lambda df: df)
+    present = known.join(few(raw.select("event_key").distinct()), "event_key", "left_semi").select("event_key", F.lit(True).alias("exact"))
+    new = cut(raw.join(present, "event_key", "left").withColumn("exact", F.coalesce("exact", F.lit(False))))
+    loose = new.filter("NOT exact")
+    groups = cut(loose.select(*keys).distinct())
+
+    other = few(loose.select(*keys, F.col("start").alias("its_start"), F.col("name").alias("its_name")).distinct())
+    least = F.when((F.col("its_start") != "") & (F.col("its_start") == F.col("start")), SAME_DAY).otherwise(ANY_DAY)
+    met = known.select(*keys, "event_key", "start", "name").join(other, keys).withColumn("least", least)
+    near = met.filter(ratio_bound(F.col("name"), F.col("its_name")) >= F.col("least") - 1e-9).filter(ratio("name", "its_name") >= F.col("least")).select("event_key")
+    touched = near.unionByName(new.filter("exact").join(groups, keys, "left_semi").select("event_key")).distinct()
+    kept = known.join(touched, "event_key", "left_semi")
+    folded = kept.groupBy(*keys).cogroup(new.join(few(groups), keys, "left_semi").groupBy(*keys)).applyInPandas(_match, "seq long, history_key string")
+    return folded.unionByName(new.join(few(groups), keys, "left_anti").select(F.col("place").alias("seq"), F.col("event_key").alias("history_key")))
+
+
+def upsert_history(history: DataFrame, events: DataFrame, now: str) -> DataFrame:
     """A new snapshot of the history. events: clustered and keyed; now: the run's time as text.
 
     A row confirmed by hand, or by an official source while the event is not, only notes that it
     was seen and its best score. Any other row takes the fields of the run's last event, keeps its
     first sighting and primary URL, and gathers URLs.
     """
-    matched = events.join(history_keys(history, events), "seq") if fuzzy else events.withColumn("history_key", F.col("event_key"))
+    matched = events.join(history_keys(history, events), "seq")
     urls = F.concat(F.array("url"), F.coalesce("related_urls", F.array().cast("array<string>")))
     official = F.coalesce(F.col("official_verified"), F.lit(False)) if "official_verified" in events.columns else F.lit(False)
     last = F.struct(

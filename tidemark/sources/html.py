@@ -9,7 +9,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical_url, filled
@@ -17,6 +17,8 @@ from ..operators.scan import first_per
 
 LINK = r"(notice|newsroom|news|report|post|detail)"
 LEAST_TITLE = 4
+# Fixed value: a full date in a page's text.
+DAY = r"(20\d{2})[.\-/년]\s*(\d{1,2})[.\-/월]\s*(\d{1,2})"
 _SILENT = {"script", "style", "noscript", "template"}
 _ITEMS = {"article", "li"}
 _ITEM_CLASSES = {"post", "item"}
@@ -105,6 +107,13 @@ def parsed(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, kinds)
 
 
+def day_of(said: Column) -> Column:
+    """The first day of this century that a text names as year, month and day; free-form dates are not guessed."""
+    found = F.regexp_extract_all(filled(said), F.lit(DAY), F.lit(0))
+    parts = [F.regexp_extract(F.try_element_at(found, F.lit(1)), DAY, g) for g in (1, 2, 3)]
+    return F.try_to_date(F.concat_ws("-", parts[0], F.lpad(parts[1], 2, "0"), F.lpad(parts[2], 2, "0")), "yyyy-MM-dd")
+
+
 def _joins(href: str) -> bool:
     try:
         urljoin("http://x/", href)
