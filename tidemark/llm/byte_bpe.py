@@ -24,7 +24,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,11 +57,10 @@ def boundaries(chunk: str, pattern: str) -> np.ndarray:
     return np.fromiter((m.start() for m in _pretokens(pattern).finditer(chunk)), dtype=np.int32)
 
 
-def meeting(text: str, ours: np.ndarray, theirs: np.ndarray, chunk: int, overlap: int) -> int | None:
-    """Where a chunk and the next one resynchronise: a position in this chunk's text, in the overlap, or None."""
-    mine = ours[(ours > chunk) & (ours < len(text) - MARGIN)]
-    common = np.intersect1d(mine, theirs[theirs < overlap] + chunk)
-    return next((p for p in common.tolist() if text[p] == " " and not text[p - 1].isspace()), None)
+def stops(text: str, starts: np.ndarray, chunk: int) -> list[int]:
+    """The boundaries in a chunk's overlap with the next one at which it could be cut."""
+    mine = starts[(starts > chunk) & (starts < len(text) - MARGIN)]
+    return [p for p in mine.tolist() if text[p] == " " and not text[p - 1].isspace()]
 
 
 def encode(text: str, encoder) -> list[int]:
@@ -94,19 +92,15 @@ def encoded_pieces(texts: DataFrame, path: str, pattern: str, *, chunk: int = CH
 
     def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [boundaries(c.as_py(), pattern) for c in batch.column(3)]
-            columns = [pa.array([s.tobytes() for s in part], pa.binary()) for part in (found, [s[s < overlap] for s in found])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=["key", "n", "last", "chunk", "starts", "head"])
-
-    parsed = cut(dealt.mapInArrow(pretokenise, "key string, n int, last boolean, chunk string, starts binary, head binary"))
-
-    @F.pandas_udf("int")
-    def meet(text: pd.Series, ours: pd.Series, theirs: pd.Series) -> pd.Series:
-        found = [meeting(t, np.frombuffer(o, dtype=np.int32), np.frombuffer(h, dtype=np.int32), chunk, overlap) for t, o, h in zip(text, ours, theirs)]
-        return pd.Series(found, dtype="Int32")
-
-    heads = parsed.filter("n > 0").select("key", (F.col("n") - 1).alias("n"), F.col("head").alias("theirs"))
-    met = cut(parsed.filter("NOT last").join(heads, ["key", "n"]).select("key", "n", meet("chunk", "starts", "theirs").alias("stop")))
+            texts = batch.column(3).to_pylist()
+            found = [boundaries(t, pattern) for t in texts]
+            columns = [[stops(t, s, chunk) for t, s in zip(texts, found)], [(s[s < overlap] + chunk).tolist() for s in found]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.list_(pa.int32())) for c in columns]], names=["key", "n", "last", "chunk", "stops", "head"])
+
+    parsed = cut(dealt.mapInArrow(pretokenise, "key string, n int, last boolean, chunk string, stops array<int>, head array<int>"))
+    # where a chunk and the next one agree; no text takes part
+    heads = parsed.filter("n > 0").select("key", (F.col("n") - 1).alias("n"), "head")
+    met = cut(parsed.filter("NOT last").select("key", "n", "stops").join(heads, ["key", "n"]).select("key", "n", F.array_min(F.array_intersect("stops", "head")).alias("stop")))
     before = met.select("key", (F.col("n") + 1).alias("n"), (F.col("stop") - chunk).alias("start"))
     placed = parsed.select("key", "n", "last", "chunk").join(met, ["key", "n"], "left").join(before, ["key", "n"], "left")
     # chunks between which there is no meeting point are one piece; a row per chunk, without its text, is numbered
