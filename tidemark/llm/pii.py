@@ -188,9 +188,13 @@ def disclosures(
     # n(w) is at least what the texts with an entity hold, which leaves few words to be counted in all texts
     least = near.groupBy("term").agg(F.sum("copies").alias("n_w"))
     possible = cut(scored(pairs.join(known_sizes, ["kind", "value"]).join(least, "term").join(total, F.lit(True))).drop("n_w", "texts", "disclosure"))
-    wanted = _small(cut(possible.select("term").distinct()))
+    wanted = cut(possible.select("term").distinct())
     words = _described(docs, id_col, text_col).select(F.explode(F.array(_words(F.col("_pii_text"), F.col("_pii_base")))).alias("words"))
-    holding = words.select(F.explode(of(F.col("words"))).alias("term")).join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_w"))
+    every, n_w = words.select(F.explode(of(F.col("words"))).alias("term")), F.count(F.lit(1)).alias("n_w")
+    if wanted.count() <= BROADCAST_ROWS:
+        holding = every.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(n_w)
+    else:  # counting first leaves a row per word and task to be shuffled
+        holding = every.groupBy("term").agg(n_w).join(wanted, "term", "left_semi")
     return scored(possible.join(holding, "term")).select("kind", "value", "term", "disclosure")
 
 
