@@ -34,6 +34,8 @@ CHUNK = 32_768
 OVERLAP = 512
 #: Boundaries this near to a chunk's end may move when more text follows (the longest look-ahead is two characters).
 MARGIN = 3
+#: Chunks that are encoded at once.
+PART = 16
 
 
 @functools.lru_cache(maxsize=2)
@@ -67,17 +69,27 @@ def encode(text: str, encoder) -> list[int]:
     return encoder.encode_ordinary(text)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few chunks at a time, so that the ids of one part are all that is held."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, PART):
+            yield batch.slice(i, PART)
+
+
 def _whole(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     """Digests of texts of one chunk, encoded where they are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(path, pattern)
         numerals = [str(i) for i in range(encoder.n_vocab)]
+
+        def digest(ids: list[int]) -> tuple[int, str, str]:
+            said = ",".join([numerals[i] for i in ids]).encode()
+            return len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(encoder.decode_bytes(ids)).hexdigest()
+
         for batch in batches:
-            found = [encode(t.as_py(), encoder) for t in batch.column(1)]
-            said = [hashlib.sha256(",".join([numerals[i] for i in ids]).encode()).hexdigest() for ids in found]
-            raw = [hashlib.sha256(encoder.decode_bytes(ids)).hexdigest() for ids in found]
-            columns = [pa.array([len(ids) for ids in found], pa.int64()), pa.array(said), pa.array(raw)]
+            made = [digest(encode(t.as_py(), encoder)) for t in batch.column(1)]
+            columns = [pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return rows.select("doc_id", "text").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -91,7 +103,7 @@ def encoded_pieces(texts: DataFrame, path: str, pattern: str, *, chunk: int = CH
     dealt = texts.select("key", F.explode(cuts).alias("c")).select("key", "c.*").repartition("key", "n")
 
     def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             texts = batch.column(3).to_pylist()
             found = [boundaries(t, pattern) for t in texts]
             columns = [[stops(t, s, chunk) for t, s in zip(texts, found)], [(s[s < overlap] + chunk).tolist() for s in found]]
@@ -113,7 +125,7 @@ def encoded_pieces(texts: DataFrame, path: str, pattern: str, *, chunk: int = CH
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(path, pattern)
         numerals = [str(i) for i in range(encoder.n_vocab)]
-        for batch in batches:
+        for batch in _parts(batches):
             found = [encode(t.as_py(), encoder) for t in batch.column(2)]
             said, raw = [",".join([numerals[i] for i in ids]) for ids in found], [encoder.decode_bytes(ids) for ids in found]
             columns = [pa.array([len(ids) for ids in found], pa.int64()), pa.array(said), pa.array(raw, pa.binary())]
