@@ -178,16 +178,15 @@ def test_schedule(spark):
         event(5, "t", "다른 이름 전혀", "2026-08-05"),
         event(6, "추가 공연 확정", "Orbit World", "2026-08-01"),
     )
-    for exact in (False, True):
-        got = {r["seq"]: (r["schedule_status"], r["activity_type"], r["score"], list(r["previous_event_keys"])) for r in schedule.assess(new, history, exact=exact).collect()}
-        assert got == {
-            1: ("EXISTING_SCHEDULE", "CONCERT", 60, ["k1"]),
-            2: ("SAME_CITY_NEW_DATE", "ADDITIONAL_SHOW", 75, ["k1"]),
-            3: ("NEW_CITY", "TOUR_EXPANSION", 72, ["k1"]),
-            4: ("NEW_DATE_REVIEW", "CONCERT", 66, ["k1"]),
-            5: ("NEW_EVENT", "CONCERT", 60, []),
-            6: ("EXPLICIT_ADDITIONAL_SHOW", "ADDITIONAL_SHOW", 60, ["k1"]),
-        }
+    got = {r["seq"]: (r["schedule_status"], r["activity_type"], r["score"], list(r["previous_event_keys"])) for r in schedule.assess(new, history).collect()}
+    assert got == {
+        1: ("EXISTING_SCHEDULE", "CONCERT", 60, ["k1"]),
+        2: ("SAME_CITY_NEW_DATE", "ADDITIONAL_SHOW", 75, ["k1"]),
+        3: ("NEW_CITY", "TOUR_EXPANSION", 72, ["k1"]),
+        4: ("NEW_DATE_REVIEW", "CONCERT", 66, ["k1"]),
+        5: ("NEW_EVENT", "CONCERT", 60, []),
+        6: ("EXPLICIT_ADDITIONAL_SHOW", "ADDITIONAL_SHOW", 60, ["k1"]),
+    }
 
 
 def test_corroboration_and_validation(spark):
