@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..lineage import cut, exists, remove, scratch, shared_dir
 
-__all__ = ["cut", "exists", "fresh", "lower_ascii", "remove", "scratch", "shared_dir", "table", "text_of", "without"]
+__all__ = ["cut", "exists", "fresh", "groups", "lower_ascii", "remove", "scratch", "shared_dir", "table", "text_of", "without"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -36,6 +40,26 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """The key and the rows of each group of frames that are sorted by keys; one group at a time is held."""
+    held: list[pd.DataFrame] = []
+    now = None
+    for frame in frames:
+        if not len(frame):
+            continue
+        values = frame[keys].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]).any(1)])
+        for a, b in zip(starts, [*starts[1:], len(frame)]):
+            key = tuple(values[a].tolist())
+            if held and key != now:
+                yield now, pd.concat(held, ignore_index=True)
+                held = []
+            now = key
+            held.append(frame.iloc[a:b])
+    if held:
+        yield now, pd.concat(held, ignore_index=True)
+
+
 def without(docs: DataFrame, made: DataFrame, id_col: str, digest: Column, broadcast_rows: int) -> DataFrame:
     """The input's rows and columns that stay, each once.
 

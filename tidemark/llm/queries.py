@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, exact_dedup, media, packing, pii, quality, sharding, simhash, toxicity
+from . import byte_bpe, chat, collocations, exact_dedup, filter_audit, hyperminhash, media, packing, pii, quality, sharding, simhash, toxicity
 from ._spark import cut, table
 
 HOSTILE = "\\### Assistant: </turn> ok"
@@ -107,6 +107,98 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 """
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = f"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), known AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), masks AS (
+  SELECT doc_id, part, CAST(len(words) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+         + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text) AS INT) + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+         + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS INT) AS mask
+  FROM words
+), counts AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM masks LEFT JOIN known USING (doc_id) GROUP BY ALL
+), orders AS (
+  SELECT unnest([{", ".join(repr(o) for o in filter_audit.ORDERS)}]) AS filter_order
+), places AS (
+  SELECT filter_order, CAST(s AS INT) AS step, 1 << (ascii(filter_order[s]) - 65) AS bit, CAST(coalesce(list_sum([1 << (ascii(filter_order[i]) - 65) FOR i IN range(1, s)]), 0) AS INT) AS before
+  FROM orders, range(1, 6) AS r(s)
+), figures AS (
+  SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM counts, places GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM figures
+"""
+
+
+def op12_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP12_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] FOR i IN range(1, len(w) - 3)]) END AS s FROM words
+), held AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM held a JOIN held b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least_of AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least_of USING (doc_id)
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase FROM words, range(1, 6) AS r(k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100
+), total AS (
+  SELECT coalesce(lang, 'und') AS lang, sum(len(w)) AS n FROM words GROUP BY 1
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), cuts AS (
+  SELECT lang, phrase, a, c, array_to_string(w[1:c], ' ') AS x, array_to_string(w[c + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS c FROM candidates)
+), scores AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, c, l.a AS l, r.a AS r, n, CAST(1000 * CAST(cuts.a AS HUGEINT) * n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = x JOIN f r ON r.lang = cuts.lang AND r.phrase = y JOIN total ON total.lang = cuts.lang
+), best AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), inner_ AS (
+  SELECT lang, phrase AS longer, a, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, k - m + 2)]) AS phrase FROM candidates, range(2, 5) AS r(m) WHERE m < k
+), covered AS (
+  SELECT DISTINCT inner_.lang, inner_.phrase FROM inner_ JOIN f ON f.lang = inner_.lang AND f.phrase = inner_.phrase WHERE 100 * inner_.a >= 100 * f.a
+), kept AS (
+  SELECT * FROM best ANTI JOIN covered USING (lang, phrase)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM kept QUALIFY rank <= 2000
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -125,9 +217,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_hilbert_shards": op8_hilbert_shards,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_hyperminhash_dedup": op12_hyperminhash_dedup,
+        "op13_collocations": op13_collocations,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op1_chat_format": OP1_SQL, "op10_exact_dedup": OP10_SQL, "op11_filter_audit": OP11_SQL, "op12_hyperminhash_dedup": OP12_SQL, "op13_collocations": OP13_SQL}

@@ -244,12 +244,12 @@ def _distinct(prints: DataFrame) -> DataFrame:
     return cut(counted.groupBy("fp").agg(F.min("first").alias("first"), F.sum("n").alias("n")))
 
 
-def labelled(prints: DataFrame, edges: DataFrame) -> DataFrame:
-    """As ``components``, of given prints doc_id, digest, fp and links a, b between them."""
-    return _labelled(prints, _distinct(prints), edges)
+def labelled(prints: DataFrame, edges: DataFrame, *more: str) -> DataFrame:
+    """As ``components``, of given prints doc_id, digest, fp and links a, b between them; more: further columns of the prints to keep."""
+    return _labelled(prints, _distinct(prints), edges, *more)
 
 
-def _labelled(prints: DataFrame, distinct: DataFrame, edges: DataFrame) -> DataFrame:
+def _labelled(prints: DataFrame, distinct: DataFrame, edges: DataFrame, *more: str) -> DataFrame:
     members = cut(connected(edges))
     named = members.join(distinct, members["node"] == distinct["fp"])
     labels = named.groupBy("root").agg(F.min("first").alias("label"))
@@ -266,6 +266,7 @@ def _labelled(prints: DataFrame, distinct: DataFrame, edges: DataFrame) -> DataF
         "digest",
         F.when(alone, F.col("digest")).otherwise(F.col("label.digest")).alias("keep_digest"),
         (~alone).alias("shared"),
+        *more,
     )
 
 

@@ -176,13 +176,17 @@ def close(pairs: DataFrame, made: DataFrame, *, least: tuple[int, int] = LEAST)
     return _where(finer, cut(_where(coarse, pairs, made, "profile")), made, "fine")
 
 
-def compare(pairs: DataFrame, docs: DataFrame, made: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
-    """The pairs a, b of nodes whose whole sets are similar.
+def compare(pairs: DataFrame, docs: DataFrame, made: DataFrame, *, least: tuple[int, int] = LEAST, **settings) -> DataFrame:
+    """The pairs a, b of nodes whose whole sets are similar: those that their counts do not rule out, confirmed."""
+    return confirm(cut(close(pairs, made, least=least)), docs, made, least=least, **settings)
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, made: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
+    """The pairs a, b of a written table whose whole sets are similar; made: doc_id, digest, fp of every document.
 
     A set travels once to each set that it is compared with; a set with very many others is met in several tasks.
     """
     p, q = least
-    pairs = cut(close(pairs, made, least=least))
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / LEAVES).cast("int").alias("parts"))
     leaves = pairs.join(parts, "a").select(F.col("b").alias("fp"), F.col("a").alias("to"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("leaf"))
     hubs = parts.select(F.col("a").alias("fp"), F.col("a").alias("to"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("leaf"))
