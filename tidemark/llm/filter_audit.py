@@ -75,7 +75,7 @@ def _within(rows: DataFrame, key: Column, classes: DataFrame, limit: int) -> Dat
 
 def refined(marks: DataFrame, *, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
     """Classes (path) that no block splits into single texts, and after how many blocks. marks: id, length, hashes."""
-    classes = cut(marks.groupBy(F.xxhash64("length").alias("path")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("path"))
+    classes = cut(marks.groupBy(_path(F.col("length"), F.col("hashes"), 0).alias("path")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("path"))
     left, steps = marks, 0
     while True:
         left = _within(marks, _path(F.col("length"), F.col("hashes"), steps), classes, broadcast_rows)
