@@ -52,30 +52,32 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8").translate(_TABLE).replace(_BREAK, b" \xff ").split()
 
 
+class _Numbers(dict):
+    """Numbers of words in the order in which they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Slice:
     """Words of several texts of one or more languages as numbers, with the hashes of their phrases."""
 
     def __init__(self) -> None:
-        self.number: dict[bytes, int] = {_BREAK: 0}
-        self.words: list[bytes] = [_BREAK]
+        self.number = _Numbers({_BREAK: 0})
         self.at: list[int] = []
         self.langs: list[str] = []
         self.ends: list[int] = []
 
     def add(self, lang: str, text: str) -> None:
-        number, known = self.number, self.words
-        for w in words(text):
-            n = number.get(w)
-            if n is None:
-                n = number[w] = len(known)
-                known.append(w)
-            self.at.append(n)
+        self.at += map(self.number.__getitem__, words(text))
         self.at.append(0)
         self.langs.append(lang)
         self.ends.append(len(self.at))
 
     def close(self) -> None:
         self.ids = np.array(self.at, dtype=np.int32)
+        self.words = list(self.number)
         names = sorted(set(self.langs))
         self.names = names
         place = {n: i for i, n in enumerate(names)}
@@ -149,26 +151,71 @@ def _bitmap(packed: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
 
 
-def _merged(spark, parts: DataFrame, bits: int, merge: str, support: int) -> bytes:
-    """The bitmap of 2 ** bits bits out of parts (part, data); what reaches the driver is that bitmap alone."""
+class Buckets:
+    """Counts of buckets in a task: a sorted list of those that occur while they are few, a table of all beyond that."""
+
+    def __init__(self, bits: int, most: int) -> None:
+        self.bits, self.most = bits, most
+        self.table: np.ndarray | None = None
+        self.waiting: list[np.ndarray] = []
+        self.room = (1 << bits) // 16
+
+    def add(self, slots: np.ndarray) -> None:
+        self.waiting.append(slots.astype(np.int64))
+        if self.table is not None or sum(map(len, self.waiting)) > self.room:
+            if self.table is None:
+                self.table = np.zeros(1 << self.bits, dtype=np.uint32)
+            for own in self.waiting:
+                np.add.at(self.table, own, np.uint32(1))
+            self.waiting = []
+
+    def parts(self) -> Iterator[tuple[int, bytes]]:
+        """Each part of PART buckets that is not empty: counts up to the limit, as bytes of all of its buckets or as places and counts."""
+        size = min(PART, 1 << self.bits)
+        if self.table is None:
+            slots, n = np.unique(np.concatenate(self.waiting), return_counts=True) if self.waiting else (np.zeros(0, dtype=np.int64),) * 2
+        else:
+            slots = np.flatnonzero(self.table)
+            n = self.table[slots]
+        n = np.minimum(n, self.most).astype(np.uint8)
+        part = slots // size
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, dtype=int)
+        for a, b in zip(starts, [*starts[1:], len(part)]):
+            places = (slots[a:b] % size).astype(np.uint32)
+            if (b - a) * 5 >= size:
+                own = np.zeros(size, dtype=np.uint8)
+                own[places] = n[a:b]
+                yield int(part[a]), b"t" + zlib.compress(own.tobytes(), 1)
+            else:
+                yield int(part[a]), b"l" + places.tobytes() + n[a:b].tobytes()
+
+
+def _put(table: np.ndarray, data: bytes) -> None:
+    """Adds the counts of a part to a table of them, up to what a short number holds."""
+    if data[:1] == b"t":
+        table += np.frombuffer(zlib.decompress(data[1:]), dtype=np.uint8)
+    else:
+        n = (len(data) - 1) // 5
+        table[np.frombuffer(data, dtype=np.uint32, count=n, offset=1)] += np.frombuffer(data, dtype=np.uint8, count=n, offset=1 + 4 * n)
+
+
+def _merged(parts: DataFrame, bits: int, support: int) -> bytes:
+    """The bitmap of the buckets that reach the support, out of parts (part, data) of tasks; what reaches the driver is that bitmap alone."""
     size = min(PART, 1 << bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = np.frombuffer(zlib.decompress(data.as_py()), dtype=np.uint8)
-                if merge == "or":
-                    held[part] = held[part] | own if part in held else own
-                else:
-                    # sums stop at the support, which no larger sum can leave again
-                    held[part] = np.minimum(held[part] + own.astype(np.uint16), support).astype(np.uint16) if part in held else own.astype(np.uint16)
-        for part, data in held.items():
-            bitmap = data if merge == "or" else np.packbits(data >= support, bitorder="little")
+                table = held.setdefault(part, np.zeros(size, dtype=np.uint16))
+                _put(table, data.as_py())
+                np.minimum(table, support, out=table)  # no larger sum can leave the support again
+        for part, table in held.items():
+            bitmap = np.packbits(table >= support, bitorder="little")
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([zlib.compress(bitmap.tobytes(), 1)], pa.binary())], names=["part", "data"])
 
     out = np.zeros((1 << bits) // 8, dtype=np.uint8)
-    for row in parts.repartition("part").mapInArrow(run, "part int, data binary").toLocalIterator():
+    for row in parts.repartition("part").mapInArrow(run, "part int, data binary").collect():
         out[row["part"] * size // 8 : (row["part"] + 1) * size // 8] = _bitmap(row["data"])
     return zlib.compress(out.tobytes(), 1)
 
@@ -179,11 +226,8 @@ def counted(rows: DataFrame, k: int, allowed, *, support: int, longest: int, bit
     rows: lang, text. allowed: None for single words, else the broadcast bitmaps of the buckets of k
     words and of the frequent phrases of k - 1 words.
     """
-    buckets = k < longest
-    length = min(PART, 1 << bits)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << bits, dtype=np.uint32) if buckets else None
+        buckets = Buckets(bits, support) if k < longest else None
         known = [_bitmap(b) for b in allowed.value] if allowed is not None else None
         for now in slices(batches, size):
             hashes, good = now.phrases(k)
@@ -194,30 +238,25 @@ def counted(rows: DataFrame, k: int, allowed, *, support: int, longest: int, bit
                 good[good] = _hit(known[0], _slot(hashes[good], bits))
             places = np.flatnonzero(good)
             langs, phrases, n = now.count(k, hashes[places], places)
-            none = pa.nulls(len(n), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(n, pa.int64()), none, pa.nulls(len(n), pa.binary())], names=["lang", "phrase", "n", "part", "data"])
-            if buckets:
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(n, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=["lang", "phrase", "n", "part", "data"])
+            if buckets is not None:
                 longer, whole = now.phrases(k + 1)
                 if known is not None:
                     whole &= good[: len(whole)] & good[1 : len(whole) + 1]
-                slots, seen = np.unique(_slot(longer[whole], bits), return_counts=True)
-                table[slots.astype(np.int64)] += seen.astype(np.uint32)
-        if buckets:
-            capped = np.minimum(table, support).astype(np.uint8)
-            for part in range((1 << bits) // length):
-                own = capped[part * length : (part + 1) * length]
-                if own.any():
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.array([part], pa.int32()), pa.array([zlib.compress(own.tobytes(), 1)], pa.binary())], names=["lang", "phrase", "n", "part", "data"])
+                buckets.add(_slot(longer[whole], bits))
+        if buckets is not None:
+            parts, data = zip(*found) if (found := list(buckets.parts())) else ((), ())
+            none = [pa.nulls(len(parts), t) for t in (pa.string(), pa.string(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(parts, pa.int32()), pa.array(data, pa.binary())], names=["lang", "phrase", "n", "part", "data"])
 
     return rows.mapInArrow(run, "lang string, phrase string, n long, part int, data binary")
 
 
 def _frequent_bitmap(frequent: DataFrame, bits: int) -> bytes:
     """The bitmap of the hashes of frequent phrases (lang, phrase)."""
-    length = min(PART, 1 << bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(1 << bits, dtype=bool)
+        buckets = Buckets(bits, 1)
         for batch in batches:
             now, k = Slice(), 1
             for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -225,14 +264,11 @@ def _frequent_bitmap(frequent: DataFrame, bits: int) -> bytes:
                 k = phrase.count(" ") + 1  # the same for all
             if now.at:
                 now.close()
-                out[_slot_of_key(now.phrases(k)[0][[0, *now.ends[:-1]]], bits).astype(np.int64)] = True
-        for part in range((1 << bits) // length):
-            own = out[part * length : (part + 1) * length]
-            if own.any():
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([zlib.compress(np.packbits(own, bitorder="little").tobytes(), 1)], pa.binary())], names=["part", "data"])
+                buckets.add(_slot_of_key(now.phrases(k)[0][[0, *now.ends[:-1]]], bits))
+        parts, data = zip(*found) if (found := list(buckets.parts())) else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(data, pa.binary())], names=["part", "data"])
 
-    parts = frequent.select("lang", "phrase").mapInArrow(run, "part int, data binary")
-    return _merged(frequent.sparkSession, parts, bits, "or", 1)
+    return _merged(frequent.select("lang", "phrase").mapInArrow(run, "part int, data binary"), bits, 1)
 
 
 def frequent_phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT, longest: int = LONGEST, bits: int = BITS, size: int = SLICE) -> tuple[DataFrame, DataFrame]:
@@ -251,7 +287,7 @@ def frequent_phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str =
         found = own if found is None else found.unionByName(own)
         if k == longest or own.isEmpty():
             break
-        enough = _merged(spark, made.filter("part IS NOT NULL").select("part", "data"), bits, "sum", support)
+        enough = _merged(made.filter("part IS NOT NULL").select("part", "data"), bits, support)
         allowed = spark.sparkContext.broadcast([enough, _frequent_bitmap(own, bits)])
     return found, totals
 
