@@ -164,3 +164,46 @@ def listed(source: str, url: str, least: int = 2) -> list[tuple[str, str]]:
                     seen.add(to)
                     out.append((to, said))
     return out
+
+
+def selected(source: str, url: str, least: int = 2) -> list[tuple[int, str, str, str]]:
+    """place, address, title and text of the first link in every li, then in every paragraph that is a child of the body, then in every paragraph inside a div and every nav."""
+    root = page(source)
+
+    def below(node, path):
+        for child in node[2]:
+            if isinstance(child, list):
+                yield child, path + [node]
+                yield from below(child, path + [node])
+
+    nodes = list(below(root, []))
+    chosen = [n for n, _ in nodes if n[0] == "li"] + [n for n, path in nodes if n[0] == "p" and path[-1][0] == "body"]
+    chosen += [n for n, path in nodes if n[0] == "nav" or (n[0] == "p" and any(a[0] == "div" for a in path))]
+    said = lambda n: " ".join(t for t in map(_space, texts(n, ("script", "style", "template"))) if t)
+    seen, out = set(), []
+    for node in chosen:
+        link = next((n for n in walk(node) if n is not node and n[0] == "a" and "href" in n[1]), None)
+        if link is not None:
+            to, title = urljoin(url or "", html.unescape(link[1]["href"] or "")), said(link) or said(node)
+            if to and len(title) >= least and to not in seen:
+                seen.add(to)
+                out.append((len(seen), to, title, said(node)))
+    return out
+
+
+def fold_decisions(items: list[dict], history: list[dict], queue: list[dict], key) -> tuple[dict, list[str]]:
+    """event_key -> event_name and the candidates left, one decision after the other; key: of a row."""
+    rows, waiting = {r["event_key"]: dict(r) for r in history}, {r["candidate_id"]: dict(r) for r in queue}
+    fields = {"eventName": "event_name", "activityType": "activity_type", "eventStartDate": "event_start_date", "artist": "artist", "artistId": "artist_id"}
+    for d in items:
+        action = d["action"].upper()
+        if action in ("APPROVE", "REJECT"):
+            source = waiting.pop(d["candidateId"])
+        elif action in ("UPDATE", "DELETE"):
+            source = rows.pop(d["eventKey"])
+        else:
+            source = {}
+        if action in ("APPROVE", "UPDATE", "CREATE"):
+            made = source | {fields[k]: v for k, v in d.items() if k in fields}
+            rows[key(made)] = made
+    return {k: r["event_name"] for k, r in rows.items()}, sorted(waiting)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import hashlib
 import os
 from difflib import SequenceMatcher
 
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import catalogue
-from tidemark.operators import cluster, state
+from tidemark.operators import cluster, resolve, state
 
 DATA = "/root/testdata/sf0.001"
 
@@ -40,7 +41,7 @@ def test_against_sql(spark, duck, name):
 
 
 def test_every_query_has_sql_or_a_plain_version():
-    assert set(catalogue.queries()) - set(catalogue.oracle_sql()) == {"daily_run", "greedy_cluster", "history_match", "html_listed", "html_titles", "ratio_pairs", "schedule_change_fuzzy"}
+    assert set(catalogue.queries()) - set(catalogue.oracle_sql()) == {"daily_run", "greedy_cluster", "history_match", "html_listed", "html_selected", "html_titles", "ratio_pairs", "schedule_change_fuzzy"}
 
 
 def _dicts(df):
@@ -74,6 +75,40 @@ def test_greedy_cluster(spark):
     assert len(set(expected.values())) < len(expected)
 
 
+def test_greedy_cluster_of_large_blocks(spark):
+    """The same clusters by joins, in which no task reads a block."""
+    events = catalogue.monthly_events(spark, DATA)
+    expected = plain.clusters(_dicts(events))
+    assert {r["seq"]: r["cluster"] for r in cluster.assign(events, large=6).collect()} == expected
+    # a third of all rows in one block, most of them copies of each other
+    hot = events.withColumns({"artist_id": F.when(F.col("seq") % 3 == 0, "hot").otherwise(F.col("artist_id")), "event_start_date": F.trunc("event_start_date", "year")})
+    hot = hot.withColumns({"event_end_date": F.col("event_start_date"), "event_dates": F.array("event_start_date")})
+    expected = plain.clusters(_dicts(hot))
+    small = {(r["seq"], r["cluster"], r["cluster_rank"]) for r in cluster.assign(hot, large=10**9).collect()}
+    large = {(r["seq"], r["cluster"], r["cluster_rank"]) for r in cluster.assign(hot, large=100).collect()}
+    assert large == small and {s: c for s, c, _ in large} == expected
+
+
+def test_greedy_cluster_by_joins_with_undated_and_long_ones(spark):
+    """Spans, undated articles, articles without a telling name and without words: the joins agree with the walk in order."""
+    base = catalogue._events(spark, DATA).filter("seq < 900")
+    pick = lambda n, salt: F.pmod(F.xxhash64("seq", F.lit(salt)), F.lit(n))
+    day = F.date_add(F.to_date(F.lit("2026-01-01")), pick(40, 1).cast("int"))
+    end = F.date_add(day, pick(9, 2).cast("int"))
+    names = F.element_at(F.array(*[F.lit(n) for n in ("summer night seoul", "summer nights", "winter gala", "popup", "", "tour", "winter galas busan")]), (pick(7, 3) + 1).cast("int"))
+    title = F.concat_ws(" ", F.element_at(F.array(*[F.lit(t) for t in ("opening hall", "hall tickets today", "", "x", "new tickets")]), (pick(5, 4) + 1).cast("int")), F.when(pick(3, 5) == 0, F.substring(F.md5(F.col("seq").cast("string")), 1, 3)))
+    dated = pick(4, 6) > 0
+    made = base.withColumns(
+        {
+            "artist_id": pick(3, 7).cast("string"), "event_name": names, "title": title, "event_start_date": F.when(dated, day), "event_end_date": F.when(dated, end),
+            "event_dates": F.when(dated, F.array(day)).otherwise(F.array().cast("array<date>")), "date_conflict": pick(11, 8) == 0,
+        }
+    ).cache()
+    small = {(r["seq"], r["cluster"], r["cluster_rank"]) for r in cluster.assign(made, large=10**9).collect()}
+    assert {(r["seq"], r["cluster"], r["cluster_rank"]) for r in cluster.assign(made, large=1).collect()} == small
+    assert 20 < len({c for _, c, _ in small}) < len(small) / 2
+
+
 def test_greedy_cluster_of_like_names(spark):
     """One day and few entities, so that anchors of many kinds meet."""
     base = catalogue._events(spark, DATA)
@@ -98,6 +133,23 @@ def test_html(spark):
     assert found == sorted((p["page_id"], u, t) for p in pages for u, t in plain.listed(p["html"], p["url"]))
 
 
+def test_html_selected(spark):
+    pages = _dicts(spark.read.parquet(f"{DATA}/pages.parquet"))
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    found = sorted((r["page_id"], r["place"], r["url"], r["title"], r["body_sha256"]) for r in catalogue.queries()["html_selected"](spark, DATA).collect())
+    assert found == sorted((p["page_id"], n, u, t, sha(b)) for p in pages for n, u, t, b in plain.selected(p["html"], p["url"]))
+
+
+def test_names_of_one_first_word_meet_by_what_tells_them_apart(spark):
+    """What meets grows with the matches, not with titles times aliases."""
+    titles = catalogue._dated_titles(spark, DATA).select("seq", "title")
+    entities = spark.read.parquet(f"{DATA}/customer.parquet").select(F.col("c_custkey").cast("string").alias("artist_id"), F.lit("").alias("company"), F.lit("").alias("label"), F.col("c_name").alias("name"), F.array().cast("array<string>").alias("aliases"), F.lit(False).alias("priority"), F.col("c_custkey").alias("seq"))
+    aliases = resolve.alias_table(entities, [])
+    for rows in (10**6, 0):
+        assert resolve.candidates(titles, aliases, broadcast_rows=rows).count() == titles.count()
+        assert resolve.matches(titles, aliases, broadcast_rows=rows).count() == titles.count()
+
+
 def test_ratio_pairs(spark, duck):
     data = "/root/testdata/sf0.01"
     pairs = duck.sql(f"""SELECT a.p_partkey, b.p_partkey, a.p_name, b.p_name FROM '{data}/part.parquet' a JOIN '{data}/part.parquet' b

@@ -361,7 +361,7 @@ def test_embedded(spark):
     rows = [(1, "u", page), (2, "u", "<h1>Plain</h1>text"), (3, None, None), (4, "u", long), (5, "u", "<title>Weverse</title>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r for r in embedded.notices(pages).collect()}
-    assert (got[1]["title"], got[1]["body"], got[1]["method"]) == ("BLUE A POP-UP", "Tokyo shop & more line Operating Period: 1 var q = 'popup opens on 3';", "html+script_json")
+    assert (got[1]["title"], got[1]["body"], got[1]["method"]) == ("BLUE A POP-UP", "BLUE A POP-UP Weverse Tokyo shop & more line Operating Period: 1 var q = 'popup opens on 3';", "html+script_json")
     assert (got[2]["title"], got[2]["body"], got[2]["method"]) == ("Plain", "Plain text", "html")
     assert got[3]["method"] == got[5]["method"] == "shell_only" and got[4]["body"] == 'ab"c' * 100_000
     found = embedded.notices(pages.filter("page_id IN (2, 5)")).selectExpr("*", "'[NOTICE] Found' AS search_title", "'a snippet' AS search_body")

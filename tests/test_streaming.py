@@ -6,9 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark import schemas
+from tidemark import catalogue, schemas
 from tidemark.operators import state
-from tidemark.streaming import incremental
+from tidemark.streaming import incremental, keyed
 
 ARTICLE = "artist_id string, original_url string, url string, title string, published_at timestamp, activity_type string, score int"
 
@@ -54,3 +54,58 @@ def test_stores_are_upserted_per_batch(spark, tmp_path):
     queue = incremental.latest(spark, f"{base}/queue", schemas.QUEUE).collect()
     assert [(r["event_name"], r["score"]) for r in queue] in ([("first", "5")], [("first", "8")]) and queue[0]["first_seen"] <= queue[0]["last_seen"]
     assert [r["event_name"] for r in incremental.latest(spark, f"{base}/history", schemas.HISTORY).collect()] == ["second"]
+
+
+def _slices(spark, names):
+    """Events of few entities in three runs, with names that differ by some letters, rows confirmed by hand and events without a day."""
+    base = catalogue.stream_events(spark, "/root/testdata/sf0.001").withColumns({"artist_id": F.pmod(F.col("seq"), F.lit(4)).cast("string"), "activity_type": F.lit("CONCERT")})
+    varied = F.concat(F.element_at(F.array(*[F.lit(n) for n in names]), (F.pmod(F.xxhash64("seq"), F.lit(len(names))) + 1).cast("int")), F.lit(" "), F.substring(F.md5(F.col("seq").cast("string")), 1, 4))
+    day = F.when(F.col("seq") % 5 > 0, F.col("event_start_date"))
+    made = base.filter("seq < 240").withColumns({"event_name": varied, "title": varied, "event_start_date": day, "event_end_date": day, "official_verified": F.col("seq") % 3 == 0, "now": F.concat(F.lit("T"), (F.floor(F.col("seq") / 80) + 1).cast("string"))})
+    return state.keyed(made)
+
+
+def test_history_as_keyed_state_is_the_batch_upsert(spark, tmp_path):
+    events = _slices(spark, ["summer tour seoul", "winter fan party", "pop up store"]).cache()
+    first = events.filter("now = 'T1'")
+    seeded = state.upsert_history(spark.createDataFrame([], schemas.text_schema(schemas.HISTORY)), first, "T1").withColumns(
+        {"approval_status": F.when(F.substring("event_key", 1, 1) < "4", "MANUAL_CONFIRMED").otherwise(F.col("approval_status")), "official_verified": F.when(F.substring("event_key", 1, 1) > "b", "Y").otherwise(F.col("official_verified"))}
+    )
+    seeded = spark.createDataFrame(seeded.collect(), seeded.schema)
+    expected = seeded
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"file://{tmp_path}/in")
+    changes = keyed.history_changes(source, initial=seeded)
+    for now in ("T2", "T3"):
+        own = events.filter(F.col("now") == now)
+        expected = state.upsert_history(expected, own, now)
+        expected = spark.createDataFrame(expected.collect(), expected.schema)
+        own.write.parquet(f"file://{tmp_path}/in/{now}")
+        _drain(keyed.upsert(changes, f"file://{tmp_path}/out"))
+    made = {r["event_key"]: r for r in keyed.latest(spark, f"file://{tmp_path}/out", schemas.HISTORY, "event_key").collect()}
+    known = {r["event_key"]: r for r in expected.collect()}
+    touched = {k: r for k, r in known.items() if r["last_seen"] != "T1"}
+    assert 10 < len(touched) < len(known) and made == touched
+    # a batch of one entity writes rows of that entity only
+    own = events.filter("now = 'T3' AND artist_id = '2'").withColumn("now", F.lit("T4"))
+    own.write.parquet(f"file://{tmp_path}/in/T4")
+    _drain(keyed.upsert(changes, f"file://{tmp_path}/out"))
+    assert {r["artist_id"] for r in keyed.latest(spark, f"file://{tmp_path}/out", schemas.HISTORY, "event_key").filter("last_seen = 'T4'").collect()} == {"2"}
+
+
+def test_queue_as_keyed_state_is_the_batch_upsert(spark, tmp_path):
+    events = _slices(spark, ["a", "b"]).withColumns({"event_name": F.lit("one"), "title": F.lit("one"), "url": F.concat(F.lit("http://n/"), F.pmod(F.xxhash64("seq"), F.lit(60)).cast("string"))})
+    events = state.keyed(events).cache()
+    rejected = events.filter("seq % 11 = 0").select("candidate_id").distinct()
+    log = rejected.select(*[(F.lit("REJECT") if c == "action" else F.col(c) if c == "candidate_id" else F.lit("")).alias(c) for c in schemas.REVIEW_LOG])
+    expected = spark.createDataFrame([], schemas.text_schema(schemas.QUEUE))
+    (tmp_path / "in").mkdir()
+    changes = keyed.queue_changes(spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"file://{tmp_path}/in"), log)
+    for now in ("T1", "T2", "T3"):
+        own = events.filter(F.col("now") == now)
+        expected = state.upsert_queue(expected, own, log, now)
+        expected = spark.createDataFrame(expected.collect(), expected.schema)
+        own.write.parquet(f"file://{tmp_path}/in/{now}")
+        _drain(keyed.upsert(changes, f"file://{tmp_path}/out"))
+    made = {r["candidate_id"]: r for r in keyed.latest(spark, f"file://{tmp_path}/out", schemas.QUEUE, "candidate_id").collect()}
+    assert len(made) > 10 and made == {r["candidate_id"]: r for r in expected.collect()}

@@ -6,16 +6,18 @@ both languages, and vocabularies are given as parameters. Every query reads its
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import schemas
-from .functions import dates, keys, names, similarity, text
-from .operators import classify, cluster, decisions, enrich, export, extract, feeds, popup, qa, resolve, scan, schedule, state
+from . import lineage, schemas
+from .functions import dates, freedates, keys, names, similarity, text
+from .operators import classify, cluster, decisions, enrich, export, extract, feeds, popup, qa, resolve, scan, schedule, spans, state
 from .plans import daily, notices, official
-from .sources import embedded, html
+from .sources import embedded, html, selectors
+from .streaming import keyed
 from .vocabulary import Rejection, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 RULES = (Rule("NOTICE", 60, ("this", "from")), Rule("REPORT", 54, ("that", "then")), Rule("STORY", 50, ("with", "have", "pour")))
 REJECTIONS = (Rejection("no keyword", None, ("OTHER",)), Rejection("bulk", r"(free|offer|###)"), Rejection("nothing new", r"(\d\d\d)", lifted=True), Rejection("story without news", None, ("STORY",), True))
 ANNOUNCES = r"(and|und)"
+SELECTORS = ("li", "body > p", "div p, nav")
 _SPACE = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 
 
@@ -73,8 +76,8 @@ def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best new article per key."""
     none = F.lit(None).cast("string")
     found = _rated(spark, sf_dir).filter("activity_type <> 'OTHER'")
-    keyed = found.select("doc_id", "activity_type", "score", keys.dedupe_key(F.lit("doc"), none, none, F.col("text")).alias("dedupe_key"))
-    return scan.first_per(keyed, ["dedupe_key"], [F.desc("score"), "doc_id"])
+    told = found.select("doc_id", "activity_type", "score", keys.dedupe_key(F.lit("doc"), none, none, F.col("text")).alias("dedupe_key"))
+    return scan.first_per(told, ["dedupe_key"], [F.desc("score"), "doc_id"])
 
 
 @query(f"WITH {_rules_sql('text')} SELECT doc_id, activity_type, score, keywords FROM rated")
@@ -207,11 +210,26 @@ def html_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.listed(table(spark, sf_dir, "pages").select("page_id", "url", "html"), link=".", least=2)
 
 
-@query("""SELECT page_id, 'Page ' || page_id AS titles, 'no. ' || page_id || ' & "é"' AS texts FROM pages""")
+_SCRIPTS = (
+    # no JSON as a whole: searched as text
+    """'<script>var x = {"a": [{"title": "Page <b>' || page_id || '</b>"}, {"body": "no. ' || page_id || ' &amp; \\\\"\\\\u00e9\\\\""}], y: 1};</script>'""",
+    # nested; a string of a list stands under no key, and numbers and nulls are no texts
+    """'<script type="application/json">{"title": "T ' || page_id || '", "a": {"b": [{"x": {"contents": "deep ' || page_id || '"}}, "POP-UP", 5, null, [{"name": "N ' || page_id || '"}]]}}</script>'""",
+    # a mark under a key that says nothing and is long, and the title of an empty shell
+    """'<script id="__NEXT_DATA__">{"' || repeat('k', 300) || '": "POP-UP ' || page_id || '", "name": "weverse", "other": "not this"}</script>'""",
+    # a marked title is a text too; escapes are decoded once
+    """'<script type="application/ld+json">{"subject": "POP UP \\\\"\\\\u00e9\\\\" ' || page_id || '", "n": 5, "message": "a &lt; b"}</script>'""",
+)
+
+
+@query(
+    """SELECT page_id, CASE CAST(page_id % 4 AS INT) WHEN 0 THEN 'Page ' || page_id WHEN 1 THEN 'T ' || page_id || '|N ' || page_id WHEN 2 THEN '' ELSE 'POP UP "é" ' || page_id END AS titles,
+CASE CAST(page_id % 4 AS INT) WHEN 0 THEN 'no. ' || page_id || ' & "é"' WHEN 1 THEN 'deep ' || page_id WHEN 2 THEN 'POP-UP ' || page_id ELSE 'POP UP "é" ' || page_id || '|a < b' END AS texts FROM pages"""
+)
 def script_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles and texts out of a script that is put before each page."""
-    script = F.concat(F.lit('<script>{"a": [{"title": "Page <b>'), F.col("page_id"), F.lit('</b>"}, {"body": "no. '), F.col("page_id"), F.lit(' &amp; \\"\\u00e9\\""}]}</script>'), text.filled("html"))
-    made = embedded.script_texts(table(spark, sf_dir, "pages").select("page_id", script.alias("html")))
+    """Titles and texts out of scripts of four kinds that are put before the pages."""
+    script = F.element_at(F.array(*[F.expr(s) for s in _SCRIPTS]), (F.col("page_id") % 4 + 1).cast("int"))
+    made = embedded.script_texts(table(spark, sf_dir, "pages").select("page_id", F.concat(script, text.filled("html")).alias("html")))
     return made.select("page_id", F.array_join("titles", "|").alias("titles"), F.array_join("texts", "|").alias("texts"))
 
 
@@ -303,17 +321,15 @@ def date_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH s AS (SELECT o_orderkey AS k, o_custkey AS c, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + 30 AS b FROM orders)
+    """WITH s AS (SELECT o_orderkey AS k, o_custkey AS c, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 0 WHEN 1 THEN 5 WHEN 2 THEN 30 ELSE CAST(o_orderkey % 700 AS INT) END AS b FROM orders)
 SELECT x.c AS custkey, count(*) AS overlaps FROM s x JOIN s y ON x.c = y.c AND x.k < y.k AND x.a <= y.b AND y.a <= x.b GROUP BY x.c"""
 )
 def interval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlapping spans of one customer. Only spans of the same or the next 31-day slot can overlap, so slots join, not all pairs."""
+    """Overlapping spans of one customer, from single days to two years."""
     day = F.to_date("o_orderdate")
-    slot = F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / 31)
-    s = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("custkey"), day.alias("a"), slot.alias("slot"))
-    near = s.select(F.col("k").alias("k2"), "custkey", F.col("a").alias("a2"), F.explode(F.array(F.col("slot") - 1, F.col("slot"), F.col("slot") + 1)).alias("slot"))
-    met = s.join(near, ["custkey", "slot"]).filter((F.col("k") < F.col("k2")) & (F.abs(F.datediff("a", "a2")) <= 30))
-    return met.groupBy("custkey").agg(F.count(F.lit(1)).alias("overlaps"))
+    length = F.expr("CASE o_orderkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 5 WHEN 2 THEN 30 ELSE CAST(o_orderkey % 700 AS INT) END")
+    s = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("custkey"), day.alias("start"), F.date_add(day, length).alias("end"))
+    return spans.overlapping(s, s, ["custkey"]).filter("l.k < r.k").groupBy("custkey").agg(F.count(F.lit(1)).alias("overlaps"))
 
 
 _EVENT_COLUMNS = {"old": "o_orderdate < TIMESTAMP '1998-01-01'", "new": "o_orderdate >= TIMESTAMP '1998-01-01'"}
@@ -424,8 +440,8 @@ def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A queue as an earlier run has left it: the events of every even order."""
-    return state.review_rows(_named(spark, sf_dir).filter("seq % 2 = 0"), "T1").select(*schemas.QUEUE)
+    """A queue as an earlier run has left it: the events published before 1996."""
+    return state.review_rows(_named(spark, sf_dir).filter("published_at < TIMESTAMP '1996-01-01'"), "T1").select(*schemas.QUEUE)
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -435,12 +451,12 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {_KEYS_SQL.replace("lower(regexp_replace(o_orderpriority,", "lower(regexp_replace(o_orderpriority || o_orderkey,")}, r AS (SELECT * FROM keyed)
-SELECT candidate_id, event_key, CASE WHEN o_orderkey % 2 = 0 THEN 'T1' ELSE 'T2' END AS first_seen, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0 THEN 'T2' ELSE 'T1' END AS last_seen FROM r
-WHERE o_orderkey % 2 = 0 OR (o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0)"""
+SELECT candidate_id, event_key, CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'T1' ELSE 'T2' END AS first_seen, CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderkey % 7 <> 0 THEN 'T2' ELSE 'T1' END AS last_seen FROM r
+WHERE o_orderdate < TIMESTAMP '1996-01-01' OR o_orderkey % 7 <> 0"""
 )
 def queue_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Even orders are queued; every third comes (again), unless it was rejected."""
-    new = _named(spark, sf_dir).filter("seq % 3 = 0")
+    """Orders up to 1995 are queued; those from 1995 on come (again), unless they were rejected."""
+    new = _named(spark, sf_dir).filter("published_at >= TIMESTAMP '1995-01-01'")
     return state.upsert_queue(_queue(spark, sf_dir), new, _log(spark, sf_dir), "T2").select("candidate_id", "event_key", "first_seen", "last_seen")
 
 
@@ -484,6 +500,59 @@ def history_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.history_keys(history, events)
 
 
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's events as found events of their users in three slices of time (now: T1 to T3); names are all the same or have no letter in common."""
+    day = F.to_date("ts")
+    name = F.repeat(F.char(F.from_json("props", "k int")["k"] % 10 + 97), F.lit(12))
+    none = F.array().cast("array<string>")
+    made = {
+        "seq": F.col("event_id"), "now": F.when(day < "2024-01-11", "T1").when(day < "2024-01-21", "T2").otherwise("T3"), "artist_id": F.col("user_id").cast("string"), "activity_type": F.col("event_type"), "event_name": name, "title": name,
+        "event_dates": F.array(day), "event_start_date": day, "event_end_date": day, "date_confidence": F.lit("HIGH"), "date_conflict": F.lit(False), "cities": none, "venues": none, "related_urls": none, "score": F.floor("value").cast("int"),
+        "published_at": F.col("ts").cast("timestamp"), "url": F.concat(F.lit("http://e.example/"), F.col("event_id").cast("string")), "supporting_article_count": F.lit(1),
+    }
+    rest = ("artist", "company", "label", "date_evidence", "date_source", "schedule_status", "source_type", "original_url", "naver_url", "clipped_text", "review_reason")
+    return state.keyed(table(spark, sf_dir, "events").select(*[c.alias(n) for n, c in made.items()], *[F.lit("").alias(n) for n in rest]))
+
+
+_STREAM_SQL = """e AS (SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS d, repeat(chr(CAST(97 + CAST(json_extract(props, '$.k') AS INT) % 10 AS INT)), 12) AS name, CAST(CASE WHEN ts < DATE '2024-01-11' THEN 1 WHEN ts < DATE '2024-01-21' THEN 2 ELSE 3 END AS INT) AS slice FROM events),
+keyed AS (SELECT *, substr(sha256(user_id || '|' || event_type || '|' || name || '|' || d || ':' || d || '|'), 1, 24) AS event_key, substr(sha256(user_id || '|http://e.example/' || event_id), 1, 24) AS candidate_id FROM e)"""
+
+
+def _replayed(spark: SparkSession, sf_dir: str, changes: Callable[[DataFrame], DataFrame], columns: tuple[str, ...], key: str) -> DataFrame:
+    """The last row of each key after the slices came one after the other, each as a run of one stream that goes on from its checkpoint."""
+    base = f"{lineage.own_dir(spark)}/stream-{uuid.uuid4().hex}"
+    events = stream_events(spark, sf_dir)
+    for now in ("T1", "T2", "T3"):
+        events.filter(F.col("now") == now).write.parquet(f"{base}/in/{now}")
+        source = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
+        keyed.upsert(changes(source), f"{base}/out").trigger(availableNow=True).start().awaitTermination()
+    return keyed.latest(spark, f"{base}/out", columns, key)
+
+
+@query(
+    f"""WITH {_STREAM_SQL}
+SELECT arg_min(event_key, event_id) AS event_key, any_value(name) AS event_name, 'T' || min(slice) AS first_seen, 'T' || max(slice) AS last_seen, CAST(arg_max(CAST(floor(value) AS INT), event_id) AS VARCHAR) AS score, CAST(count(*) AS VARCHAR) AS articles,
+'http://e.example/' || min(event_id) AS primary_url FROM keyed GROUP BY user_id, event_type, name"""
+)
+def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history as keyed state of a stream."""
+    made = _replayed(spark, sf_dir, keyed.history_changes, schemas.HISTORY, "event_key")
+    return made.select("event_key", "event_name", "first_seen", "last_seen", "score", F.col("supporting_article_count").alias("articles"), "primary_url")
+
+
+@query(
+    f"""WITH {_STREAM_SQL}
+SELECT arg_min(candidate_id, event_id) AS candidate_id, event_key, 'T' || min(slice) AS first_seen, 'T' || max(slice) AS last_seen, CAST(arg_max(CAST(floor(value) AS INT), event_id) AS VARCHAR) AS score
+FROM keyed WHERE event_id % 7 <> 0 GROUP BY event_key"""
+)
+def stream_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review queue as keyed state of a stream; one of seven candidates was rejected before."""
+    found = stream_events(spark, sf_dir)
+    log = found.filter("seq % 7 = 0").select(*[(F.lit("REJECT") if c == "action" else F.col(c) if c == "candidate_id" else F.lit("")).alias(c) for c in schemas.REVIEW_LOG])
+    made = _replayed(spark, sf_dir, lambda events: keyed.queue_changes(events, log), schemas.QUEUE, "candidate_id")
+    return made.select("candidate_id", "event_key", "first_seen", "last_seen", "score")
+
+
 @query(
     f"""WITH {_KEYS_SQL} SELECT candidate_id, event_key, o_orderkey AS seq FROM keyed WHERE o_orderkey % 7 <> 0"""
 )
@@ -600,7 +669,7 @@ def official_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     articles = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("seq"), F.concat(F.lit("r"), (F.col("o_orderkey") % 5).cast("string")).alias("source_id"), F.concat(F.lit("news from "), F.initcap("n_name"), F.lit(".")).alias("title"), F.lit("").alias("body"))
     made = official.attributed(articles, official.of_sources(sources, entities), resolve.alias_table(entities, []))
-    return made.select(F.floor(F.col("seq") / 1_000_000).cast("long").alias("seq"), "artist_id")
+    return made.select(F.col("article_seq").alias("seq"), "artist_id")
 
 
 @query(
@@ -632,6 +701,38 @@ def body_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notices.preview(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body")))
 
 
+# How a day d is written, and what day that is, by kind; b is the day from which it is read.
+_FREE_DATES = (
+    ("date_format(d, 'MMMM d, yyyy')", "d"), ("date_format(d, 'd MMM yyyy')", "d"), ("date_format(d, \"EEEE, MMMM d yyyy 'at' 10:30\") || ' am'", "d"), ("date_format(d, 'MMM d') || 'th'", "make_date(year(b), month(d), day(d))"),
+    ("date_format(d, 'M/d/yyyy')", "d"), ("datediff(b, d) || ' days ago'", "d"), ("date_format(d, 'yyyy-MM-dd') || ' 23:59'", "d"), ("'in 3 weeks'", "b + 21"), ("'Yesterday'", "b - 1"), ("'an hour ago'", "b"),
+    ("date_format(d, \"yyyy'년 'M'월 'd'일'\")", "d"), ("date_format(d, \"M'월 'd'일 (토)'\")", "make_date(year(b), month(d), day(d))"), ("date_format(d, \"yy'년 'M'월 'd'일 오후 3시'\")", "d"), ("datediff(b, d) || '일 전'", "d"), ("'어제'", "b - 1"),
+    ("date_format(d, 'yyyy. M. d.')", "d"), ("'3주 후'", "b + 21"), ("'26시간 전'", "b - 1"), ("'모레'", "b + 2"),
+    ("date_format(d, \"yyyy'年'M'月'd'日'\")", "d"), ("date_format(d, \"M'月'd'日(土)'\")", "make_date(year(b), month(d), day(d))"), ("datediff(b, d) || '日前'", "d"), ("'明日'", "b + 1"), ("'1週間前'", "b - 7"),
+    ("'平成' || (year(d) - 1988) || date_format(d, \"'年'M'月'd'日 10時'\")", "d"), ("'本日'", "b"), ("'2か月前'", "CAST(b - INTERVAL 2 MONTH AS DATE)"),
+    ("'not a date, March'", "NULL"), ("'31 June 2026'", "NULL"), ("date_format(d, 'yyyy') || '-13-01'", "NULL"), ("''", "NULL"),
+)
+
+
+@query(
+    f"""WITH o AS (SELECT o_orderkey AS seq, CAST(o_orderdate AS DATE) AS d, CAST(o_orderdate AS DATE) + CAST(2 + o_orderkey % 5 AS INT) AS b FROM orders)
+SELECT seq, CAST(CAST(CASE CAST(seq % {len(_FREE_DATES)} AS INT) {" ".join(f"WHEN {i} THEN {day}" for i, (_, day) in enumerate(_FREE_DATES))} END AS DATE) AS VARCHAR) AS day FROM o"""
+)
+def free_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates written in ten ways or so in each of three languages, read back."""
+    d = F.to_date("o_orderdate")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("seq"), d.alias("d"), F.date_add(d, (F.col("o_orderkey") % 5 + 2).cast("int")).alias("b"))
+    said = F.element_at(F.array(*[F.expr(text_) for text_, _ in _FREE_DATES]), (F.col("seq") % len(_FREE_DATES) + 1).cast("int"))
+    noon = F.timestamp_seconds(F.unix_timestamp(F.col("b").cast("timestamp")) + 43_200)
+    return rows.select("seq", said.alias("said"), noon.alias("base")).select("seq", freedates.free_date(F.col("said"), F.col("base")).cast("string").alias("day"))
+
+
+@query()
+def html_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first link of every node that a source's selectors choose, with the node's text and day."""
+    made = selectors.items(table(spark, sf_dir, "pages").select("page_id", "url", "html"), selectors=SELECTORS, link=".", least=2)
+    return made.select("page_id", "place", "url", "title", F.sha2("body", 256).alias("body_sha256"), F.col("day").cast("string").alias("day"))
+
+
 @query("""SELECT o_orderkey AS seq, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE CAST(CAST(o_orderdate + INTERVAL 10 YEAR AS DATE) AS VARCHAR) END AS day FROM orders""")
 def page_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first full date that a page's text names."""

@@ -27,6 +27,24 @@ def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([seen[p] for p in zip(left, right)], dtype="float64")
 
 
+@F.pandas_udf(T.BooleanType())
+def alike(left: pd.Series, right: pd.Series, least: pd.Series) -> pd.Series:
+    """Whether the ratio reaches a limit. The letters that two names share bound it and are counted first; what belongs to the right name is prepared once for all that it meets."""
+    seen: dict[tuple, bool] = {}
+    matchers: dict[str, SequenceMatcher] = {}
+    for pair in zip(left, right, least):
+        if pair not in seen:
+            a, b, limit = pair
+            if a and b and b not in matchers:
+                matchers[b] = SequenceMatcher(None, "", b)
+            if a and b:
+                matchers[b].set_seq1(a)
+                seen[pair] = matchers[b].quick_ratio() >= limit and matchers[b].ratio() >= limit
+            else:
+                seen[pair] = limit <= 0
+    return pd.Series([seen[p] for p in zip(left, right, least)], dtype=bool)
+
+
 def ratio_bound(left: Column, right: Column) -> Column:
     """An upper bound of the ratio from the lengths alone; 0 where both are empty."""
     total = F.length(left) + F.length(right)

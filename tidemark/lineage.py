@@ -45,14 +45,23 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
-def _own(spark: SparkSession) -> str:
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Puts a folder in another's place."""
+    remove(spark, new)
+    place, fs = _at(spark, old)
+    if not fs.rename(place, _at(spark, new)[0]):
+        raise OSError(f"could not put {old} in the place of {new}")
+
+
+def own_dir(spark: SparkSession) -> str:
+    """The folder of the innermost ``scratch`` block, else that of this application."""
     return _folder.get() or f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}"
 
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """A folder that owns every table cut inside the block; it is removed at the end, so write the result before."""
-    path = f"{_own(spark)}/{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{uuid.uuid4().hex}"
     token = _folder.set(path)
     try:
         yield path
@@ -63,7 +72,7 @@ def scratch(spark: SparkSession) -> Iterator[str]:
 
 def clear(spark: SparkSession) -> None:
     """Removes all tables that this application cut; results that still read them can no longer be evaluated."""
-    remove(spark, _own(spark))
+    remove(spark, own_dir(spark))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -73,6 +82,6 @@ def cut(df: DataFrame) -> DataFrame:
     table stays until its ``scratch`` block ends, or until ``clear``.
     """
     spark = df.sparkSession
-    path = f"{_own(spark)}/{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

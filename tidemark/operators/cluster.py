@@ -1,31 +1,39 @@
 """Articles on one event become one row.
 
 Assignment is greedy by definition: in order of quality, an article joins the first cluster with
-a member that says the same, so a bridging article never merges two clusters. That order is kept
-per block of (entity, activity), which is a grouped map; everything around it (sorting keys,
-representative, unions, counts) is native.
-
-The articles of one block meet in one task. A block grows with the articles on one entity's one
-activity in one run's window, not with the archive. Inside it an article meets only articles with
-which it shares a token or whose anchor is like its own; anchors are compared once per distinct
-pair, within the bound by lengths, however many articles bear them.
+a member that says the same, so a bridging article never merges two clusters. Articles meet per block
+of (entity, activity).
+
+Blocks of ordinary size are worked on one after the other in the tasks that hold them, sorted, in
+batches. In a block of more than ``LARGE`` articles the same clusters come out of joins, and no task
+reads the block. There the rule reads: an article's cluster is the least (by quality) article that a
+chain of links, each to an earlier article, leads to. Articles of one anchor and span, and articles of
+one set of words and span, are classes whose members all say the same; so likeness is compared once
+per pair of classes, and what a class offers to a later article is, for each cluster that occurs in it,
+the first member that has it. Labels fall by these offers, and by the labels of labels, until none
+changes.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.frames import groups
 from ..functions.similarity import anchor, tokens
 from ..functions.text import filled
+from ..lineage import cut
 from ..vocabulary import CONFIDENCE
 
 #: Least similarity where dates overlap, where one side is dated, and where none is.
 BOTH, ONE, NONE = 0.48, 0.72, 0.82
+#: Articles of a block up to which one task works on it.
+LARGE = 2_000
 
 
 def confidence_rank(c: Column) -> Column:
@@ -98,8 +106,8 @@ def _assign(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"seq": seqs, "cluster": [seqs[i] for i in cluster_of], "cluster_rank": [rows["rank"].iloc[i] for i in cluster_of]})
 
 
-def assign(articles: DataFrame) -> DataFrame:
-    """seq, cluster (the seq of its first member) and cluster_rank for every article."""
+def assign(articles: DataFrame, *, large: int = LARGE) -> DataFrame:
+    """seq, cluster (the seq of its first member) and cluster_rank for every article; blocks of more than ``large`` articles by joins."""
     artist, alias = filled("artist"), filled("matched_artist_alias")
     usable = ~F.col("date_conflict")
     first, last = F.array_min("event_dates"), F.array_max("event_dates")
@@ -117,7 +125,136 @@ def assign(articles: DataFrame) -> DataFrame:
         # fixed width and offset, so that text sorts as the numbers do
         F.array_join(F.transform(F.array(*[order[f"k{i}"] for i in range(6)]), lambda k: F.lpad((k + F.lit(1 << 62)).cast("string"), 20, "0")), " ").alias("rank"),
     )
-    return keyed.groupBy("artist_id", "activity_type").applyInPandas(_assign, "seq long, cluster long, cluster_rank string")
+    block = F.concat_ws("\x02", *[F.coalesce(F.col(c).cast("string"), F.lit("\x01")) for c in ("artist_id", "activity_type")])
+    rows = cut(keyed.withColumn("block", block))
+    sizes = cut(rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > large).select("block"))
+    if sizes.isEmpty():
+        return _small(rows)
+    # a large block has more than ``large`` rows, so there are few
+    return _small(rows.join(F.broadcast(sizes), "block", "left_anti")).unionByName(by_classes(cut(rows.join(F.broadcast(sizes), "block", "left_semi"))))
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for _, block in groups(frames, ["block"]):
+            held.append(_assign(block))
+            n += len(block)
+            if n > 10_000:
+                yield pd.concat(held)
+                held, n = [], 0
+        if held:
+            yield pd.concat(held)
+
+    return rows.repartition("block").sortWithinPartitions("block").mapInPandas(run, "seq long, cluster long, cluster_rank string")
+
+
+# --- large blocks
+
+#: Anchors of a block that are compared with as many others in one task, and copies of a class's offers that its members are dealt to.
+CHUNK, SALTS = 256, 8
+
+
+def _name(*fields: Column) -> Column:
+    return F.sha2(F.concat_ws("\x02", *[F.coalesce(f.cast("string"), F.lit("\x01")) for f in fields]), 256)
+
+
+def _least(x: str, y: str) -> Column:
+    """The least likeness of two dated or undated sides x and y; null where their spans say that they differ."""
+    dated = F.col(f"{x}.start").isNotNull().cast("int") + F.col(f"{y}.start").isNotNull().cast("int")
+    overlap = (F.col(f"{x}.start") <= F.col(f"{y}.end")) & (F.col(f"{y}.start") <= F.col(f"{x}.end"))
+    return F.when(dated == 0, NONE).when(dated == 1, ONE).when(overlap, BOTH)
+
+
+def like_anchors(anchors: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """block, own, other, alike: anchors of one block whose likeness (of an earlier other to a later own) reaches BOTH, compared chunk against chunk."""
+    counted = anchors.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("count"))
+    dealt = anchors.join(counted, "block").withColumn("mine", F.pmod(F.xxhash64("anchor"), F.col("count")).cast("int"))
+    dealt = dealt.withColumn("their", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+    dealt = dealt.select("block", F.least("mine", "their").alias("i"), F.greatest("mine", "their").alias("j"), (F.col("mine") > F.col("their")).alias("second"), "anchor")
+    keys = ["block", "i", "j"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (block, i, j), frame in groups(frames, keys):
+            values, second = frame["anchor"].tolist(), frame["second"].tolist()
+            found, matcher = [], SequenceMatcher(None)
+            for own, here in zip(values, second):
+                matcher.set_seq2(own)
+                for other, there in zip(values, second):
+                    if other == own or (i != j and here == there) or 2 * min(len(other), len(own)) < BOTH * (len(other) + len(own)):
+                        continue
+                    matcher.set_seq1(other)
+                    if matcher.quick_ratio() >= BOTH and (r := matcher.ratio()) >= BOTH:
+                        found.append((block, own, other, r))
+            yield pd.DataFrame(found, columns=["block", "own", "other", "alike"])
+
+    made = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "block string, own string, other string, alike double")
+    return made.unionByName(anchors.select("block", F.col("anchor").alias("own"), F.col("anchor").alias("other"), F.lit(1.0).alias("alike")))
+
+
+def _anchor_links(rows: DataFrame) -> DataFrame:
+    """own, other: classes of one anchor and span whose articles say the same as an earlier one of the other class."""
+    classes = cut(rows.filter("anchor <> ''").select("block", "anchor", "start", "end", F.col("by_anchor").alias("class")).distinct())
+    pairs = like_anchors(classes.select("block", "anchor").distinct())
+    x, y = classes.alias("x"), classes.alias("y")
+    met = pairs.alias("p").join(x, (F.col("p.block") == F.col("x.block")) & (F.col("p.own") == F.col("x.anchor"))).join(y, (F.col("p.block") == F.col("y.block")) & (F.col("p.other") == F.col("y.anchor")))
+    least = _least("x", "y")
+    return met.filter(least.isNotNull() & ((F.col("p.own") == F.col("p.other")) | (F.col("alike") >= least))).select(F.col("x.class").alias("own"), F.col("y.class").alias("other"))
+
+
+def _word_links(rows: DataFrame) -> DataFrame:
+    """own, other: classes of one set of words and span that share enough of them. Sets that do share one of their rarest words (prefix filter)."""
+    classes = cut(rows.filter(F.col("by_words").isNotNull()).select("block", "tokens", "start", "end", (F.col("anchor") != "").alias("anchored"), F.col("by_words").alias("class")).distinct())
+    words = classes.select("block", "class", F.size("tokens").alias("size"), F.explode("tokens").alias("word"))
+    counted = words.groupBy("block", "word").agg(F.count(F.lit(1)).alias("n"))
+    ordered = words.join(counted, ["block", "word"]).groupBy("block", "class", "size").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("words"))
+    kept = F.col("size") - F.ceil(F.col("size") * BOTH - 1e-9).cast("int") + 1
+    prefixes = cut(ordered.select("block", "class", F.explode(F.slice("words", F.lit(1), kept)).alias("w")).select("block", "class", "w.word"))
+    met = prefixes.alias("a").join(prefixes.alias("b"), ["block", "word"]).select(F.col("a.class").alias("own"), F.col("b.class").alias("other")).distinct()
+    x, y = classes.alias("x"), classes.alias("y")
+    both = met.join(x, F.col("own") == F.col("x.class")).join(y, F.col("other") == F.col("y.class"))
+    shared, either = F.size(F.array_intersect("x.tokens", "y.tokens")), F.size(F.array_union("x.tokens", "y.tokens"))
+    undated = F.col("x.start").isNull() & F.col("y.start").isNull()
+    least = _least("x", "y")
+    return both.filter(least.isNotNull() & (shared >= least * either) & (~undated | (F.col("x.anchored") & F.col("y.anchored")))).select("own", "other")
+
+
+def by_classes(rows: DataFrame) -> DataFrame:
+    """seq, cluster, cluster_rank by falling labels. rows: block, seq, rank, tokens, anchor, start, end."""
+    tokens = F.array_sort("tokens")
+    worded = (F.size("tokens") > 0) & (F.col("start").isNotNull() | (F.col("anchor") != ""))
+    named = cut(
+        rows.withColumns(
+            {
+                "by_anchor": F.when(F.col("anchor") != "", _name(F.lit("a"), F.col("block"), F.col("anchor"), F.col("start"), F.col("end"))),
+                "by_words": F.when(worded, _name(F.lit("w"), F.col("block"), F.to_json(tokens), F.col("start"), F.col("end"), F.col("anchor") != "")),
+                "tokens": tokens,
+            }
+        )
+    )
+    links = cut(_anchor_links(named).unionByName(_word_links(named)).distinct())
+    members = named.select("seq", "rank", F.explode(F.array_compact(F.array("by_anchor", "by_words"))).alias("class"))
+    members = cut(members.withColumn("salt", F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int")))
+    spread = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # the first member of each of its classes is linked to an article, or is the article
+    firsts = members.groupBy("class").agg(F.min("rank").alias("first"))
+    start = members.join(spread(firsts), ["class", "salt"]).groupBy("rank").agg(F.min("first").alias("label"))
+    labels = cut(named.select("rank").join(start, "rank", "left").select("rank", F.coalesce("label", "rank").alias("label")))
+    while True:
+        held = members.join(labels, "rank")
+        steps = held.groupBy("class", "label").agg(F.min("rank").alias("first"))
+        offers = links.join(steps.withColumnRenamed("class", "other"), "other").groupBy(F.col("own").alias("class"), "label").agg(F.min("first").alias("first"))
+        offered = members.join(spread(offers), ["class", "salt"]).filter(F.col("first") < F.col("rank")).groupBy("rank").agg(F.min("label").alias("offer"))
+        fallen = cut(labels.join(offered, "rank", "left").select("rank", F.col("label").alias("before"), F.least("label", F.coalesce("offer", "label")).alias("label")))
+        # an article's label is an article too, and what that one leads to is within reach
+        above = fallen.join(fallen.select(F.col("label").alias("rank")).distinct(), "rank", "left_semi").select(F.col("rank").alias("label"), F.col("label").alias("above"))
+        jumped = cut(fallen.withColumn("salt", F.pmod(F.xxhash64("rank"), F.lit(SALTS)).cast("int")).join(spread(above), ["label", "salt"]).select("rank", "before", F.least("label", "above").alias("label")))
+        changed = not jumped.filter("label < before").isEmpty()
+        labels = jumped.select("rank", "label")
+        if not changed:
+            break
+    seq = lambda c: F.substring(c, -20, 20).cast("decimal(20,0)") - F.lit(1 << 62)
+    return labels.select(seq("rank").cast("long").alias("seq"), seq("label").cast("long").alias("cluster"), F.col("label").alias("cluster_rank"))
 
 
 def roll_up(articles: DataFrame, clusters: DataFrame) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import review_days
 from ..functions.keys import review_key
 from ..functions.text import blank_to_null, filled
+from ..lineage import cut
 from ..schemas import HISTORY, QUEUE, REVIEW_LOG
 from ..vocabulary import CUES
 
@@ -113,28 +114,7 @@ def confirmed(sourced: DataFrame, now: str) -> DataFrame:
     return put.select("place", "decision", "action", "candidate", "target", "source", error.alias("error"), F.when(makes & error.isNull(), row).alias("row"))
 
 
-def apply(decisions: DataFrame, history: DataFrame, queue: DataFrame, now: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """New history, new queue and the log of the decisions; raises ValueError before anything is made if one of them cannot be applied.
-
-    Decisions of one document are independent of each other: each candidate and each confirmed
-    event may be named once. Of two that make the same event, the later one counts.
-    """
-    made = confirmed(_sources(decisions, history, queue), now)
-    checked = made.select("place", "action", "candidate", "target", "error").orderBy("place").collect()  # at most MOST rows
-    named: set[tuple[str, str]] = set()
-    for r in checked:
-        about = ("candidate", r["candidate"]) if r["action"] in ("APPROVE", "REJECT") else ("event", r["target"])
-        if r["error"] is None and r["action"] != "CREATE" and about in named:
-            raise ValueError(f"decision {r['place'] + 1}: already decided in this document")
-        if r["error"] is not None:
-            raise ValueError(f"decision {r['place'] + 1}: {r['error']}")
-        named.add(about)
-    rows = made.filter(F.col("row").isNotNull()).groupBy("row.event_key").agg(F.max_by("row", "place").alias("row")).select("row.*")
-    gone = [made.filter(F.col("action").isin("UPDATE", "DELETE")).select(F.col("target").alias("event_key")), rows.select("event_key")]
-    left = history.join(F.broadcast(reduce(DataFrame.unionByName, gone)), "event_key", "left_anti")
-    new_history = left.select(*HISTORY).unionByName(rows.select(*HISTORY))
-    done = made.filter(F.col("action").isin("APPROVE", "REJECT")).select(F.col("candidate").alias("candidate_id"))
-    new_queue = queue.join(F.broadcast(done), "candidate_id", "left_anti").select(*queue.columns)
+def _log_row(now: str) -> list[Column]:
     log = {
         "reviewed_at": F.lit(now),
         "action": F.col("action"),
@@ -145,4 +125,45 @@ def apply(decisions: DataFrame, history: DataFrame, queue: DataFrame, now: str)
         "event_name": F.coalesce(blank_to_null(_said("eventName")), filled("source.event_name")),
         "note": F.substring(filled(F.try_element_at("decision", F.lit("note"))), 1, NOTE_SIZE),
     }
-    return new_history, new_queue, made.orderBy("place").select(*[log[c].alias(c) for c in REVIEW_LOG])
+    return [log[c].alias(c) for c in REVIEW_LOG]
+
+
+def _independent(checked: list[Row]) -> int:
+    """How many decisions, from the first on, are about nothing that one before them has decided or made."""
+    gone: set[tuple[str, str]] = set()
+    for n, r in enumerate(checked):
+        about = ("candidate", r["candidate"]) if r["action"] in ("APPROVE", "REJECT") else ("event", r["target"])
+        if r["action"] != "CREATE" and about in gone:
+            return n
+        if r["error"] is not None:
+            raise ValueError(f"decision {r['place'] + 1}: {r['error']}")
+        gone |= {about, ("event", r["made"])} if r["made"] else {about}
+    return len(checked)
+
+
+def apply(decisions: DataFrame, history: DataFrame, queue: DataFrame, now: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """New history, new queue and the log of the decisions; raises ValueError before anything is made if one of them cannot be applied.
+
+    Decisions count in the order of the document: an event that one of them makes, changes or removes
+    is so for those that follow, and of two that make the same event the later one counts. Those that
+    do not build on each other are applied together, so a document costs a read of the stores for each
+    step of dependence, mostly one.
+    """
+    history, queue = history.select(*HISTORY), queue.select(*queue.columns)
+    left, logs = cut(decisions), []
+    while True:
+        made = cut(confirmed(_sources(left, history, queue), now))
+        checked = made.select("place", "action", "candidate", "target", "error", F.col("row.event_key").alias("made")).orderBy("place").collect()  # at most MOST rows
+        done = _independent(checked)
+        last = checked[done - 1]["place"] if done else -1
+        step = made.filter(F.col("place") <= last)
+        rows = step.filter(F.col("row").isNotNull()).groupBy("row.event_key").agg(F.max_by("row", "place").alias("row")).select("row.*")
+        gone = [step.filter(F.col("action").isin("UPDATE", "DELETE")).select(F.col("target").alias("event_key")), rows.select("event_key")]
+        history = history.join(F.broadcast(reduce(DataFrame.unionByName, gone)), "event_key", "left_anti").select(*HISTORY).unionByName(rows.select(*HISTORY))
+        decided = step.filter(F.col("action").isin("APPROVE", "REJECT")).select(F.col("candidate").alias("candidate_id"))
+        queue = queue.join(F.broadcast(decided), "candidate_id", "left_anti").select(*queue.columns)
+        logs.append(step.select("place", *_log_row(now)))
+        if done == len(checked):
+            break
+        left = left.filter(F.col("place") > last)
+    return history, queue, reduce(DataFrame.unionByName, logs).orderBy("place").select(*REVIEW_LOG)

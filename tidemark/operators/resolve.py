@@ -1,9 +1,11 @@
 """Which entity a title is about.
 
-Aliases are found by an equi-join on their first word of Latin letters and digits (which a title
-must hold as a whole word) or, in other scripts, their first two characters, not by trying every
-alias on every title, so the dictionary may grow. The alias side is broadcast while its counted
-rows are few and shuffled beyond that.
+An alias can stand in a title only if each of its words of Latin letters and digits is a whole word
+of the title (in other scripts: each two of its neighbouring characters stand there together). So of
+these parts the one that the fewest titles hold is the alias's key: titles and aliases meet by an
+equi-join on it, and the whole alias is then looked for. Names that all begin with one frequent word
+meet by what tells them apart, and an alias of which some part is in no title meets nothing. The
+alias side is broadcast while its counted rows are few and shuffled beyond that.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, filled
+from ..lineage import cut
 
-HEAD = 2
 BROADCAST_ROWS = 200_000
 
 
@@ -49,41 +51,60 @@ def alias_table(entities: DataFrame, blocked: list[str]) -> DataFrame:
     rows = entities.select("artist_id", F.col("name").alias("artist"), "company", "label", "priority", F.col("seq").alias("entity_seq"), F.posexplode(aliases_of(F.col("name"), F.col("aliases"), blocked)).alias("alias_seq", "alias"))
     longest = rows.withColumn("size", size).withColumn("longest", F.max(size).over(Window.partitionBy("artist_id")))
     rank = F.struct((~F.col("priority")).alias("a"), (-F.col("longest")).alias("b"), F.col("entity_seq").alias("c"), (-F.col("size")).alias("d"), F.col("alias_seq").alias("e"))
-    return longest.select("artist_id", "artist", "company", "label", "alias", rank.alias("rank"), _head(F.lower("alias")).alias("head"))
+    return longest.select("artist_id", "artist", "company", "label", "alias", rank.alias("rank"))
 
 
-def _head(low: Column) -> Column:
-    """What a title must hold as one of its heads: the alias's first run of Latin letters and digits, else its first characters."""
-    run = F.regexp_extract(low, "^[a-z0-9]+", 0)
-    return F.when(run != "", run).otherwise(F.substring(low, 1, HEAD))
+_LATIN = "[a-z0-9]+"
 
 
-def _heads(low: Column) -> Column:
-    """All runs of Latin letters and digits of a title, and its one and two characters from any other one on."""
-    starts = F.filter(F.sequence(F.lit(1), F.length(low)), lambda i: ~F.substr(low, i, F.lit(1)).rlike("[a-z0-9\\s]"))
-    cuts = [F.transform(starts, lambda i: F.substr(low, i, F.lit(n))) for n in range(1, HEAD + 1)]
-    return F.array_distinct(F.concat(F.regexp_extract_all(low, F.lit("[a-z0-9]+"), F.lit(0)), *[F.when(low.rlike("[^a-z0-9\\s]"), c).otherwise(F.array().cast("array<string>")) for c in cuts]))
+def _parts(alias: Column) -> Column:
+    """What a title must hold if it holds the alias: its words of Latin letters and digits, else its pairs of characters, else itself."""
+    words = F.regexp_extract_all(F.lower(alias), F.lit(_LATIN), F.lit(0))
+    pairs = F.regexp_extract_all(alias, F.lit(r"(?s)(?=(\S.))"), F.lit(1))
+    return F.array_distinct(F.when(F.size(words) > 0, words).when(F.length(alias) < 2, F.array(alias)).otherwise(pairs))
+
+
+def _held(title: Column) -> Column:
+    """All parts of aliases that a title can hold: its words of Latin letters and digits, its other characters and the pairs that they begin."""
+    words = F.regexp_extract_all(F.lower(title), F.lit(_LATIN), F.lit(0))
+    other = F.concat(F.regexp_extract_all(title, F.lit(r"[^A-Za-z0-9\s]"), F.lit(0)), F.regexp_extract_all(title, F.lit(r"(?s)(?=([^A-Za-z0-9\s].))"), F.lit(1)))
+    return F.array_distinct(F.concat(words, other))
 
 
 def holds(title: Column, alias: Column) -> Column:
     """Latin letters and digits need a boundary and no case; other aliases count as written, anywhere."""
-    low, name = F.concat(F.lit(" "), F.lower(title), F.lit(" ")), F.lower(alias)
-    size = F.length(name)
+    low, name = F.lower(title), F.lower(alias)
+    quoted = F.concat(F.lit(r"(?<![a-z0-9])\Q"), F.replace(name, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![a-z0-9])"))
+    return F.when(~name.rlike("[a-z0-9]"), F.contains(title, alias)).otherwise(F.contains(low, name) & F.regexp_like(low, quoted))
+
+
+def _keyed(rows: DataFrame, aliases: DataFrame, few) -> DataFrame:
+    """Aliases with their part: the one that the fewest rows (a title and a part of it) have. Aliases of which no title has some part are left out."""
+    several = aliases.filter(F.size("parts") > 1)
+    single = aliases.filter(F.size("parts") == 1).withColumn("part", F.col("parts")[0]).drop("parts")
+    if several.isEmpty():
+        return single
+    exploded = several.select(*[c for c in aliases.columns if c != "parts"], F.explode("parts").alias("part"))
+    seen = rows.join(few(exploded.select("part").distinct()), "part", "left_semi").groupBy("part").agg(F.count(F.lit(1)).alias("seen"))
+    best = F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), (-F.length("part")).alias("size"), "part")).alias("best")
+    whole = F.first(F.struct(*[c for c in aliases.columns if c != "parts"])).alias("it")
+    chosen = exploded.join(seen, "part", "left").groupBy("rank", F.col("alias").alias("_alias")).agg(whole, best).filter("best.seen > 0")
+    return single.unionByName(chosen.select("it.*", "best.part"))
 
-    def bounded(i: Column) -> Column:
-        return (F.substr(low, i, size) == name) & ~F.substr(low, i - 1, F.lit(1)).rlike("[a-z0-9]") & ~F.substr(low, i + size, F.lit(1)).rlike("[a-z0-9]")
 
-    anywhere = F.exists(F.sequence(F.lit(2), F.greatest(F.length(low) - size, F.lit(2))), bounded)
-    return F.when(~name.rlike("[a-z0-9]"), F.contains(title, alias)).otherwise(F.contains(low, name) & anywhere)
+def candidates(titles: DataFrame, aliases: DataFrame, *, key: str = "seq", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """key, title, part and the columns of every alias whose key the title holds."""
+    known = cut(aliases.withColumn("parts", _parts(F.col("alias"))))
+    few = F.broadcast if known.count() <= broadcast_rows else (lambda df: df)
+    rows = titles.filter(filled("title") != "").select(key, "title", F.explode(_held(F.col("title"))).alias("part"))
+    return rows.join(few(cut(_keyed(rows, known, few))), "part")
 
 
 def matches(titles: DataFrame, aliases: DataFrame, *, key: str = "seq", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """key and the columns of every alias that the title holds. titles: key, title."""
-    heads = titles.filter(filled("title") != "").select(key, "title", F.explode(_heads(F.lower("title"))).alias("head"))
-    small = aliases.count() <= broadcast_rows
-    met = heads.join(F.broadcast(aliases) if small else aliases, "head")
-    # an alias of one run of letters and digits is found by its head alone
-    return met.filter((F.col("head") == F.lower("alias")) & F.col("head").rlike("^[a-z0-9]+$") | holds(F.col("title"), F.col("alias"))).drop("title", "head")
+    met = candidates(titles, aliases, key=key, broadcast_rows=broadcast_rows)
+    # an alias of one word is found by its part alone
+    return met.filter((F.col("part") == F.lower("alias")) & F.col("part").rlike("^[a-z0-9]+$") | holds(F.col("title"), F.col("alias"))).drop("title", "part")
 
 
 def resolve(articles: DataFrame, aliases: DataFrame, *, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:

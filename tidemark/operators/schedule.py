@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import ratio, ratio_bound
+from ..functions.similarity import alike as is_alike
+from ..functions.similarity import ratio_bound
 from ..functions.text import blank_to_null, filled, letters
 from ..vocabulary import EXPLICIT_ADDITION, TOUR_FAMILY
 
@@ -23,7 +24,7 @@ def related(articles: DataFrame, history: DataFrame, *, alike: float = ALIKE) ->
     old = history.select("artist_id", F.col("activity_type").alias("old_type"), letters(filled("event_name")).alias("old_name"), "event_key", "event_dates", F.col("cities").alias("old_cities"))
     family = F.col("old_type").isin(*TOUR_FAMILY) & F.col("new_type").isin(*TOUR_FAMILY)
     met = new.join(old, "artist_id").filter((F.col("old_type") == F.col("new_type")) | family)
-    met = met.filter(ratio_bound(F.col("old_name"), F.col("new_name")) >= alike).filter(ratio("old_name", "new_name") >= alike)
+    met = met.filter(ratio_bound(F.col("old_name"), F.col("new_name")) >= alike).filter(is_alike("old_name", "new_name", F.lit(float(alike))))
 
     def listed(name: str) -> Column:
         return F.array_distinct(F.filter(F.flatten(F.collect_list(F.split(filled(name), r"\|"))), lambda v: v != ""))
@@ -66,7 +67,7 @@ def corroborate(news: DataFrame, official: DataFrame, *, alike: float = ALIKE, b
     right = official.select("artist_id", "activity_type", F.col("event_dates").alias("their_dates"), F.lower(F.coalesce(blank_to_null("event_name"), F.col("title"))).alias("r"))
     met = left.join(right, ["artist_id", "activity_type"])
     shared = F.arrays_overlap("event_dates", "their_dates")
-    by_name = met.filter(~F.coalesce(shared, F.lit(False))).filter(ratio_bound(F.col("l"), F.col("r")) >= alike).filter(ratio("l", "r") >= alike)
+    by_name = met.filter(~F.coalesce(shared, F.lit(False))).filter(ratio_bound(F.col("l"), F.col("r")) >= alike).filter(is_alike("l", "r", F.lit(float(alike))))
     seqs = met.filter(shared).select("seq").unionByName(by_name.select("seq")).distinct().withColumn("_met", F.lit(True))
     joined = news.drop("official_verified").join(seqs, "seq", "left")
     return joined.withColumns({"official_verified": F.col("_met").isNotNull(), "score": F.col("score") + F.when(F.col("_met"), bonus).otherwise(0)}).drop("_met")

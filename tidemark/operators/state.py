@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.frames import groups
 from ..functions.keys import candidate_id, event_key
-from ..functions.similarity import ratio, ratio_bound
+from ..functions.similarity import alike, ratio_bound
 from ..functions.text import blank_to_null, filled
 from ..lineage import cut
 from ..schemas import HISTORY, QUEUE
@@ -35,24 +37,49 @@ def keyed(events: DataFrame) -> DataFrame:
     return events.withColumns({"event_key": key, "candidate_id": candidate_id(F.col("artist_id"), F.col("original_url"), F.col("url"), F.col("title"))})
 
 
-def _match(key: tuple, known: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-    """The history key of each new event of one (entity, activity): its own, else that of the first like event, in order."""
-    rows = {r.event_key: (r.start, r.name, r.fixed) for r in known.sort_values("place").itertuples(index=False)}
-    out = []
-    for r in new.sort_values("place").itertuples(index=False):
-        to = r.event_key
-        if to not in rows and not r.exact:
-            for k, (start, name, _) in rows.items():
-                least = SAME_DAY if r.start and start == r.start else ANY_DAY
-                if 2 * min(len(name), len(r.name)) < least * (len(name) + len(r.name)):
+def match_in_order(rows: dict[str, tuple], new: Iterable[tuple]) -> Iterator[tuple]:
+    """seq and history key of each new event of one (entity, activity): its own, else that of the first like event, in order.
+
+    rows: key -> first day, name, fixed, in the order of the history; the events' own rows are added or
+    take the place of others as they come. new: seq, event_key, start, first_day, name, exact.
+    """
+    matcher = SequenceMatcher(None)
+    for seq, key, start, first_day, name, exact in new:
+        to = key
+        if to not in rows and not exact:
+            matcher.set_seq2(name)
+            for k, (day, known, _) in rows.items():
+                least = SAME_DAY if start and day == start else ANY_DAY
+                if 2 * min(len(known), len(name)) < least * (len(known) + len(name)):
                     continue
-                if SequenceMatcher(None, name, r.name).ratio() >= least:
+                matcher.set_seq1(known)
+                if matcher.quick_ratio() >= least and matcher.ratio() >= least:
                     to = k
                     break
         if to not in rows or not rows[to][2]:
-            rows[to] = (r.first_day, r.name, False)
-        out.append((r.place, to))
-    return pd.DataFrame(out, columns=["seq", "history_key"])
+            rows[to] = (first_day, name, False)
+        yield seq, to
+
+
+_FOLDED = ["event_key", "start", "first_day", "name", "fixed", "exact", "seq"]
+
+
+def _fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """As match_in_order, for every (entity, activity) of a sorted partition; rows of the history come first."""
+    out: list[tuple] = []
+    for _, group in groups(frames, ["artist_id", "activity_type"]):
+        rows: dict[str, tuple] = {}
+        new = []
+        for key, start, first_day, name, fixed, exact, seq in zip(*(group[c].tolist() for c in _FOLDED)):
+            if seq is None or seq != seq:
+                rows[key] = (start, name, fixed)
+            else:
+                new.append((int(seq), key, start, first_day, name, exact))
+        out += match_in_order(rows, new)
+        if len(out) > 10_000:
+            yield pd.DataFrame(out, columns=["seq", "history_key"])
+            out = []
+    yield pd.DataFrame(out, columns=["seq", "history_key"]).astype({"seq": "int64"})
 
 
 def _first_day(start: Column, days: Column) -> Column:
@@ -73,23 +100,50 @@ def history_keys(history: DataFrame, events: DataFrame, *, broadcast_rows: int =
     fixed = (filled("approval_status") == "MANUAL_CONFIRMED") | (filled("official_verified") == "Y")
     first_day = _first_day(F.col("event_start_date"), F.col("event_dates"))
     known = history.filter(filled("event_key") != "").select(*keys, "event_key", first_day.alias("start"), F.lower(filled("event_name")).alias("name"), fixed.alias("fixed"), place.alias("place"))
-    name = F.lower(F.coalesce(blank_to_null("event_name"), F.col("title")))
-    raw = cut(events.select(*keys, "event_key", _iso("event_start_date").alias("start"), _first_day(_iso("event_start_date"), _bars("event_dates")).alias("first_day"), name.alias("name"), F.col("seq").alias("place")))
+    raw = cut(events.select(*keys, *match_fields(), F.col("seq").alias("place")))
     small = raw.count() <= broadcast_rows
     few = F.broadcast if small else (lambda df: df)
     present = known.join(few(raw.select("event_key").distinct()), "event_key", "left_semi").select("event_key", F.lit(True).alias("exact"))
     new = cut(raw.join(present, "event_key", "left").withColumn("exact", F.coalesce("exact", F.lit(False))))
     loose = new.filter("NOT exact")
-    groups = cut(loose.select(*keys).distinct())
+    wanted = cut(loose.select(*keys).distinct())
 
     other = few(loose.select(*keys, F.col("start").alias("its_start"), F.col("name").alias("its_name")).distinct())
     least = F.when((F.col("its_start") != "") & (F.col("its_start") == F.col("start")), SAME_DAY).otherwise(ANY_DAY)
     met = known.select(*keys, "event_key", "start", "name").join(other, keys).withColumn("least", least)
-    near = met.filter(ratio_bound(F.col("name"), F.col("its_name")) >= F.col("least") - 1e-9).filter(ratio("name", "its_name") >= F.col("least")).select("event_key")
-    touched = near.unionByName(new.filter("exact").join(groups, keys, "left_semi").select("event_key")).distinct()
+    near = met.filter(ratio_bound(F.col("name"), F.col("its_name")) >= F.col("least") - 1e-9).filter(alike("name", "its_name", "least")).select("event_key")
+    touched = near.unionByName(new.filter("exact").join(wanted, keys, "left_semi").select("event_key")).distinct()
     kept = known.join(touched, "event_key", "left_semi")
-    folded = kept.groupBy(*keys).cogroup(new.join(few(groups), keys, "left_semi").groupBy(*keys)).applyInPandas(_match, "seq long, history_key string")
-    return folded.unionByName(new.join(few(groups), keys, "left_anti").select(F.col("place").alias("seq"), F.col("event_key").alias("history_key")))
+    old = kept.select(*keys, F.lit(0).alias("side"), "place", "event_key", "start", F.lit("").alias("first_day"), "name", "fixed", F.lit(False).alias("exact"), F.lit(None).cast("long").alias("seq"))
+    own = new.join(few(wanted), keys, "left_semi").select(*keys, F.lit(1).alias("side"), F.lit("").alias("place"), "event_key", "start", "first_day", "name", F.lit(False).alias("fixed"), "exact", F.col("place").alias("seq"))
+    dealt = old.unionByName(own).repartition(*keys).sortWithinPartitions(*keys, "side", "place", "seq")
+    folded = dealt.select(*keys, *_FOLDED).mapInPandas(_fold, "seq long, history_key string")
+    return folded.unionByName(new.join(few(wanted), keys, "left_anti").select(F.col("place").alias("seq"), F.col("event_key").alias("history_key")))
+
+
+def stored_fields() -> list[Column]:
+    """What a row of the history takes over from an event."""
+    return [
+        filled("company").alias("company"), filled("label").alias("label"), F.col("artist_id"), filled("artist").alias("artist"), F.col("activity_type"),
+        F.coalesce(blank_to_null("event_name"), F.col("title")).alias("event_name"), _iso("event_start_date").alias("event_start_date"), _iso("event_end_date").alias("event_end_date"),
+        _bars("event_dates").alias("event_dates"), F.col("date_confidence"), filled("date_evidence").alias("date_evidence"), filled("date_source").alias("date_source"),
+        F.when(F.col("date_conflict"), "Y").otherwise("N").alias("date_conflict"), _bars("cities").alias("cities"), _bars("venues").alias("venues"),
+        filled("schedule_status").alias("status"), filled("source_type").alias("source_type"), F.col("score").cast("string").alias("score"), F.col("title").alias("article_title"),
+    ]
+
+
+def addresses() -> Column:
+    return F.concat(F.array("url"), F.coalesce("related_urls", F.array().cast("array<string>")))
+
+
+def officially(events: DataFrame) -> Column:
+    return F.coalesce(F.col("official_verified"), F.lit(False)) if "official_verified" in events.columns else F.lit(False)
+
+
+def match_fields() -> list[Column]:
+    """What decides which row of the history an event belongs to."""
+    name = F.lower(F.coalesce(blank_to_null("event_name"), F.col("title")))
+    return [F.col("event_key"), _iso("event_start_date").alias("start"), _first_day(_iso("event_start_date"), _bars("event_dates")).alias("first_day"), name.alias("name")]
 
 
 def upsert_history(history: DataFrame, events: DataFrame, now: str) -> DataFrame:
@@ -100,20 +154,11 @@ def upsert_history(history: DataFrame, events: DataFrame, now: str) -> DataFrame
     first sighting and primary URL, and gathers URLs.
     """
     matched = events.join(history_keys(history, events), "seq")
-    urls = F.concat(F.array("url"), F.coalesce("related_urls", F.array().cast("array<string>")))
-    official = F.coalesce(F.col("official_verified"), F.lit(False)) if "official_verified" in events.columns else F.lit(False)
-    last = F.struct(
-        filled("company").alias("company"), filled("label").alias("label"), "artist_id", filled("artist").alias("artist"), "activity_type",
-        F.coalesce(blank_to_null("event_name"), F.col("title")).alias("event_name"), _iso("event_start_date").alias("event_start_date"), _iso("event_end_date").alias("event_end_date"),
-        _bars("event_dates").alias("event_dates"), "date_confidence", filled("date_evidence").alias("date_evidence"), filled("date_source").alias("date_source"),
-        F.when(F.col("date_conflict"), "Y").otherwise("N").alias("date_conflict"), _bars("cities").alias("cities"), _bars("venues").alias("venues"),
-        filled("schedule_status").alias("status"), filled("source_type").alias("source_type"), F.col("score").cast("string").alias("score"), F.col("title").alias("article_title"),
-    )
     runs = matched.groupBy("history_key").agg(
-        F.max_by(last, "seq").alias("new"),
+        F.max_by(F.struct(*stored_fields()), "seq").alias("new"),
         F.max("score").alias("best"),
-        F.bool_or(official).alias("official"),
-        F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("seq", urls.alias("urls")))), lambda s: s["urls"]))).alias("urls"),
+        F.bool_or(officially(events)).alias("official"),
+        F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("seq", addresses().alias("urls")))), lambda s: s["urls"]))).alias("urls"),
     )
     old = history.filter(filled("event_key") != "").select(F.struct(*HISTORY).alias("old"), F.col("event_key").alias("history_key"))
     both = old.join(runs, "history_key", "full_outer")
@@ -143,8 +188,9 @@ def upsert_history(history: DataFrame, events: DataFrame, now: str) -> DataFrame
     return both.select(*[field(n) for n in HISTORY])
 
 
-def review_rows(events: DataFrame, now: str) -> DataFrame:
-    """Events as rows of the queue, with seq."""
+def review_rows(events: DataFrame, now: str | Column) -> DataFrame:
+    """Events as rows of the queue, with seq. now: the run's time as text, or a column that has it."""
+    seen = F.lit(now) if isinstance(now, str) else now
     made = {
         "event_name": F.coalesce(blank_to_null("event_name"), F.col("title")),
         "event_start_date": _iso("event_start_date"),
@@ -160,8 +206,8 @@ def review_rows(events: DataFrame, now: str) -> DataFrame:
         "primary_url": F.col("url"),
         "related_urls": _bars("related_urls"),
         "supporting_article_count": F.col("supporting_article_count").cast("string"),
-        "first_seen": F.lit(now),
-        "last_seen": F.lit(now),
+        "first_seen": seen,
+        "last_seen": seen,
         "review_status": F.lit("PENDING"),
     }
     return events.select("seq", *[(made[c] if c in made else filled(c)).alias(c) for c in QUEUE])

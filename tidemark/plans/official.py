@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocabulary as V
@@ -16,6 +16,8 @@ from .daily import LOW_SCORE, of_company
 # Why an article is left out.
 NO_DATE = "게시일 미확인"
 OUTSIDE = "{hours}시간 범위 밖"
+#: Bits of a row's seq that tell the entities of one article apart.
+ROW_BITS = 12
 
 
 @dataclass(frozen=True)
@@ -46,8 +48,11 @@ def attributed(articles: DataFrame, spoken: DataFrame, aliases: DataFrame) -> Da
     both = found.unionByName(fallback).select(F.col("seq").alias("article_seq"), "source_name", "artist_id")
     who = aliases.select("artist_id", "artist", "company", "label", F.col("rank.c").alias("place")).distinct()
     rows = articles.drop("artist_id", "artist", "company", "label", "source_name", "matched_artist_alias").join(both, F.col("seq") == F.col("article_seq")).join(who, "artist_id")
-    # an article's entities are few, so a seq leaves room for their places
-    return rows.withColumn("seq", F.col("article_seq") * 1_000_000 + F.col("place") % 1_000_000).drop("article_seq", "place")
+    # an article's entities are few: its rows are numbered among themselves, and the seq is a number of 63 bits of both
+    nth = F.row_number().over(Window.partitionBy("article_seq").orderBy("place"))
+    article = F.col("article_seq").cast("long")
+    room = article.between(0, (1 << 63 - ROW_BITS) - 1) & (nth <= 1 << ROW_BITS)
+    return rows.withColumn("seq", F.when(room, F.shiftleft(article, ROW_BITS) + nth - 1).otherwise(F.raise_error(F.lit("no room for a seq")).cast("long"))).drop("place")
 
 
 def collect(

@@ -75,8 +75,13 @@ def search_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def notice_cache(spark: SparkSession, path: str) -> DataFrame:
-    """A cache of fetched notices in JSON lines: per URL the last line that was written; broken lines are skipped."""
-    rows = spark.read.schema(NOTICE_CACHE).json(path, mode="DROPMALFORMED").withColumn("_at", F.struct(F.input_file_name(), F.monotonically_increasing_id()))
+    """A cache of fetched notices in JSON lines: per URL the last line that was written; broken lines are skipped.
+
+    Files count in the order in which they were written, then by name; lines in the order of their file.
+    """
+    meta = F.col("_metadata")
+    at = F.struct(meta["file_modification_time"].alias("t"), meta["file_name"].alias("n"), meta["file_block_start"].alias("b"), F.monotonically_increasing_id().alias("i"))
+    rows = spark.read.schema(NOTICE_CACHE).json(path, mode="DROPMALFORMED").withColumn("_at", at)
     return rows.groupBy("url").agg(F.max_by(F.struct(*[c for c in names(NOTICE_CACHE) if c != "url"]), "_at").alias("r")).select("url", "r.*").select(*names(NOTICE_CACHE))
 
 

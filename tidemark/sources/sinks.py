@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import filled, formula_safe
-from ..lineage import exists
+from ..lineage import exists, rename
 
 
 def safe(df: DataFrame) -> DataFrame:
@@ -22,6 +22,13 @@ def write_store(df: DataFrame, path: str, columns: tuple[str, ...], order: list[
     safe(text.orderBy(*order)).write.mode("overwrite").csv(path, header=True, escape='"', quoteAll=False, emptyValue="")
 
 
+def replace_store(df: DataFrame, path: str, columns: tuple[str, ...], order: list[Column]) -> None:
+    """As write_store, beside what is at path and then in its place. df must not read from path any more (``lineage.cut``)."""
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    write_store(df, beside, columns, order)
+    rename(df.sparkSession, beside, path)
+
+
 def write_snapshot(df: DataFrame, base: str) -> str:
     """A new Parquet snapshot under base; returns its path. Readers go on with the old one."""
     path = f"{base.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
