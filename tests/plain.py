@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import defaultdict
+from datetime import datetime, timedelta
 from difflib import SequenceMatcher
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -207,3 +209,30 @@ def fold_decisions(items: list[dict], history: list[dict], queue: list[dict], ke
             made = source | {fields[k]: v for k, v in d.items() if k in fields}
             rows[key(made)] = made
     return {k: r["event_name"] for k, r in rows.items()}, sorted(waiting)
+
+
+def daily(orders: list[dict], first, last) -> list[tuple]:
+    """seq, artist_id, event_key, start, articles of the run over titles made of orders: each says its customer, a concert, and its day or span of three days; published 20 days before."""
+    blocks = defaultdict(list)
+    for o in orders:
+        day = o["o_orderdate"].date()
+        published = datetime.combine(day - timedelta(days=20), datetime.min.time())
+        if first <= published <= last:
+            end = day + timedelta(days=2 if o["o_orderkey"] % 3 == 0 else 0)
+            words = {f"{d.month}월" for d in (day, end)} | {f"{d.day}일" for d in (day, end)}
+            blocks[o["o_custkey"]].append((-published.timestamp(), o["o_orderkey"], day, end, words))
+    out = []
+    for customer, articles in blocks.items():
+        found: list[list[tuple]] = []
+        for a in sorted(articles, key=lambda a: a[:2]):
+            same = lambda m, a=a: a[2] <= m[3] and m[2] <= a[3] and len(a[4] & m[4]) >= 0.48 * len(a[4] | m[4])
+            home = next((c for c in found if any(map(same, c))), None)
+            if home is None:
+                found.append([a])
+            else:
+                home.append(a)
+        for c in found:
+            _, _, start, end, _ = min(c, key=lambda a: a[1])  # of equally good dates those of the first article
+            key = hashlib.sha256(f"{customer}|CONCERT|customer{customer:09d}콘서트|{start}:{end}|".encode()).hexdigest()[:24]
+            out.append((c[0][1], str(customer), key, str(start), len(c)))
+    return sorted(out)

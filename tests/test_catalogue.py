@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import glob
 import hashlib
 import os
@@ -119,6 +120,13 @@ def test_greedy_cluster_of_like_names(spark):
     assert 20 < len(set(expected.values())) < len(expected)
 
 
+def test_daily_run(spark):
+    orders = _dicts(spark.read.parquet(f"{DATA}/orders.parquet"))
+    expected = plain.daily(orders, dt.datetime(1997, 1, 1), dt.datetime(1998, 1, 1, 0, 10))
+    made = sorted(tuple(r) for r in catalogue.queries()["daily_run"](spark, DATA).select("seq", "artist_id", "event_key", "start", "articles").collect())
+    assert len(expected) > 200 and made == expected
+
+
 def test_schedule_change_fuzzy(spark):
     old = [e | {"event_dates": str(e["event_start_date"]), "cities": e["cities"][0]} for e in _dicts(catalogue._events(spark, DATA, "old"))]
     expected = plain.schedule(_dicts(catalogue._events(spark, DATA, "new")), old)

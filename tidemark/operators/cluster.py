@@ -8,9 +8,8 @@ Blocks of ordinary size are worked on one after the other in the tasks that hold
 batches. In a block of more than ``LARGE`` articles the same clusters come out of joins, and no task
 reads the block. There the rule reads: an article's cluster is the least (by quality) article that a
 chain of links, each to an earlier article, leads to. Articles of one anchor and span, and articles of
-one set of words and span, are classes whose members all say the same; so likeness is compared once
-per pair of classes, and what a class offers to a later article is, for each cluster that occurs in it,
-the first member that has it. Labels fall by these offers, and by the labels of labels, until none
+one set of words and span, are classes: what they say is compared once per pair of classes, and what a
+class offers to a later article is, for each cluster that occurs in it, the first member that has it. Labels fall by these offers, and by the labels of labels, until none
 changes.
 """
 
@@ -21,7 +20,7 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.frames import groups
@@ -219,31 +218,41 @@ def _word_links(rows: DataFrame) -> DataFrame:
     return both.filter(least.isNotNull() & (shared >= least * either) & (~undated | (F.col("x.anchored") & F.col("y.anchored")))).select("own", "other")
 
 
+def _frontier(offers: DataFrame) -> DataFrame:
+    """class, label, first without the offers that an earlier one betters; first inside salts, as one class may have very many."""
+    left = offers.withColumn("salt", F.pmod(F.xxhash64("label"), F.lit(SALTS)))
+    for keys in (["class", "salt"], ["class"]):
+        best = F.min("label").over(Window.partitionBy(*keys).orderBy("first", "label").rowsBetween(Window.unboundedPreceding, -1))
+        left = left.withColumn("best", best).filter(F.col("best").isNull() | (F.col("label") < F.col("best"))).drop("best")
+    return left.drop("salt")
+
+
 def by_classes(rows: DataFrame) -> DataFrame:
     """seq, cluster, cluster_rank by falling labels. rows: block, seq, rank, tokens, anchor, start, end."""
     tokens = F.array_sort("tokens")
-    worded = (F.size("tokens") > 0) & (F.col("start").isNotNull() | (F.col("anchor") != ""))
+    # articles without a day and a telling name say the same as dated ones, but not as each other
+    told = F.col("start").isNotNull() | (F.col("anchor") != "")
     named = cut(
         rows.withColumns(
             {
                 "by_anchor": F.when(F.col("anchor") != "", _name(F.lit("a"), F.col("block"), F.col("anchor"), F.col("start"), F.col("end"))),
-                "by_words": F.when(worded, _name(F.lit("w"), F.col("block"), F.to_json(tokens), F.col("start"), F.col("end"), F.col("anchor") != "")),
+                "by_words": F.when(F.size("tokens") > 0, _name(F.lit("w"), F.col("block"), F.to_json(tokens), F.col("start"), F.col("end"), F.col("anchor") != "")),
                 "tokens": tokens,
             }
         )
     )
     links = cut(_anchor_links(named).unionByName(_word_links(named)).distinct())
-    members = named.select("seq", "rank", F.explode(F.array_compact(F.array("by_anchor", "by_words"))).alias("class"))
+    members = named.select("seq", "rank", told.alias("told"), F.explode(F.array_compact(F.array("by_anchor", "by_words"))).alias("class"))
     members = cut(members.withColumn("salt", F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int")))
     spread = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     # the first member of each of its classes is linked to an article, or is the article
-    firsts = members.groupBy("class").agg(F.min("rank").alias("first"))
+    firsts = members.filter("told").groupBy("class").agg(F.min("rank").alias("first"))
     start = members.join(spread(firsts), ["class", "salt"]).groupBy("rank").agg(F.min("first").alias("label"))
     labels = cut(named.select("rank").join(start, "rank", "left").select("rank", F.coalesce("label", "rank").alias("label")))
     while True:
         held = members.join(labels, "rank")
-        steps = held.groupBy("class", "label").agg(F.min("rank").alias("first"))
-        offers = links.join(steps.withColumnRenamed("class", "other"), "other").groupBy(F.col("own").alias("class"), "label").agg(F.min("first").alias("first"))
+        steps = _frontier(held.groupBy("class", "label").agg(F.min("rank").alias("first")))
+        offers = _frontier(links.join(steps.withColumnRenamed("class", "other"), "other").groupBy(F.col("own").alias("class"), "label").agg(F.min("first").alias("first")))
         offered = members.join(spread(offers), ["class", "salt"]).filter(F.col("first") < F.col("rank")).groupBy("rank").agg(F.min("label").alias("offer"))
         fallen = cut(labels.join(offered, "rank", "left").select("rank", F.col("label").alias("before"), F.least("label", F.coalesce("offer", "label")).alias("label")))
         # an article's label is an article too, and what that one leads to is within reach
