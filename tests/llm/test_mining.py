@@ -185,6 +185,9 @@ def test_links(spark):
     assert _out(hyperminhash.components(docs)) == expected
     # every bucket is a crowd, in blocks of a few nodes
     assert _out(hyperminhash.components(docs, crowd=1, block=3)) == expected
+    # sets too large to travel, and then some of them
+    for held in (0, 150):
+        assert _out(hyperminhash.components(docs, crowd=1, block=7, held=held)) == expected
 
 
 def test_links_of_nothing(spark):
@@ -204,15 +207,15 @@ def test_estimates_keep_similar_pairs():
             if not len(a) or not len(b):
                 continue
             inter = len(np.intersect1d(a, b))
-            x, y = (hyperminhash.registers(v, hyperminhash.FINE) for v in (a, b))
+            x, y = (hyperminhash.registers(v, hyperminhash.FINE, hyperminhash.SHORT) for v in (a, b))
             kept = hyperminhash.likely(x[None], y[None], np.array([float(len(a))]), np.array([float(len(b))]))[0]
             assert kept or 100 * inter < 85 * len(np.union1d(a, b))
-            assert set(hyperminhash.bands(hyperminhash.registers(a, hyperminhash.COARSE))) & set(hyperminhash.bands(hyperminhash.registers(b, hyperminhash.COARSE))) - {0} or 100 * inter < 85 * len(np.union1d(a, b))
-    far = [hyperminhash.registers(rng.integers(-(2**63), 2**63 - 1, 3000, dtype=np.int64), hyperminhash.FINE) for _ in range(2)]
+            assert set(hyperminhash.bands(hyperminhash.registers(a, hyperminhash.COARSE, hyperminhash.LONG))) & set(hyperminhash.bands(hyperminhash.registers(b, hyperminhash.COARSE, hyperminhash.LONG))) - {0} or 100 * inter < 85 * len(np.union1d(a, b))
+    far = [hyperminhash.registers(rng.integers(-(2**63), 2**63 - 1, 3000, dtype=np.int64), hyperminhash.FINE, hyperminhash.SHORT) for _ in range(2)]
     size = np.array([3000.0])
     assert not hyperminhash.likely(far[0][None], far[1][None], size, size)[0]
     # two unlike sets agree by chance about as often as it is worked out
-    many = [np.stack([hyperminhash.registers(rng.integers(-(2**63), 2**63 - 1, 5000, dtype=np.int64), hyperminhash.FINE) for _ in range(60)]) for _ in range(2)]
+    many = [np.stack([hyperminhash.registers(rng.integers(-(2**63), 2**63 - 1, 5000, dtype=np.int64), hyperminhash.FINE, hyperminhash.SHORT) for _ in range(60)]) for _ in range(2)]
     agreed = (many[0][:, None] == many[1][None]).mean()
     expected = hyperminhash.chance(np.array([5000.0]), np.array([5000.0]))[0]
     assert 0.7 < agreed / expected < 1.3

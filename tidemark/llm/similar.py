@@ -181,16 +181,8 @@ def compare(pairs: DataFrame, docs: DataFrame, made: DataFrame, *, least: tuple[
     return confirm(cut(close(pairs, made, least=least)), docs, made, least=least, **settings)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, made: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
-    """The pairs a, b of a written table whose whole sets are similar; made: doc_id, digest, fp of every document.
-
-    A set travels once to each set that it is compared with; a set with very many others is met in several tasks.
-    """
-    p, q = least
-    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / LEAVES).cast("int").alias("parts"))
-    leaves = pairs.join(parts, "a").select(F.col("b").alias("fp"), F.col("a").alias("to"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("leaf"))
-    hubs = parts.select(F.col("a").alias("fp"), F.col("a").alias("to"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("leaf"))
-    wanted = cut(hubs.unionByName(leaves))
+def sets(wanted: DataFrame, docs: DataFrame, made: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """fp, held (the sorted hashes) of the nodes fp of a written table, read from one text of each."""
     first = made.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min(F.struct("doc_id", "digest")).alias("of"))
     named = cut(first.select(F.col("of.doc_id").alias("wanted_id"), F.col("of.digest").alias("wanted_digest")).distinct())
     named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
@@ -202,7 +194,20 @@ def confirm(pairs: DataFrame, docs: DataFrame, made: DataFrame, *, id_col: str =
             found = [shingles(t.as_py(), shingle) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["fp", "held"])
 
-    sent = texts.mapInArrow(run, "fp long, held binary").join(wanted, "fp").select("to", "part", "leaf", "fp", "held")
+    return texts.mapInArrow(run, "fp long, held binary")
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, made: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
+    """The pairs a, b of a written table whose whole sets are similar; made: doc_id, digest, fp of every document.
+
+    A set travels once to each set that it is compared with; a set with very many others is met in several tasks.
+    """
+    p, q = least
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / LEAVES).cast("int").alias("parts"))
+    leaves = pairs.join(parts, "a").select(F.col("b").alias("fp"), F.col("a").alias("to"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("leaf"))
+    hubs = parts.select(F.col("a").alias("fp"), F.col("a").alias("to"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("leaf"))
+    wanted = cut(hubs.unionByName(leaves))
+    sent = sets(wanted, docs, made, id_col=id_col, text_col=text_col, shingle=shingle).join(wanted, "fp").select("to", "part", "leaf", "fp", "held")
     dealt = sent.repartition("to", "part").sortWithinPartitions("to", "part", "leaf")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
