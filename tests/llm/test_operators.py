@@ -300,7 +300,7 @@ def test_hilbert_steps_are_single():
 
 
 def test_shards_written_and_pruned(spark, docs, tmp_path):
-    sharding.write(docs, sharding.shards(docs, count=5), f"file://{tmp_path}/out")
+    sharding.write(docs, sharding.shards(docs, count=5), f"file://{tmp_path}/out", rows_per_task=3)
     assert spark.read.parquet(f"file://{tmp_path}/out").count() == docs.count()
 
 
@@ -391,9 +391,16 @@ def test_toxicity_against_a_plain_forward_pass(spark):
     assert toxicity.Scorer(net).scores(["the vilegit " + "river " * 500])[0] > toxicity.Scorer(net).scores(["river " * 500])[0]
 
 
-def test_toxicity_sample_is_bounded(spark):
+def test_toxicity_learns_from_long_texts_within_a_bound(spark, monkeypatch):
     docs, labels = _labelled(spark, "toxic")
-    assert isinstance(toxicity.fit(docs, labels, longest=10), float)
+    longer = docs.filter("doc_id < 40").withColumn("text", F.array_join(F.array_repeat("text", 40), " "))
+    seen = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, y, *a: (seen.extend(texts), train(texts, y, *a))[1])
+    model = toxicity.fit(longer, labels, longest=1_600)
+    assert len(seen) == 40 and all(1_500 < len(t) <= 1_600 + toxicity.PARTS for t in seen)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(longer, model).collect()}
+    assert sum((s >= 0.5) == (d % 2 == 1) for d, s in scores.items()) >= 28
 
 
 def test_toxicity_gradients():

@@ -7,8 +7,9 @@ taken only at a boundary before a plain space that follows a character which is
 that a piece reads alone as it reads in its text. Where two neighbours meet depends on the two
 alone, so each pair is stitched by itself, and each piece is encoded in a task of its own; counts
 and ids are then put together in the order of the pieces, and decoding concatenates the raw bytes
-of the ids. A text of one chunk is one piece: nothing is stitched, and it is encoded where it is
-read, without a shuffle.
+of the ids. That is done for every text. Texts of up to one ``CHUNK`` are cut into chunks of ``INNER``
+characters, stitched and encoded piece by piece inside the task that reads them, without a shuffle;
+the chunks of longer ones are dealt over the cluster.
 
 Chunks between which there is no meeting point (inside one very long word) are encoded as one piece.
 
@@ -32,6 +33,8 @@ from ._spark import cut, text_of
 
 CHUNK = 32_768
 OVERLAP = 512
+#: Characters and overlap of chunks inside a task.
+INNER, INNER_OVERLAP = 1_024, 128
 #: Boundaries this near to a chunk's end may move when more text follows (the longest look-ahead is two characters).
 MARGIN = 3
 #: Chunks that are encoded at once.
@@ -76,19 +79,37 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(i, PART)
 
 
-def _whole(rows: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Digests of texts of one chunk, encoded where they are read."""
+def pieces(text: str, pattern: str, *, chunk: int = INNER, overlap: int = INNER_OVERLAP) -> list[str]:
+    """A text cut where the pre-tokens of neighbouring chunks agree; joined, the pieces are the text."""
+    count = max(0, (len(text) - overlap - 1) // chunk) + 1
+    parts = [text[n * chunk : (n + 1) * chunk + overlap] for n in range(count)]
+    if count == 1:
+        return parts
+    found = [boundaries(p, pattern) for p in parts]
+    cuts = [0]
+    for n, (own, mine, following) in enumerate(zip(parts, found, found[1:])):
+        head = set((following[following < overlap] + chunk).tolist())
+        stop = next((p for p in stops(own, mine, chunk) if p in head), None)
+        if stop is not None:
+            cuts.append(n * chunk + stop)
+    return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)])]
+
+
+def _whole(rows: DataFrame, path: str, pattern: str, *, chunk: int = INNER, overlap: int = INNER_OVERLAP) -> DataFrame:
+    """Digests of texts that are chunked, stitched and encoded where they are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(path, pattern)
         numerals = [str(i) for i in range(encoder.n_vocab)]
 
-        def digest(ids: list[int]) -> tuple[int, str, str]:
-            said = ",".join([numerals[i] for i in ids]).encode()
-            return len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(encoder.decode_bytes(ids)).hexdigest()
+        def digest(text: str) -> tuple[int, str, str]:
+            ids = [encode(p, encoder) for p in pieces(text, pattern, chunk=chunk, overlap=overlap)]
+            said = ",".join([numerals[i] for own in ids for i in own]).encode()
+            raw = b"".join([encoder.decode_bytes(own) for own in ids])
+            return sum(map(len, ids)), hashlib.sha256(said).hexdigest(), hashlib.sha256(raw).hexdigest()
 
         for batch in batches:
-            made = [digest(encode(t.as_py(), encoder)) for t in batch.column(1)]
+            made = [digest(t.as_py()) for t in batch.column(1)]
             columns = [pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -134,7 +155,7 @@ def encoded_pieces(texts: DataFrame, path: str, pattern: str, *, chunk: int = CH
     return pieces.mapInArrow(run, "key string, piece int, n_tokens long, ids string, raw binary")
 
 
-def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP, inner: tuple[int, int] = (INNER, INNER_OVERLAP)) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256 and, from the decoded ids, decoded_sha256."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     several = F.length("text") > chunk + overlap
@@ -146,4 +167,4 @@ def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
     raw = F.array_join(F.transform("own", lambda p: p["raw"].cast("string")), "")
     whole = ordered.select("key", "n_tokens", F.sha2(joined, 256).alias("ids_sha256"), F.sha2(raw, 256).alias("decoded_sha256"))
     stitched = keyed.select("doc_id", "key").join(whole, "key").drop("key")
-    return _whole(rows.filter(~several), path, pattern).unionByName(stitched)
+    return _whole(rows.filter(~several), path, pattern, chunk=inner[0], overlap=inner[1]).unionByName(stitched)

@@ -277,3 +277,14 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     alone = made.filter("size = 0").select("doc_id", "size", F.col("doc_id").alias("component_id"))
     both = joined.select("doc_id", "size", "component_id").unionByName(alone)
     return both.select("doc_id", F.col("size").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, *, least: tuple[int, int] = LEAST, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, broadcast_rows: int = simhash.BROADCAST_ROWS, **settings) -> DataFrame:
+    """The input's rows and columns; of each group of linked texts only the document with the smallest doc_id stays. Here texts without a word are equal.
+
+    Nulls lose against any doc_id; of texts that share the smallest one that of the smallest digest
+    stays, and of rows that repeat doc_id and text one.
+    """
+    made = cut(sketches(docs, id_col=id_col, text_col=text_col, shingle=shingle))
+    edges = links(docs, made.filter("size > 0"), id_col=id_col, text_col=text_col, shingle=shingle, least=least, **settings)
+    return simhash.keep_first(docs, simhash.labelled(made.select("doc_id", "digest", "fp"), edges), id_col=id_col, text_col=text_col, broadcast_rows=broadcast_rows)

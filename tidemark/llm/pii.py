@@ -30,6 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from ._spark import cut, text_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -48,27 +49,83 @@ WORD = r"\p{L}{3,}+"
 #: Letters by which words are put into classes, the hierarchy along which terms are generalised.
 LEVELS = (4, 2)
 SALTS = 8
+#: Entries of a list that are folded together, and code points of a text that are cut together.
+CHUNK, BLOCK = 128, 4096
 #: Rows of entities or terms up to which they are broadcast.
 BROADCAST_ROWS = 100_000
 _TERMS = "array<struct<start:int,end:int,disclosure:double,put:string>>"
 
 
+def _running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """For every entry of an array of counts, what op makes of all before it (0 for the first).
+
+    Chunks are folded first, then what stands before each chunk, then before each entry of it, so the
+    work grows with the entries (times a chunk), where one fold that appends would grow with their square.
+    """
+
+    def fold(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), op)
+
+    def within(chunks: Column, totals: Column) -> Column:
+        return F.flatten(F.transform(chunks, lambda c, i: let(fold(F.slice(totals, F.lit(1), i)), lambda before: F.transform(c, lambda _, k: op(before, fold(F.slice(c, F.lit(1), k)))))))
+
+    starts = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int"))
+    chunks = F.transform(starts, lambda i: F.slice(values, i * CHUNK + 1, F.lit(CHUNK)))
+    made = let(chunks, lambda cs: let(F.transform(cs, fold), lambda totals: within(cs, totals)))
+    return F.when(F.size(values) > 0, made).otherwise(F.array().cast("array<int>"))
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _most(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
 def _find_all(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
     """array<struct<start, end, value>> of all matches (whose value is wanted), offsets in code points.
 
     Java splits at the same matches that it extracts, so starts are running sums of the lengths
     of gaps and matches.
     """
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("spans"))
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["hit"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("value"))
-        return F.struct(F.coalesce(end, acc["at"]).alias("at"), F.when(pair["hit"].isNull() if wanted is None else ~F.coalesce(wanted(pair["hit"]), F.lit(False)), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span))).alias("spans"))
+    def placed(gaps: Column, hits: Column) -> Column:
+        sizes = F.transform(hits, lambda h, i: F.length(F.get(gaps, i)) + F.length(h))
+
+        def span(h: Column, i: Column, starts: Column) -> Column:
+            start = F.get(starts, i) + F.length(F.get(gaps, i))
+            return F.struct(start.alias("start"), (start + F.length(h)).alias("end"), h.alias("value"))
 
-    return F.aggregate(pairs, zero, step, lambda acc: acc["spans"])
+        return let(let(sizes, lambda n: _running(n, _sum)), lambda starts: F.transform(hits, lambda h, i: span(h, i, starts)))
+
+    found = let(F.split(text, pattern, -1), lambda gaps: let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda hits: placed(gaps, hits)))
+    return found if wanted is None else F.filter(found, lambda s: F.coalesce(wanted(s["value"]), F.lit(False)))
+
+
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """A text from start to end (code points, end exclusive), put together from its blocks, so that no piece is looked for from the text's beginning."""
+    i, j = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+    one = F.substring(F.get(blocks, i), start - i * BLOCK + 1, end - start)
+    head, tail = F.substring(F.get(blocks, i), start - i * BLOCK + 1, F.lit(BLOCK)), F.substring(F.get(blocks, j), F.lit(1), end - j * BLOCK)
+    several = F.concat(head, F.array_join(F.slice(blocks, i + 2, F.greatest(j - i - 1, F.lit(0))), ""), tail)
+    return F.when(end <= start, "").when(i == j, one).otherwise(several)
+
+
+def _rewritten(text: Column, spans: Column, put: Callable[[Column, Column], Column], kept: Callable[[Column, Column], Column]) -> Column:
+    """A text with its spans (sorted by start) rewritten. put: of a span and the end of all before it, what takes its place; kept: whether it is taken."""
+
+    def joined(blocks: Column, listed: Column, before: Column) -> Column:
+        def part(s: Column, i: Column) -> Column:
+            at = F.get(before, i)
+            return F.when(kept(s, at), F.concat(_piece(blocks, at, F.greatest(at, s["start"])), put(s, at))).otherwise("")
+
+        last = F.greatest(F.array_max(F.transform(listed, lambda s: s["end"])), F.lit(0))
+        return F.array_join(F.concat(F.transform(listed, part), F.array(_piece(blocks, last, F.length(text)))), "")
+
+    blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    ends = lambda listed: let(F.transform(listed, lambda s: s["end"]), lambda e: _running(e, _most))
+    return let(spans, lambda listed: let(ends(listed), lambda before: let(blocks, lambda bs: joined(bs, listed, before))))
 
 
 def _digits(value: Column) -> Column:
@@ -111,15 +168,9 @@ def base_spans(text: Column) -> Column:
 
 def _masked(text: Column, base: Column) -> Column:
     """The text with every base span blanked, so that all other places stay."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     spans = F.array_sort(F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-
-    def step(acc: Column, span: Column) -> Column:
-        first, last = F.greatest(acc["at"], span["start"]), F.greatest(acc["at"], span["end"])
-        return F.struct(last.alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, first - acc["at"]), F.repeat(F.lit(" "), last - first)).alias("out"))
-
-    blanked = F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(base) > 0, blanked).otherwise(text)
+    blanks = lambda s, at: F.repeat(F.lit(" "), F.greatest(at, s["end"]) - F.greatest(at, s["start"]))
+    return F.when(F.size(base) > 0, _rewritten(text, spans, blanks, lambda s, at: F.lit(True))).otherwise(text)
 
 
 def _words(text: Column, base: Column) -> Column:
@@ -236,7 +287,9 @@ def find(docs: DataFrame, *, puts: bool = True, id_col: str = "doc_id", text_col
     )
     named = F.transform(spans, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), w["said"]["disclosure"].alias("disclosure"), w["said"]["put"].alias("put")))
     found = F.when(F.col("_pii_held").isNotNull(), named).otherwise(none)
-    return rows.join(_small(held), ["_pii_key", "_pii_salt"], "left").select(*rows.columns, found.alias("_pii_terms"))
+    entries = held.agg(F.sum(F.size("_pii_held")).alias("n")).first()["n"] or 0
+    few = F.broadcast(held) if entries <= BROADCAST_ROWS else held
+    return rows.join(few, ["_pii_key", "_pii_salt"], "left").select(*rows.columns, found.alias("_pii_terms"))
 
 
 def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
@@ -247,15 +300,8 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         F.coalesce("_pii_terms", F.array().cast(_TERMS)),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["disclosure"] >= remove, "").otherwise(s["put"]).alias("put")),
     )
-    text = F.col("_pii_text")
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, span: Column) -> Column:
-        skipped = F.struct(F.greatest(acc["at"], span["end"]).alias("at"), acc["out"].alias("out"))
-        put = F.struct(span["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, span["start"] - acc["at"]), span["put"]).alias("out"))
-        return F.when(span["start"] < acc["at"], skipped).otherwise(put)
-
-    clean = F.aggregate("_pii_spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    # a span that begins inside an earlier one goes with it
+    clean = _rewritten(F.col("_pii_text"), F.col("_pii_spans"), lambda s, at: s["put"], lambda s, at: s["start"] >= at)
     spanned = found.select("_pii_row", "_pii_text", F.array_sort(F.concat(base, words)).alias("_pii_spans"))
     out = F.when(F.size("_pii_spans") > 0, clean).otherwise(F.col(f"_pii_row.`{text_col}`"))
     return spanned.select(*[out.alias(c) if c == text_col else F.col(f"_pii_row.`{c}`").alias(c) for c in docs.columns])

@@ -30,6 +30,8 @@ from ._spark import cut, fresh
 SHARDS = 40
 BITS = 4
 BUCKETS = 256
+#: Slots of a shard that one task writes.
+ROWS_PER_TASK = 200_000
 
 
 def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
@@ -113,9 +115,14 @@ def shards(docs: DataFrame, *, count: int = SHARDS, bits: int = BITS, buckets: i
     )
 
 
-def write(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc_id") -> None:
-    """Writes the documents as one folder per shard, in curve order inside, so that file statistics prune by every dimension."""
+def write(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc_id", rows_per_task: int = ROWS_PER_TASK) -> None:
+    """Writes the documents as one folder per shard, in curve order inside, so that file statistics prune by every dimension.
+
+    A shard's slots are dealt to tasks in runs of ``rows_per_task``, so a shard may be of any size; a
+    file holds runs of the curve.
+    """
     key, shard, slot = (fresh(docs, name) for name in ("placed_id", "shard", "slot"))
     where = placed.select(F.col("doc_id").alias(key), F.col("shard").alias(shard), F.col("slot").alias(slot))
     joined = docs.join(where, F.col(id_col).eqNullSafe(F.col(key))).drop(key)
-    joined.repartition(shard).sortWithinPartitions(shard, slot).drop(slot).write.partitionBy(shard).parquet(path)
+    dealt = joined.repartition(F.col(shard), F.floor(F.col(slot) / rows_per_task))
+    dealt.sortWithinPartitions(shard, slot).drop(slot).write.partitionBy(shard).parquet(path)

@@ -33,8 +33,8 @@ from ._spark import text_of
 
 WINDOW, STRIDE = 32, 16
 SAMPLE = 1_500
-#: Characters up to which a labelled text is taken into the sample: with SAMPLE it bounds what reaches the driver.
-LONGEST = 40_000
+#: Characters of a labelled text that are learned from: with SAMPLE it bounds what reaches the driver. Of longer texts they are drawn in PARTS from end to end.
+LONGEST, PARTS = 40_000, 16
 UNITS, VECTOR = 8, 6
 MIN_DOCS = 3
 EPOCHS, BATCH, RATE = 24, 256, 0.02
@@ -288,12 +288,18 @@ class Scorer:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, longest: int = LONGEST) -> Network | float:
-    """A network for at most ``sample`` labelled documents of each label and ``longest`` characters, or the share of toxic labels where there is only one."""
+    """A network for at most ``sample`` labelled documents of each label, or the share of toxic labels where there is only one.
+
+    Of a text of more than ``longest`` characters so many are learned from, in parts spread evenly over the whole of it.
+    """
     known = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
     order = [F.xxhash64("_id"), F.col("_id")]
     picked = known.filter("_y = 1").orderBy(*order).limit(sample).unionByName(known.filter("_y = 0").orderBy(*order).limit(sample))
     # at most 2 * sample rows of an id and a label
-    rows = docs.select(F.col(id_col).alias("_doc"), text_of(text_col).alias("_text")).filter(F.length("_text") <= longest).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
+    size, part = F.length("_text"), longest // PARTS
+    drawn = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.substr(F.col("_text"), F.floor(i * (size - part) / (PARTS - 1)).cast("int") + 1, F.lit(part))), " ")
+    rows = docs.select(F.col(id_col).alias("_doc"), text_of(text_col).alias("_text")).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
+    rows = rows.withColumn("_text", F.when(size <= longest, F.col("_text")).otherwise(drawn))
     held = sorted((r["_doc"], r["_text"], r["_y"]) for r in rows.select("_doc", "_text", "_y").collect())
     net = train([t for _, t, _ in held], [y for _, _, y in held])
     return net if net is not None else (sum(y for _, _, y in held) / len(held) if held else 0.0)
