@@ -6,13 +6,15 @@ both languages, and vocabularies are given as parameters. Every query reads its
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lineage, schemas
+from . import lineage, schemas, vocabulary
 from .functions import dates, freedates, keys, names, similarity, text
 from .operators import classify, cluster, decisions, enrich, export, extract, feeds, popup, qa, resolve, scan, schedule, spans, state
 from .plans import daily, notices, official
@@ -243,6 +245,22 @@ def event_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("seq", F.array_join(names.cities(F.col("said")), "|").alias("cities"), F.array_join(names.venues(F.col("said")), "|").alias("venues"))
 
 
+_CITIES = tuple(sorted(vocabulary.CITIES))
+
+
+@query(
+    f"""WITH c AS (SELECT [{", ".join(repr(c) for c in _CITIES)}] AS names)
+SELECT o_orderkey AS seq, names[CAST(o_orderkey % {len(_CITIES)} AS INT) + 1] || CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % {len(_CITIES)} < {len(_CITIES) - 1} THEN '|' || names[{len(_CITIES)}] ELSE '' END AS cities FROM orders, c"""
+)
+def event_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cities of the default list by all of their names, alone and two at a time, sorted."""
+    key, n = F.col("o_orderkey"), len(_CITIES)
+    said = [F.element_at(F.array(*[F.lit(a.strip()) for a in vocabulary.CITIES[c] if a.strip() != "la"]), (key % len([a for a in vocabulary.CITIES[c] if a.strip() != "la"]) + 1).cast("int")) for c in _CITIES]
+    one = F.element_at(F.array(*[F.concat(F.lit("Live in "), F.initcap(s), F.lit(" soon")) for s in said]), (key % n + 1).cast("int"))
+    both = F.concat(one, F.when((key % 3 == 0) & (key % n < n - 1), F.concat(F.lit(", and "), said[-1])).otherwise(""))
+    return table(spark, sf_dir, "orders").select(key.alias("seq"), F.array_join(names.cities(both), "|").alias("cities"))
+
+
 @query(
     """WITH s AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderkey % 60 AS INT) - 5 AS n FROM orders)
 SELECT o_orderkey, CAST(CASE WHEN n BETWEEN 0 AND 45 THEN n + 1 ELSE 0 END AS INT) AS days, CASE WHEN n BETWEEN 0 AND 45 THEN CAST(CAST(a + n AS DATE) AS VARCHAR) END AS last,
@@ -309,6 +327,62 @@ def date_parse_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("seq", F.col("event_start_date").cast("string").alias("start"), F.col("event_end_date").cast("string").alias("end"), F.col("date_confidence").alias("confidence"), F.col("date_source").alias("source"))
 
 
+# Titles by kind, the activity that the default rules give them, and the reason for which the default chain leaves them out.
+_TITLES = (
+    ("새 소식", "OTHER", 0), ("콘서트 개최 취소", "CONCERT", 1), ("팬미팅 성료", "FANMEETING", 2), ("컴백 실적 발표", "COMEBACK", 3), ("컴백 투표 시작", "COMEBACK", 4), ("컴백 앞두고 미소", "COMEBACK", 5),
+    ("새 앨범 티저", "COMEBACK", 6), ("월드투어 무대", "TOUR_ANNOUNCEMENT", 7), ("팬미팅 무대", "FANMEETING", 8), ("미니 앨범 무대", "COMEBACK", 9), ("콘서트 개최 확정", "CONCERT", None), ("팬미팅 성료 앙코르", "FANMEETING", None),
+)
+
+
+@query(
+    f"""SELECT o_orderkey AS seq, {" ".join(["CASE CAST(o_orderkey % 12 AS INT)", *[f"WHEN {i} THEN '{a}'" for i, (_, a, _) in enumerate(_TITLES)]])} END AS activity_type,
+{" ".join(["CASE CAST(o_orderkey % 12 AS INT)", *[f"WHEN {i} THEN '{vocabulary.REJECTIONS[r].reason if r is not None else ''}'" for i, (_, _, r) in enumerate(_TITLES)]])} END AS reason FROM orders"""
+)
+def rejection_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ten reasons of the default chain, and announcements that lift one."""
+    title = F.concat(F.lit("가수 "), F.element_at(F.array(*[F.lit(t) for t, _, _ in _TITLES]), (F.col("o_orderkey") % 12 + 1).cast("int")), F.lit(" no "), F.col("o_orderkey").cast("string"))
+    rated = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("seq"), title.alias("title")).withColumn("activity_type", classify.classified(F.col("title"), vocabulary.RULES)["activity"])
+    return rated.select("seq", "activity_type", classify.rejection(F.col("title"), F.col("activity_type"), vocabulary.REJECTIONS, vocabulary.ANNOUNCES).alias("reason"))
+
+
+# Title and body by kind, with the days that they name; d: the day of the order, p: the day of publication, 20 days before.
+_DATE_FORMS = (
+    ("month(d) || '월 ' || day(d) || '일~' || month(d + 2) || '월 ' || day(d + 2) || '일'", "''", "d", "d + 2"),
+    ("'2' || substr(CAST(year(d) + 10 AS STRING), 2) || '.' || month(d) || '.' || day(d)", "''", "make_date(year(d) + 10, month(d), day(d))", "make_date(year(d) + 10, month(d), day(d))"),
+    ("month(p) || '월 3~5일'", "''", "make_date(year(p), month(p), 3)", "make_date(year(p), month(p), 5)"),
+    ("'오는 28일부터 내달 2일까지'", "''", "make_date(year(p), month(p), 28)", "make_date(year(n), month(n), 2)"),
+    ("'내달 ' || 5 || '일'", "''", "make_date(year(n), month(n), 5)", "make_date(year(n), month(n), 5)"),
+    ("'12~14일'", "''", "make_date(year(p), month(p), 12)", "make_date(year(p), month(p), 14)"),
+    ("'오는 25일'", "''", "make_date(year(p), month(p), 25)", "make_date(year(p), month(p), 25)"),
+    ("'26일'", "''", "make_date(year(p), month(p), 26)", "make_date(year(p), month(p), 26)"),
+    ("''", "'콘서트는 ' || month(d) || '월 ' || day(d) || '일 개최된다'", "d", "d"),
+    ("'지난 26일'", "''", "NULL", "NULL"),
+    ("month(p) || '월 3일, ' || month(p) || '월 9일'", "''", "NULL", "NULL"),
+    ("month(p) || '월 31일'", "''", "CASE WHEN day(last_day(p)) = 31 THEN make_date(year(p), month(p), 31) END", "CASE WHEN day(last_day(p)) = 31 THEN make_date(year(p), month(p), 31) END"),
+)
+
+
+def _forms_sql(part: int) -> str:
+    return "CASE CAST(k % 12 AS INT) " + " ".join(f"WHEN {i} THEN {form[part]}" for i, form in enumerate(_DATE_FORMS)) + " END"
+
+
+@query(
+    f"""WITH o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, CAST(o_orderdate AS DATE) - 20 AS p FROM orders), o2 AS (SELECT *, CAST(date_trunc('month', p) + INTERVAL 1 MONTH AS DATE) AS n FROM o)
+SELECT k AS seq, CAST(CAST({_forms_sql(2)} AS DATE) AS VARCHAR) AS start, CAST(CAST({_forms_sql(3)} AS DATE) AS VARCHAR) AS "end", k % 12 = 10 AS conflict FROM o2"""
+)
+def date_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days in all nine forms of the default patterns, in titles and bodies, past ones, conflicting ones and ones that do not exist."""
+    d = F.to_date("o_orderdate")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), d.alias("d"), F.date_sub(d, 20).alias("p"))
+    said = lambda part: F.expr(_forms_sql(part))
+    made = rows.select(
+        F.col("k").alias("seq"), F.lit("X").alias("artist"), F.lit("X").alias("matched_artist_alias"), F.lit("CONCERT").alias("activity_type"),
+        F.concat(F.lit("X 콘서트 개최 "), said(0)).alias("title"), said(1).alias("body"), F.col("p").cast("timestamp").alias("published_at"), F.col("p").cast("timestamp").alias("fetched_at"),
+    )
+    found = extract.event_fields(made)
+    return found.select("seq", F.col("event_start_date").cast("string").alias("start"), F.col("event_end_date").cast("string").alias("end"), F.col("date_conflict").alias("conflict"))
+
+
 @query(
     """WITH v AS (SELECT l_orderkey, CAST(l_shipdate AS DATE) AS d, count(*) AS votes, max(CAST(l_quantity AS INT)) AS q, min(l_linenumber) AS f FROM lineitem GROUP BY ALL),
 r AS (SELECT *, row_number() OVER w AS r, lead(votes) OVER w AS nxt FROM v WINDOW w AS (PARTITION BY l_orderkey ORDER BY votes DESC, q DESC, f, d))
@@ -561,21 +635,60 @@ def reject_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.without_rejected(rows, _log(spark, sf_dir))
 
 
-_DECISIONS = """{"schema": "calendar-review-v1", "decisions": [
- {"action": "UPDATE", "eventKey": "1", "eventName": "renamed", "activityType": "POPUP", "eventEndDate": ""}, {"action": "DELETE", "eventKey": "2"},
- {"action": "CREATE", "artistId": "a", "artist": "A", "activityType": "CONCERT", "eventName": "new", "eventStartDate": "2026-01-30", "eventEndDate": "2026-02-01"}]}"""
+# The event that a decision of the document makes, and which the next one changes.
+_CREATED = hashlib.sha256(b"a|CONCERT|new|2026-01-30|").hexdigest()[:24]
+
+
+def _document(approved: str, rejected: str) -> str:
+    """A reply whose last fenced block has all five actions; one of them builds on another."""
+    items = [
+        {"action": "UPDATE", "eventKey": "1", "eventName": "renamed", "activityType": "POPUP", "eventEndDate": ""},
+        {"action": "delete", "eventKey": "2"},
+        {"action": "CREATE", "artistId": "a", "artist": "A", "activityType": "CONCERT", "eventName": "new", "eventStartDate": "2026-01-30", "eventEndDate": "2026-02-01"},
+        {"action": "APPROVE", "candidateId": approved, "artist": "Approved"},
+        {"action": "UPDATE", "eventKey": _CREATED, "eventName": "newer", "eventStartDate": "2026-01-31"},
+        {"action": "REJECT", "candidateId": rejected, "note": "no"},
+    ]
+    return "As follows.\n```json\n{}\n```\nand\n```json\n" + json.dumps({"schema": "calendar-review-v1", "decisions": items}) + "\n```\n"
+
+
+def _reviewed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """History, queue and log after a document about the first two orders of the history and the first two of the queue."""
+    waiting = _named(spark, sf_dir).filter("published_at < TIMESTAMP '1996-01-01'").orderBy("seq").limit(2).select("candidate_id").collect()
+    document = decisions.read_document(spark, _document(*[r["candidate_id"] for r in waiting]), "calendar-review-v1")
+    return decisions.apply(document, _stored(spark, sf_dir), _queue(spark, sf_dir), "T2")
+
+
+_WAITING_SQL = f"""{_KEYS_SQL.replace("lower(regexp_replace(o_orderpriority,", "lower(regexp_replace(o_orderpriority || o_orderkey,")}, w AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS nth FROM keyed WHERE o_orderdate < TIMESTAMP '1996-01-01')"""
 
 
 @query(
-    """WITH b AS (SELECT CAST(o_orderkey AS VARCHAR) AS event_key, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS event_name, CASE WHEN o_orderkey % 3 > 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) ELSE '' END AS event_start_date,
+    f"""WITH {_WAITING_SQL}, b AS (SELECT CAST(o_orderkey AS VARCHAR) AS event_key, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS event_name, CASE WHEN o_orderkey % 3 > 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) ELSE '' END AS event_start_date,
  CASE WHEN o_orderkey % 3 > 0 THEN '' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '|' || CAST(CAST(o_orderdate AS DATE) + 9 AS VARCHAR) END AS event_dates FROM orders WHERE o_orderkey NOT IN (1, 2))
 SELECT * FROM b UNION ALL SELECT substr(sha256(CAST(o_custkey AS VARCHAR) || '|POPUP|renamed|' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '|'), 1, 24), 'renamed', CAST(CAST(o_orderdate AS DATE) AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders WHERE o_orderkey = 1
-UNION ALL SELECT substr(sha256('a|CONCERT|new|2026-01-30|'), 1, 24), 'new', '2026-01-30', '2026-01-30|2026-01-31|2026-02-01'"""
+UNION ALL SELECT substr(sha256('a|CONCERT|newer|2026-01-31|'), 1, 24), 'newer', '2026-01-31', '2026-01-31|2026-02-01'
+UNION ALL SELECT substr(sha256(o_custkey || '|CONCERT|' || lower(regexp_replace(o_orderpriority || o_orderkey, '[^A-Za-z0-9]+', '', 'g')) || '|' || d || '|' || o_orderstatus), 1, 24), o_orderpriority || ' ' || o_orderkey, d, d FROM w WHERE nth = 1"""
 )
 def decision_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An update, a deletion and a new event on a history."""
-    made, _, _ = decisions.apply(decisions.read_document(spark, _DECISIONS), _stored(spark, sf_dir), _queue(spark, sf_dir), "T2")
-    return made.select("event_key", "event_name", "event_start_date", "event_dates")
+    """The history after decisions of all five kinds, of which one builds on another."""
+    return _reviewed(spark, sf_dir)[0].select("event_key", "event_name", "event_start_date", "event_dates")
+
+
+@query(f"WITH {_WAITING_SQL} SELECT candidate_id, event_key FROM w WHERE nth > 2")
+def decision_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue after the same decisions."""
+    return _reviewed(spark, sf_dir)[1].select("candidate_id", "event_key")
+
+
+@query(
+    f"""WITH {_WAITING_SQL}, h AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS name FROM orders WHERE o_orderkey IN (1, 2))
+SELECT 'UPDATE' AS action, '' AS candidate_id, '1' AS event_key, 'renamed' AS event_name, '' AS note UNION ALL SELECT 'DELETE', '', '2', name, '' FROM h WHERE k = 2 UNION ALL SELECT 'CREATE', '', '', 'new', ''
+UNION ALL SELECT 'APPROVE', candidate_id, event_key, o_orderpriority || ' ' || o_orderkey, '' FROM w WHERE nth = 1 UNION ALL SELECT 'UPDATE', '', '{_CREATED}', 'newer', ''
+UNION ALL SELECT 'REJECT', candidate_id, event_key, o_orderpriority || ' ' || o_orderkey, 'no' FROM w WHERE nth = 2"""
+)
+def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of the same decisions."""
+    return _reviewed(spark, sf_dir)[2].select("action", "candidate_id", "event_key", "event_name", "note")
 
 
 @query(
