@@ -91,6 +91,13 @@ def test_selectors(spark):
     assert made == {"1": ("2026. 8. 1. First piece", day), "2": ("All of it", dt.date(2026, 8, 3))}
 
 
+def test_days_of_pages_as_people_write_them(spark):
+    pages = spark.createDataFrame([(1, "<article>x</article><time>March 5th, 2026</time>"), (2, "<main>y</main><p class=date>3일 전</p>"), (3, "<main>z</main><time>soon</time>")], "page_id long, html string")
+    read = lambda **s: {r["page_id"]: r["day"] for r in selectors.details(pages, **s).collect()}
+    assert read() == {1: None, 2: None, 3: None}
+    assert read(now="2026-03-10 09:00:00") == {1: dt.date(2026, 3, 5), 2: dt.date(2026, 3, 7), 3: None}
+
+
 def test_free_dates(spark):
     base = "2026-03-10 09:30:00"
     cases = {

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.freedates import free_date
 from ..functions.text import canonical_url, filled
 from ..operators.scan import first_per
 
@@ -107,11 +108,12 @@ def parsed(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, kinds)
 
 
-def day_of(said: Column) -> Column:
-    """The first day of this century that a text names as year, month and day; free-form dates are not guessed."""
+def day_of(said: Column, now: str | None = None) -> Column:
+    """The first day of this century that a text names as year, month and day; with now (a time stamp), else the day that the text as a whole is, as people write days."""
     found = F.regexp_extract_all(filled(said), F.lit(DAY), F.lit(0))
     parts = [F.regexp_extract(F.try_element_at(found, F.lit(1)), DAY, g) for g in (1, 2, 3)]
-    return F.try_to_date(F.concat_ws("-", parts[0], F.lpad(parts[1], 2, "0"), F.lpad(parts[2], 2, "0")), "yyyy-MM-dd")
+    full = F.try_to_date(F.concat_ws("-", parts[0], F.lpad(parts[1], 2, "0"), F.lpad(parts[2], 2, "0")), "yyyy-MM-dd")
+    return full if now is None else F.coalesce(full, free_date(said, F.to_timestamp(F.lit(now))))
 
 
 def _joins(href: str) -> bool:

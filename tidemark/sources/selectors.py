@@ -141,12 +141,12 @@ def _address(base: str, href: str) -> str | None:
         return None
 
 
-def items(pages: DataFrame, *, selectors: tuple[str, ...] = ITEMS, link: str = LINK, least: int = LEAST_TITLE) -> DataFrame:
+def items(pages: DataFrame, *, selectors: tuple[str, ...] = ITEMS, link: str = LINK, least: int = LEAST_TITLE, now: str | None = None) -> DataFrame:
     """page_id, place, url, title, body, day: the first link of every selected node, selector by selector.
 
     The title is the link's text, else the node's, of ``least`` characters or more; the body is the
-    node's text and the day the first full date in it; each address stays once per page, where it
-    came first. pages: page_id, url, html.
+    node's text and the day the first full date in it (or, seen from now, the day that it is); each
+    address stays once per page, where it came first. pages: page_id, url, html.
     """
     chosen = [Selector(s) for s in selectors]  # a wrong one fails here
 
@@ -172,7 +172,7 @@ def items(pages: DataFrame, *, selectors: tuple[str, ...] = ITEMS, link: str = L
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["page_id", "place", "url", "title", "body"])
 
     made = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "page_id long, place int, url string, title string, body string")
-    return made.withColumn("day", day_of(F.col("body")))
+    return made.withColumn("day", day_of(F.col("body"), now))
 
 
 def _inside(node: Node, outer: Node) -> bool:
@@ -184,8 +184,8 @@ def _inside(node: Node, outer: Node) -> bool:
     return False
 
 
-def details(pages: DataFrame, *, body: str = BODY, time: str = TIME) -> DataFrame:
-    """page_id, body (the text of the first node that ``body`` selects, null without one), day (the first full date in that of ``time``). pages: page_id, html."""
+def details(pages: DataFrame, *, body: str = BODY, time: str = TIME, now: str | None = None) -> DataFrame:
+    """page_id, body (the text of the first node that ``body`` selects, null without one), day (the first full date in that of ``time``, or the day that it is). pages: page_id, html."""
     wanted = Selector(body), Selector(time)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,15 +199,15 @@ def details(pages: DataFrame, *, body: str = BODY, time: str = TIME) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(s, pa.string()) for s in said]], names=["page_id", "body", "time"])
 
     made = pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInArrow(run, "page_id long, body string, time string")
-    return made.select("page_id", "body", day_of(F.col("time")).alias("day"))
+    return made.select("page_id", "body", day_of(F.col("time"), now).alias("day"))
 
 
-def followed(listed: DataFrame, fetched: DataFrame, *, body: str = BODY, time: str = TIME) -> DataFrame:
+def followed(listed: DataFrame, fetched: DataFrame, *, body: str = BODY, time: str = TIME, now: str | None = None) -> DataFrame:
     """Listed items with the body of their own page, and its day where the list names none; an item whose page is missing or says nothing keeps what the list says.
 
     fetched: url, html of the items' pages, each address once (as of ``fetch``).
     """
     pages = listed.select("url").distinct().join(fetched.select("url", "html"), "url").select(F.xxhash64("url").alias("page_id"), "url", "html")
-    read = details(pages, body=body, time=time).withColumnsRenamed({"body": "_body", "day": "_day"})
+    read = details(pages, body=body, time=time, now=now).withColumnsRenamed({"body": "_body", "day": "_day"})
     known = pages.select("page_id", "url").join(read, "page_id").drop("page_id")
     return listed.join(known, "url", "left").select("page_id", "place", "url", "title", F.coalesce(F.nullif("_body", F.lit("")), "body").alias("body"), F.coalesce("day", "_day").alias("day"))
