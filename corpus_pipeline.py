@@ -17,7 +17,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, hyperminhash, packing, pii, quality
+from tidemark.llm import exact_dedup, packing, pii, quality, simhash_wide
 from tidemark.llm._spark import remove, scratch, shared_dir, table
 
 
@@ -34,10 +34,10 @@ def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of texts linked by similarity (five words, Jaccard >= 0.8) the document with the smallest doc_id stays.
 
-    A SimHash distance does not tell that similarity, so candidates meet by bands of compressed
-    registers and are compared by whole sets; groups are formed and reduced as those of fingerprints.
+    Candidates are found by fingerprints: shards named by their clearest votes, a BK-tree searched in
+    each; they are compared by whole sets, as a SimHash distance alone does not tell that similarity.
     """
-    return hyperminhash.drop_near_duplicates(docs, least=(4, 5))
+    return simhash_wide.drop_near_duplicates(docs, least=(4, 5))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -98,13 +98,17 @@ class Tree:
             at = below
 
     def near(self, value: int, radius: int) -> Iterator[int]:
-        """Values at most radius bits away; only edges whose distance can lead to one are followed."""
+        """Values at most radius bits away."""
+        return (self.values[at] for at in self.places(value, radius))
+
+    def places(self, value: int, radius: int) -> Iterator[int]:
+        """Which values, in the order they were added, are at most radius bits away; only edges whose distance can lead to one are followed."""
         open_ = [0] if self.values else []
         while open_:
             at = open_.pop()
             far = (self.values[at] ^ value).bit_count()
             if far <= radius:
-                yield self.values[at]
+                yield at
             below = self.children[at]
             if len(below) <= 2 * radius + 1:
                 open_ += [n for d, n in below.items() if far - radius <= d <= far + radius]
