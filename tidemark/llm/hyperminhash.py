@@ -147,8 +147,11 @@ def _by_token(rows: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def met_in(rows: DataFrame) -> DataFrame:
-    """token, fp, size of the rows (token, fp, size; each once) whose token several nodes have."""
-    shared = rows.groupBy("token").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low < high").select("token")
+    """token, fp, size of the rows (token, fp, size; each once) whose token several nodes have.
+
+    As a node has a token once, counts tell that, and they take less room on their way than nodes.
+    """
+    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
     return _by_token(rows, shared).select("token", "fp", "size")
 
 
@@ -261,8 +264,9 @@ def rest(met: DataFrame, roots: DataFrame, docs: DataFrame, made: DataFrame, *,
 def links(docs: DataFrame, made: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST, crowd: int = CROWD, block: int = BLOCK, held: int = HELD) -> DataFrame:
     """a, b: links between nodes that connect all similar ones."""
     settings = {"id_col": id_col, "text_col": text_col, "shingle": shingle}
-    nodes = made.groupBy("fp").agg(F.first("size").alias("size"), F.first("bands").alias("bands"))
-    met = cut(met_in(cut(nodes.select(F.explode(F.filter("bands", lambda b: b != 0)).alias("token"), "fp", "size"))))
+    # written before the bands are dealt out: a row per band would take the room of its node each time
+    nodes = cut(made.groupBy("fp").agg(F.first("size").alias("size"), F.first("bands").alias("bands")))
+    met = cut(met_in(nodes.select(F.explode(F.filter("bands", lambda b: b != 0)).alias("token"), "fp", "size")))
     found = cut(similar.confirm(cut(estimated(cut(stars(met, least=least)), made, least=least)), docs, made, least=least, **settings))
     roots = cut(simhash.connected(found))
     again, sure = rest(met, roots, docs, made, least=least, crowd=crowd, block=block, held=held, **settings)
