@@ -37,6 +37,50 @@ def test_crowds(spark, block, held):
     assert _found(docs, crowd=1, block=block, held=held) == _expected(rows)
 
 
+@pytest.mark.parametrize(("crowd", "held"), [(400, simhash_wide.HELD), (1, 0)])
+def test_what_is_written_of_a_group_grows_with_its_texts(spark, monkeypatch, crowd, held):
+    """Edits of one text that are all within the radius, hardly any at the limit; 19,900 pairs."""
+    written, cut = [], simhash_wide.cut
+
+    def watched(df):
+        out = cut(df)
+        if {"a", "b"} <= set(out.columns):
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash_wide, "cut", watched)
+    monkeypatch.setattr(similar, "cut", watched)
+    rng = random.Random(4)
+    rows = []
+    for i in range(200):
+        own = [f"w{i}" for i in range(120)]
+        for at in rng.sample(range(120), 3):
+            own[at] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000, rows[7][1] + " end"), (1001, rows[8][1] + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert _found(docs, crowd=crowd, held=held) == _expected(rows)
+    assert written and max(written) <= 16 * len(rows)
+
+
+def test_sets_of_any_size_meet_in_blocks(spark, monkeypatch):
+    """Large sets whose links are all left to the blocks, none to a list of pairs."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(24):
+        own = list(base)
+        for at in rng.sample(range(3000), rng.choice([20, 75, 90])):
+            own[at] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    made = simhash_wide.cut(simhash_wide.sketches(docs))
+    nobody = made.filter("false").select(made["fp"].alias("a"), made["fp"].alias("b"))
+    monkeypatch.setattr(similar, "compare", lambda *_, **__: nobody)  # no link is found early
+    found = simhash.labelled(made.select("doc_id", "digest", "fp"), simhash_wide.links(docs, made, block=8, crowd=5))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == _expected(rows)
+
+
 def test_stage_goes_by_fingerprints_and_trees(spark, monkeypatch):
     def other(*_, **__):
         raise AssertionError("candidates of another method")

@@ -13,17 +13,21 @@ searched along the edges within the radius, and forests are merged by alternatin
 * Radius. Of two texts at 0.8 the fingerprints differ in 19 bits on average (spread 4; sets of five
   shingles 24, spread 4.4), those of unlike texts in 64 (spread 5.7); ``RADIUS`` lies between.
 
-What a tree finds is compared by whole sets, save pairs that counts by ranges of hashes rule out
-(exactly), so no link is reported that is not one. The forest of
-each tree is compared first; of what else it found only pairs that are not connected by then.
-
-A shard of more than ``CROWD`` texts is spread over tasks: every text first meets its part's least
-one, and these each other's least; then the texts of shards that are not connected meet block against
-block, a tree of one block searched for the texts of the other. A pair is looked at in the first of
-its common shards alone, and compared there by whole sets (sets of up to ``HELD`` shingles travel with
-their texts); what leaves the task is a forest of the links found. Pairs with a larger set leave it
-and are compared after that. A crowd of very many texts that are much alike, but never at the limit,
-costs the square of its fingerprints' blocks.
+No task reports the pairs that it meets, as a group of texts that are much alike has the square of
+its size of them:
+
+* First, in the first ``EARLY`` tables, each tree gives a forest of what it finds. These pairs are
+  compared by whole sets, save those that counts by ranges of hashes rule out (exactly).
+* Then, in all tables, trees are searched for pairs that are not connected by now. What leaves the
+  task is the texts that have such a pair. They meet again in the same shards with their counts, and
+  those that the counts do not rule out with whole sets of any size. A pair is looked at in the first
+  of its common shards alone; the result is a forest of the links found.
+
+So no link is reported that is not one, and what leaves a task grows with the texts and tables.
+In a shard of more than ``CROWD`` texts every text first meets its part's least one, and these each
+other's least; after that its texts meet block against block, in blocks of so many shingles that a
+task can hold two, a tree of one searched for the texts of the other. A crowd of very many texts that
+are much alike, but never at the limit, costs the square of its blocks, as each text is sent to all of them.
 
 Defined cases: null text counts as empty; texts without a word are equal; a text of fewer words than a
 shingle is one shingle; a null doc_id takes part in links and loses against any other; rows that repeat
@@ -33,7 +37,7 @@ further columns are passed through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -52,10 +56,12 @@ VOTES, BITS = 256, 128
 RADIUS = 46
 #: Tables of shards, and turns whose clearest places name a shard.
 TABLES, KEYS = 96, 2
+#: Tables whose forests are compared first.
+EARLY = 16
 #: Texts of a shard up to which it is one tree, and texts of a larger one that make a block.
 CROWD, BLOCK = 64, 512
-#: Shingles of a set that travels with its text to the blocks of crowds (8 bytes each).
-HELD = 256
+#: Shingles up to which a set weighs as one text in its block, a larger one as several (8 bytes each).
+HELD = 1_024
 #: Shingles that vote, and texts whose votes are turned, at once.
 PART, TURNED = 4_096, 32
 
@@ -133,35 +139,26 @@ def _whole(low: np.ndarray, high: np.ndarray) -> list[int]:
     return [a | b << 64 for a, b in zip(low.view(np.uint64).tolist(), high.view(np.uint64).tolist())]
 
 
-def tree_pairs(rows: DataFrame, *, radius: int = RADIUS) -> DataFrame:
-    """a, b, tree: pairs of one shard within the radius, and whether some shard's forest holds the pair; a < b.
-
-    rows: token (the shard), fp, low, high; a shard is one task's.
-    """
+def _searched(rows: DataFrame, search: Callable[[int, dict[str, np.ndarray]], list[tuple]], schema: str) -> DataFrame:
+    """What search gives for each shard of several texts; rows: token (the shard) and more, a shard is one task's."""
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def solve(frame: pd.DataFrame, last: bool) -> tuple[dict, pd.DataFrame]:
+        def solve(frame: pd.DataFrame, last: bool) -> tuple[list[tuple], pd.DataFrame]:
             """Searches the shards that are whole; the last one may go on in the next frame."""
-            token, fp = frame["token"].to_numpy(), frame["fp"].to_numpy()
+            token = frame["token"].to_numpy()
             starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
             ends = np.r_[starts[1:], len(frame)]
             done = len(starts) if last else len(starts) - 1
             several = np.flatnonzero(ends[:done] - starts[:done] > 1)
-            low, high = frame["low"].to_numpy(), frame["high"].to_numpy()
-            found: dict[tuple[int, int], bool] = {}
+            columns = {c: frame[c].to_numpy() for c in frame.columns}
+            found = []
             for a, b in zip(starts[several].tolist(), ends[several].tolist()):
-                own, values, tree, forest = fp[a:b].tolist(), _whole(low[a:b], high[a:b]), simhash.Tree(), hyperminhash._Forest(list(range(b - a)))
-                for x, value in enumerate(values):
-                    for y in tree.places(value, radius):
-                        new = forest.top(x) != forest.top(y)
-                        forest.join(x, y)
-                        pair = (own[x], own[y]) if own[x] < own[y] else (own[y], own[x])
-                        found[pair] = found.get(pair, False) or new
-                    tree.add(value)
+                found += search(int(token[a]), {c: v[a:b] for c, v in columns.items()})
             return found, frame.iloc[starts[done] :] if not last else frame.iloc[:0]
 
-        def out(found: dict) -> pd.DataFrame:
-            return pd.DataFrame([(a, b, tree) for (a, b), tree in found.items()], columns=["a", "b", "tree"]).astype({"a": "int64", "b": "int64", "tree": bool})
+        def out(found: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(np.array(found, dtype=np.int64).reshape(-1, len(names)), columns=names)
 
         left = None
         for frame in frames:
@@ -172,84 +169,157 @@ def tree_pairs(rows: DataFrame, *, radius: int = RADIUS) -> DataFrame:
         if left is not None and len(left):
             yield out(solve(left, True)[0])
 
-    found = rows.repartition("token").sortWithinPartitions("token").mapInPandas(run, "a long, b long, tree boolean")
-    return found.groupBy("a", "b").agg(F.max("tree").alias("tree"))
+    return rows.repartition("token").sortWithinPartitions("token", "fp").mapInPandas(run, schema)
+
+
+def tree_links(rows: DataFrame, *, radius: int = RADIUS) -> DataFrame:
+    """a, b: a forest of the pairs of each shard within the radius; a < b. rows: token, fp, low, high."""
 
+    def search(_: int, shard: dict[str, np.ndarray]) -> list[tuple]:
+        fp, tree, forest, found = shard["fp"].tolist(), simhash.Tree(), hyperminhash._Forest(list(range(len(shard["fp"])))), []
+        for x, value in enumerate(_whole(shard["low"], shard["high"])):
+            for y in tree.places(value, radius):
+                if forest.top(x) != forest.top(y):
+                    forest.join(x, y)
+                    found.append((min(fp[x], fp[y]), max(fp[x], fp[y])))
+            tree.add(value)
+        return found
 
-def block_pairs(rows: DataFrame, *, least: tuple[int, int] = LEAST, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """a, b, sure: a forest of the links, and pairs within the radius that are still to be compared, of unconnected nodes of each shard, found block against block.
+    return _searched(rows, search, "a long, b long").distinct()
 
-    rows: token, n (its nodes), fp, root, low, high, shards, held (the whole set, null for large ones).
+
+def open_texts(rows: DataFrame, *, radius: int = RADIUS) -> DataFrame:
+    """fp, token, n: the texts of each shard that have another one within the radius which they are not connected with; n: what all these weigh.
+
+    rows: token, fp, low, high, root, weight.
     """
-    p, q = least
-    count = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("fp", "token"), count).cast("int").alias("own")
-    carried = ["fp", "root", "low", "high", "shards", "held"]
-    dealt = rows.select("token", *carried, own, count.alias("count"))
-    dealt = dealt.select("token", *carried, "own", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("other"))
-    dealt = dealt.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), *carried)
+
+    def search(token: int, shard: dict[str, np.ndarray]) -> list[tuple]:
+        root = shard["root"]
+        if (root == root[0]).all():
+            return []
+        tree, open_ = simhash.Tree(), set()
+        for x, value in enumerate(_whole(shard["low"], shard["high"])):
+            for y in tree.places(value, radius):
+                if root[x] != root[y]:
+                    open_ |= {x, y}
+            tree.add(value)
+        n = sum(int(shard["weight"][x]) for x in open_)
+        return [(int(shard["fp"][x]), token, n) for x in sorted(open_)]
+
+    return _searched(rows, search, "fp long, token long, n long")
+
+
+def _in_blocks(rows: DataFrame, carried: str, solve: Callable[[pd.DataFrame, Iterator[tuple[int, np.ndarray]]], pd.DataFrame], schema: str, *, radius: int, block: int) -> DataFrame:
+    """What solve makes of the rows that meet in one task and of their pairs within the radius, each pair in the first shard that its texts share.
+
+    rows: fp, root, low, high, shards, carried, met (token and n of each shard where the text is to meet
+    others, n what these weigh). Shards that weigh more than block are met block against block.
+    """
+    kept = ["fp", "root", "low", "high", "shards", carried]
+    dealt = rows.select(*kept, F.explode("met").alias("met")).select(*kept, "met.token", "met.n", F.ceil(F.col("met.n") / block).cast("int").alias("count"))
+    own = F.pmod(F.xxhash64("fp", "token"), F.col("count")).cast("int").alias("own")
+    dealt = dealt.select("token", "n", *kept, own, F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("other"))
+    dealt = dealt.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), "n", *kept)
     keys = ["token", "i", "j"]
 
+    def pairs(frame: pd.DataFrame, token: int, alone: bool) -> Iterator[tuple[int, np.ndarray]]:
+        """A row and the rows that it is to be compared with."""
+        met, second = np.stack(frame["shards"].tolist()), frame["second"].tolist()
+        values, tree, members = _whole(frame["low"].to_numpy(), frame["high"].to_numpy()), simhash.Tree(), []
+        # the first block is the tree's; of one block alone every text is searched for among those before it
+        for x in sorted(range(len(values)), key=second.__getitem__):
+            if alone or second[x]:
+                near = np.array([members[at] for at in tree.places(values[x], radius)], dtype=np.int64)
+                if len(near):
+                    yield x, near[met[x][(met[near] == met[x]).argmax(1)] == token]
+            if alone or not second[x]:
+                tree.add(values[x])
+                members.append(x)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for (token, i, j), frame in groups(frames, keys):
-            met = np.stack(frame["shards"].tolist())
-            fp, second = frame["fp"].tolist(), frame["second"].tolist()
-            sets = [np.frombuffer(h, dtype=np.int64) if isinstance(h, bytes) else None for h in frame["held"]]
-            values = _whole(frame["low"].to_numpy(), frame["high"].to_numpy())
-            forest, found, tree, members = hyperminhash._Forest(frame["root"].tolist()), [], simhash.Tree(), []
-            # the first block is the tree's; of one block alone every text is searched for among those before it
-            for x in sorted(range(len(values)), key=second.__getitem__):
-                for y in (members[at] for at in tree.places(values[x], radius)) if i == j or second[x] else ():
-                    # a pair is looked at in the first table in which its nodes share a shard, and nowhere else
-                    if forest.top(x) == forest.top(y) or met[x][(met[x] == met[y]).argmax()] != token:
-                        continue
-                    sure = sets[x] is not None and sets[y] is not None
-                    if sure:
-                        if (p + q) * len(np.intersect1d(sets[x], sets[y], assume_unique=True)) < p * (len(sets[x]) + len(sets[y])):
-                            continue
-                        forest.join(x, y)
-                    found.append((min(fp[x], fp[y]), max(fp[x], fp[y]), sure))
-                if i == j or not second[x]:
-                    tree.add(values[x])
-                    members.append(x)
-            yield pd.DataFrame(found, columns=["a", "b", "sure"]).astype({"a": "int64", "b": "int64", "sure": bool})
-
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long, sure boolean").distinct()
-
-
-def links(docs: DataFrame, made: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST, radius: int = RADIUS, crowd: int = CROWD, block: int = BLOCK, held: int = HELD) -> DataFrame:
+            if len(frame) > 1 and len(found := solve(frame, pairs(frame, token, i == j))):
+                yield found
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema).distinct()
+
+
+def possible_texts(rows: DataFrame, *, least: tuple[int, int] = LEAST, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """fp, token, n: the texts that have an unconnected one which their fine counts do not rule out. rows: as ``_in_blocks`` with fine."""
+
+    p, q = least
+
+    def solve(frame: pd.DataFrame, pairs: Iterator[tuple[int, np.ndarray]]) -> pd.DataFrame:
+        root, fine, found = frame["root"].to_numpy(), frame["fine"].tolist(), np.zeros(len(frame), dtype=bool)
+        raw = [np.frombuffer(f, dtype=np.uint8) for f in fine]
+        full = np.array([v.max() == similar.FINE_FULL for v in raw])
+        coarse = np.stack([v.reshape(similar.BINS, -1).sum(1, dtype=np.int64) for v in raw])
+        size = coarse.sum(1)
+        for x, ys in pairs:
+            ys = ys[(root[ys] != root[x]) & ~(found[ys] & found[x])]
+            shared = np.minimum(coarse[ys], coarse[x]).sum(1)
+            for y in ys[((p + q) * shared >= p * (size[ys] + size[x])) | full[ys] | full[x]].tolist():
+                if not (found[x] and found[y]) and similar.may_be_similar(fine[x], fine[y], least):
+                    found[[x, y]] = True
+        return frame.loc[found, ["fp", "token", "n"]].astype("int64")
+
+    return _in_blocks(rows, "fine", solve, "fp long, token long, n long", radius=radius, block=block)
+
+
+def whole_links(rows: DataFrame, *, least: tuple[int, int] = LEAST, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """a, b: a forest of the links of each block, by whole sets; a < b. rows: as ``_in_blocks`` with held (the set)."""
+    p, q = least
+
+    def solve(frame: pd.DataFrame, pairs: Iterator[tuple[int, np.ndarray]]) -> pd.DataFrame:
+        fp, sets, forest, found = frame["fp"].tolist(), [np.frombuffer(h, dtype=np.int64) for h in frame["held"]], hyperminhash._Forest(frame["root"].tolist()), []
+        for x, y in ((x, y) for x, ys in pairs for y in ys.tolist()):
+            n, m = len(sets[x]), len(sets[y])
+            if forest.top(x) == forest.top(y) or q * min(n, m) < p * max(n, m):
+                continue
+            if (p + q) * len(np.intersect1d(sets[x], sets[y], assume_unique=True)) >= p * (n + m):
+                forest.join(x, y)
+                found.append((min(fp[x], fp[y]), max(fp[x], fp[y])))
+        return pd.DataFrame(np.array(found, dtype=np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    return _in_blocks(rows, "held", solve, "a long, b long", radius=radius, block=block)
+
+
+def links(docs: DataFrame, made: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST, radius: int = RADIUS, crowd: int = CROWD, block: int = BLOCK, held: int = HELD, early: int = EARLY) -> DataFrame:
     """a, b: links between nodes that connect all similar ones. made: as ``sketches``, a written table."""
     settings = {"id_col": id_col, "text_col": text_col, "shingle": shingle}
-    nodes = cut(made.dropDuplicates(["fp"]).select("fp", "size", "low", "high", "shards"))
-    rows = nodes.select(F.explode("shards").alias("token"), "fp", "size", "low", "high")
-    crowded = cut(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd))
-    few, many = rows.drop("size"), None
-    if not crowded.isEmpty():
-        # salted, so that the texts of one crowded shard spread over several join tasks
-        salts = crowded.select("token", F.explode(F.sequence(F.lit(0), F.lit(hyperminhash.SALTS - 1))).alias("salt"))
-        few = few.withColumn("salt", hyperminhash._part()).join(salts, ["token", "salt"], "left_anti").drop("salt")
-        many = cut(hyperminhash._by_token(rows.select("token", "fp", "size"), crowded).select("token", "n", "fp", "size"))
-    pairs = cut(tree_pairs(few, radius=radius))
-    first = pairs.filter("tree").select("a", "b")
-    if many is not None:
-        first = cut(first.unionByName(hyperminhash.stars(many.drop("n"), least=least)).distinct())
-    found = cut(similar.compare(first, docs, made, least=least, **settings))
-    roots = cut(simhash.connected(found))
-    top = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")]
-    open_ = pairs.filter("NOT tree").join(top[0], "a", "left").join(top[1], "b", "left")
-    again = open_.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    if many is not None:
-        rooted = cut(many.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-        apart = cut(rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token"))
-        left = cut(hyperminhash._by_token(rooted, apart).select("token", "n", "fp", "size", "root"))
-        if not left.isEmpty():
-            wanted = cut(left.filter(F.col("size") <= held).select("fp").distinct())
-            whole = similar.sets(wanted, docs, made, **settings).dropDuplicates(["fp"])
-            known = cut(nodes.join(left.select("fp").distinct(), "fp", "left_semi").drop("size").join(whole, "fp", "left"))
-            met = cut(block_pairs(left.drop("size").join(known, "fp"), least=least, radius=radius, block=block))
-            found = found.unionByName(met.filter("sure").select("a", "b"))
-            again = again.unionByName(met.filter("NOT sure").select("a", "b")).distinct()
-    return found.unionByName(similar.compare(cut(again), docs, made, least=least, **settings))
+    weight = F.greatest(F.lit(1), F.ceil(F.col("size") / max(held, 1))).cast("int").alias("weight")
+    nodes = cut(made.dropDuplicates(["fp"]).select("fp", "size", "low", "high", "shards", weight))
+    crowded = cut(nodes.select(F.explode("shards").alias("token"), "weight").groupBy("token").agg(F.count(F.lit(1)).alias("texts"), F.sum("weight").alias("n")).filter(F.col("texts") > crowd).select("token", "n"))
+    # salted, so that the texts of one crowded shard spread over several join tasks
+    salts = crowded.select("token", F.explode(F.sequence(F.lit(0), F.lit(hyperminhash.SALTS - 1))).alias("salt"))
+    several = not crowded.isEmpty()
+
+    def few(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("salt", hyperminhash._part()).join(salts, ["token", "salt"], "left_anti").drop("salt") if several else rows
+
+    first, many = tree_links(few(nodes.select(F.explode(F.slice("shards", 1, early)).alias("token"), "fp", "low", "high")), radius=radius), None
+    if several:
+        many = cut(hyperminhash._by_token(nodes.select(F.explode("shards").alias("token"), "fp", "size"), crowded).select("token", "n", "fp", "size"))
+        first = first.unionByName(hyperminhash.stars(many.filter(F.col("token") < early * (2 * VOTES) ** KEYS).drop("n"), least=least)).distinct()
+    found = cut(similar.compare(cut(first), docs, made, least=least, **settings))
+    roots = cut(simhash.connected(found)).withColumnRenamed("node", "fp")
+    rooted = cut(nodes.drop("size").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    met = open_texts(few(rooted.select(F.explode("shards").alias("token"), "fp", "low", "high", "root", "weight")), radius=radius)
+    if several:
+        crowds = cut(many.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+        apart = cut(crowds.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token"))
+        met = met.unionByName(hyperminhash._by_token(crowds, apart).select("fp", F.col("token").cast("long"), "n"))
+
+    def gathered(met: DataFrame) -> DataFrame:
+        """A row per text, with all shards where it is to meet others (one per table at most)."""
+        return cut(met.groupBy("fp").agg(F.collect_list(F.struct("token", "n")).alias("met")))
+
+    met = gathered(met)
+    fine = made.select("fp", "fine").join(met, "fp", "left_semi").dropDuplicates(["fp"])
+    met = gathered(possible_texts(rooted.join(met, "fp").join(fine, "fp"), least=least, radius=radius, block=block))
+    whole = similar.sets(met.select("fp"), docs, made, **settings).dropDuplicates(["fp"])
+    return found.unionByName(whole_links(rooted.join(met, "fp").join(whole, "fp"), least=least, radius=radius, block=block))
 
 
 def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, **settings) -> DataFrame:
