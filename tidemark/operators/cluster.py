@@ -273,15 +273,13 @@ def roll_up(articles: DataFrame, clusters: DataFrame) -> DataFrame:
     titled = (F.col("date_source") == "TITLE").cast("int")
     quality = F.struct(rank.alias("a"), titled.alias("b"), F.col("score").alias("c"))
     better = F.struct(quality.alias("a"), F.col("publisher_score").alias("b"), F.coalesce("published_at", F.timestamp_seconds(F.lit(0))).alias("c"), (-F.col("seq")).alias("d"))
-    dated = F.struct(quality.alias("a"), (-F.col("cluster_position")).alias("b"))
     date_fields = ("event_dates", "event_start_date", "event_end_date", "event_is_range", "date_confidence", "date_evidence", "date_source")
     whole = F.struct(*[F.col(c) for c in articles.columns])
     usable = F.col("event_start_date").isNotNull() & ~F.col("date_conflict")
     urls = F.concat(F.array("url"), F.coalesce("related_urls", F.array().cast("array<string>")))
-    ordered = joined.withColumn("cluster_position", F.col("seq"))
-    grouped = ordered.groupBy("cluster", "cluster_rank").agg(
+    grouped = joined.groupBy("cluster", "cluster_rank").agg(
         F.max_by(whole, better).alias("it"),
-        F.max_by(F.when(usable, F.struct(*date_fields)), F.when(usable, dated)).alias("dates"),
+        F.max_by(F.when(usable, F.struct(*date_fields)), F.when(usable, better)).alias("dates"),
         F.bool_or("date_conflict").alias("conflicts"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("cities")))).alias("all_cities"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("venues")))).alias("all_venues"),
