@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import vocabulary as V
-from .text import blank_to_null, collapse, without
+from .text import blank_to_null, collapse, let, without
 
 NAME_SIZE = 120
 _EDGE = " -–—,·"
@@ -56,8 +56,12 @@ def event_name(title: Column, activity: Column, artist: Column, alias: Column) -
 def cities(text: Column, names: dict[str, tuple[str, ...]] = V.CITIES) -> Column:
     """Sorted cities that the text names."""
     padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
-    said = [F.when(reduce(lambda a, b: a | b, [F.contains(padded, F.lit(n.lower())) for n in known]), city) for city, known in names.items()]
-    return F.array_sort(F.array_compact(F.array(*said)))
+
+    def said(inside: Column) -> Column:
+        return F.array(*[F.when(reduce(lambda a, b: a | b, [F.contains(inside, F.lit(n.lower())) for n in known]), city) for city, known in names.items()])
+
+    # padded is worked out once, not once for every name that is looked for in it
+    return F.array_sort(F.array_compact(let(padded, said)))
 
 
 def venues(text: Column, pattern: str = V.VENUE) -> Column:
