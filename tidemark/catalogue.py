@@ -723,6 +723,8 @@ def popup_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.add_months(F.to_date("o_orderdate"), 120)
     body = F.concat(F.lit("operating period "), F.date_format(day, "yyyy.MM.dd"), F.lit(" ~ "), F.date_format(F.date_add(day, 9), "yyyy.MM.dd"), F.lit(" Tokyo"), F.when(F.col("o_orderkey") % 2 == 0, " cushion").otherwise(""))
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("seq"), F.lit("BLUE popup").alias("title"), body.alias("body"))
+    # a file of one row group is one task's work, and reading a notice costs much more than moving it
+    rows = rows.repartition(spark.sparkContext.defaultParallelism)
     return popup.popup_rows(rows).select("seq", F.col("start_date").cast("string").alias("start_date"), F.col("end_date").cast("string").alias("end_date"), "duration_days", "country", "item_count", "verify")
 
 

@@ -23,7 +23,13 @@ CANDIDATE = "struct<start:date,end:date,score:int,evidence:string,source:string,
 
 def real_date(year: Column, month: Column, day: Column) -> Column:
     """The date, or null where there is none."""
-    return F.try_to_date(F.format_string("%04d-%02d-%02d", year.cast("int"), month.cast("int"), day.cast("int")), "yyyy-MM-dd")
+
+    def of(p: Column) -> Column:
+        length = F.dayofmonth(F.last_day(F.make_date(p["y"], p["m"], F.lit(1))))
+        real = p["y"].between(0, 9999) & p["m"].between(1, 12) & p["d"].between(1, 31)
+        return F.when(real, F.when(p["d"] <= length, F.make_date(p["y"], p["m"], p["d"])))
+
+    return let(F.struct(year.cast("int").alias("y"), month.cast("int").alias("m"), day.cast("int").alias("d")), of)
 
 
 def days(start: Column, end: Column, longest: int = LONGEST) -> Column:

@@ -124,7 +124,8 @@ def contexts(text: Column) -> Column:
     """Snippets from each period marker on, and the beginning of the text; distinct, in this order."""
 
     def after(clean: Column, low: Column, marker: str) -> Column:
-        return F.transform(find_all(low, rf"\Q{marker.lower()}\E", 0), lambda m: F.substring(clean, m["from"] + 1, SNIPPET))
+        found = F.transform(find_all(low, rf"\Q{marker.lower()}\E", 0), lambda m: F.substring(clean, m["from"] + 1, SNIPPET))
+        return F.when(F.contains(low, F.lit(marker.lower())), found).otherwise(F.array().cast("array<string>"))
 
     def of(both: Column) -> Column:
         clean, low = both["clean"], both["low"]
@@ -143,9 +144,14 @@ def _month(name: Column) -> Column:
 def periods(snippet: Column) -> Column:
     """All spans that a snippet may name: full, shortened and single numeric dates, English ranges and dates."""
 
-    def of(pattern: str, groups: int, first, last) -> Column:
-        made = F.transform(find_all(snippet, f"(?iuU){pattern}", groups), lambda m: F.struct(first(m["parts"]).alias("start"), last(m["parts"]).alias("end"), collapse(m["said"]).alias("said")).cast(_PERIOD[6:-1]))
-        return F.filter(made, lambda p: p["start"].isNotNull() & p["end"].isNotNull())
+    def of(pattern: str, groups: int, first, last, said_in: Column = snippet) -> Column:
+        # no pattern looks around itself, so a match holds the same parts alone as in its text
+        def made(said: Column) -> Column:
+            parts = F.array(*[F.regexp_extract(said, f"(?iuU){pattern}", g) for g in range(1, groups + 1)])
+            return let(parts, lambda p: F.struct(first(p).alias("start"), last(p).alias("end"), collapse(said).alias("said")).cast(_PERIOD[6:-1]))
+
+        spans = F.transform(F.regexp_extract_all(said_in, F.lit(f"(?iuU){pattern}"), F.lit(0)), made)
+        return F.filter(spans, lambda p: p["start"].isNotNull() & p["end"].isNotNull())
 
     def date(y: int, m: int, d: int):
         return lambda p: real_date(p[y], p[m], p[d])
@@ -153,13 +159,15 @@ def periods(snippet: Column) -> Column:
     def other(c: Column, default: Column) -> Column:
         return F.when(filled(c) == "", default).otherwise(c)
 
+    # English dates have a comma before their year
+    english = F.when(F.contains(snippet, F.lit(",")), snippet).otherwise("")
     return F.concat(
         of(_DATE + _TO + _DATE, 6, date(0, 1, 2), date(3, 4, 5)),
         of(_DATE + _TO + r"(\d{1,2})\s*[.\-/월]\s*(\d{1,2})\s*(?:일)?", 5, date(0, 1, 2), date(0, 3, 4)),
         of(_DATE + _TO + r"(\d{1,2})\s*(?:일)?", 4, date(0, 1, 2), date(0, 1, 3)),
         of(_DATE, 3, date(0, 1, 2), date(0, 1, 2)),
-        of(ENGLISH_RANGE, 6, lambda p: real_date(other(p[2], p[5]), _month(p[0]), p[1]), lambda p: real_date(p[5], _month(other(p[3], p[0])), p[4])),
-        of(ENGLISH_DATE, 3, lambda p: real_date(p[2], _month(p[0]), p[1]), lambda p: real_date(p[2], _month(p[0]), p[1])),
+        of(ENGLISH_RANGE, 6, lambda p: real_date(other(p[2], p[5]), _month(p[0]), p[1]), lambda p: real_date(p[5], _month(other(p[3], p[0])), p[4]), english),
+        of(ENGLISH_DATE, 3, lambda p: real_date(p[2], _month(p[0]), p[1]), lambda p: real_date(p[2], _month(p[0]), p[1]), english),
     )
 
 
@@ -167,14 +175,14 @@ def ranked_periods(title: Column, body: Column) -> Column:
     """array<struct<score, start, end, said>>: distinct spans, the best first."""
 
     def scored(snippet: Column, at: Column) -> Column:
-        low = F.lower(snippet)
-        base = F.when(_any(low, PERIOD_WORDS), 100).otherwise(0) - F.when(_any(low, COMMERCE_WORDS), 25).otherwise(0) - at
+        def base(low: Column) -> Column:
+            return F.when(_any(low, PERIOD_WORDS), 100).otherwise(0) - F.when(_any(low, COMMERCE_WORDS), 25).otherwise(0) - at
 
-        def worth(p: Column) -> Column:
+        def worth(p: Column, base: Column) -> Column:
             n = F.datediff(p["end"], p["start"]) + 1
             return F.struct((base + F.when(n.between(1, 60), 20).when(n.between(61, LONG), 5).otherwise(-30)).alias("score"), p["start"].alias("start"), p["end"].alias("end"), p["said"].alias("said"))
 
-        return F.transform(periods(snippet), worth)
+        return let(let(F.lower(snippet), base), lambda b: F.transform(periods(snippet), lambda p: worth(p, b)))
 
     every = F.flatten(F.transform(contexts(F.concat_ws(" ", filled(title), filled(body))), scored))
     numbered = F.transform(every, lambda p, i: F.struct((-p["score"]).alias("a"), i.alias("b"), p.alias("it")))
@@ -191,23 +199,30 @@ def ranked_periods(title: Column, body: Column) -> Column:
 
 def location(title: Column, body: Column) -> Column:
     """struct<country, place>: the place named first, and the labelled venue where there is one."""
-    text = F.concat_ws(" ", filled(title), filled(body))
-    low = F.lower(text)
-    hits = F.array(*[F.struct(F.position(F.lit(k), low).alias("at"), F.lit(i).alias("i"), F.lit(c).alias("country"), F.lit(p).alias("place")) for i, (k, (c, p)) in enumerate(PLACES.items())])
-    best = F.array_min(F.filter(hits, lambda h: h["at"] > 0))
-    venue = F.coalesce(*[F.nullif(F.substring(collapse(F.regexp_extract(text, f"(?iuU){p}", 1)), 1, 180), F.lit("")) for p in VENUE_LABELS])
-    return F.struct(filled(best["country"]).alias("country"), F.coalesce(venue, best["place"], F.lit("")).alias("place"))
+    known = F.array(*[F.struct(F.lit(k).alias("word"), F.lit(i).alias("i"), F.lit(c).alias("country"), F.lit(p).alias("place")) for i, (k, (c, p)) in enumerate(PLACES.items())])
+
+    def first(low: Column) -> Column:
+        hits = F.transform(F.filter(known, lambda k: F.contains(low, k["word"])), lambda k: F.struct(F.position(k["word"], low).alias("at"), k["i"].alias("i"), k["country"].alias("country"), k["place"].alias("place")))
+        return F.array_min(hits)
+
+    def venue(text: Column) -> Column:
+        said = [let(F.substring(collapse(F.regexp_extract(text, f"(?iuU){p}", 1)), 1, 180), lambda v: F.when(v != "", v)) for p in VENUE_LABELS]
+        return F.coalesce(*said)
+
+    def of(text: Column) -> Column:
+        return let(let(F.lower(text), first), lambda best: F.struct(filled(best["country"]).alias("country"), F.coalesce(venue(text), best["place"], F.lit("")).alias("place")))
+
+    return let(F.concat_ws(" ", filled(title), filled(body)), of)
 
 
 def item_count(text: Column) -> Column:
     """How many kinds of articles the text names; null if none."""
-    n = F.size(F.filter(F.array(*[F.lit(w) for w in PRODUCTS]), lambda w: F.contains(F.lower(text), w)))
-    return F.when(n > 0, n)
+    named = lambda low: F.size(F.filter(F.array(*[F.lit(w) for w in PRODUCTS]), lambda w: F.contains(low, w)))
+    return let(let(F.lower(text), named), lambda n: F.when(n > 0, n))
 
 
 def kind(title: Column, body: Column) -> Column:
-    text = F.lower(F.concat_ws(" ", filled(title), filled(body)))
-    return F.coalesce(*[F.when(_any(text, words), name) for name, words in KINDS], F.lit(OTHER_KIND))
+    return let(F.lower(F.concat_ws(" ", filled(title), filled(body))), lambda low: F.coalesce(*[F.when(_any(low, words), name) for name, words in KINDS], F.lit(OTHER_KIND)))
 
 
 def overlaps(start: Column, end: Column, first: Column, last: Column) -> Column:
