@@ -446,13 +446,10 @@ def schedule_change_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.assess(_events(spark, sf_dir, "new"), old).select("seq", "schedule_status", "activity_type", "score", F.size("previous_event_keys").alias("known"))
 
 
-_BLOCKS = "p_brand = q_brand AND p_size = q_size AND p_partkey < q_partkey"
-
-
-def _part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_name")
-    q = p.select(*[F.col(c).alias("q" + c[1:]) for c in p.columns])
-    return p.join(q, F.expr(_BLOCKS))
+def _like_parts(spark: SparkSession, sf_dir: str, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """l, r and what alike says of their names: parts of one brand and size in the order of their keys."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"), F.col("p_name").alias("name"))
+    return similarity.like_pairs(parts, ["brand", "size"], alike)
 
 
 @query(
@@ -462,16 +459,26 @@ SELECT l, r, len(list_intersect(list_distinct(x), list_distinct(y))) / len(list_
 def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Like names inside one brand and size."""
     empty = F.lit("")
-    made = _part_pairs(spark, sf_dir).withColumn("jaccard", similarity.jaccard(similarity.tokens(F.col("p_name"), empty, empty, empty), similarity.tokens(F.col("q_name"), empty, empty, empty)))
-    return made.filter("jaccard >= 0.3").select(F.col("p_partkey").alias("l"), F.col("q_partkey").alias("r"), "jaccard")
+
+    def alike(names: DataFrame) -> DataFrame:
+        worded = names.withColumn("tokens", similarity.tokens(F.col("name"), empty, empty, empty))
+        return similarity.sharing(worded, ["brand", "size"], 0.3).withColumnRenamed("alike", "jaccard")
+
+    return _like_parts(spark, sf_dir, alike)
 
 
 @query()
 def ratio_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Like names by matching blocks, bounded by length before Python sees them."""
-    near = _part_pairs(spark, sf_dir).filter(similarity.ratio_bound(F.col("p_name"), F.col("q_name")) >= 0.72)
-    made = near.withColumn("ratio", similarity.ratio("p_name", "q_name"))
-    return made.filter("ratio >= 0.72").select(F.col("p_partkey").alias("l"), F.col("q_partkey").alias("r"), "ratio")
+
+    def alike(names: DataFrame) -> DataFrame:
+        other = names.select("brand", "size", F.col("name").alias("other"))
+        near = names.join(other, ["brand", "size"]).filter(similarity.ratio_bound(F.col("name"), F.col("other")) >= 0.72)
+        # the ratio of two names is the same in every block
+        rated = near.select("name", "other").distinct().withColumn("ratio", similarity.ratio("name", "other")).filter("ratio >= 0.72")
+        return near.join(rated, ["name", "other"])
+
+    return _like_parts(spark, sf_dir, alike)
 
 
 def monthly_events(spark: SparkSession, sf_dir: str) -> DataFrame:

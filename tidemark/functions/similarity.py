@@ -6,10 +6,11 @@ lengths, so callers filter by ``ratio_bound`` first, which costs nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +58,33 @@ def jaccard(left: Column, right: Column) -> Column:
     return F.when(either == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(left, right)) / either)
 
 
+def sharing(names: DataFrame, blocks: list[str], least: float) -> DataFrame:
+    """blocks, name, other, alike: ordered pairs of names of one block (a name with itself too) whose jaccard of tokens is least (above 0) or more.
+
+    Such names share a token, so they meet by tokens: in the first that they share, and their sizes bound what they can reach.
+    """
+    words = names.select(*blocks, "name", "tokens", F.size("tokens").alias("size_of"), F.explode("tokens").alias("word"))
+    other = words.select(*blocks, "word", F.col("name").alias("other"), F.col("tokens").alias("theirs"), F.col("size_of").alias("size_other"))
+    near = words.join(other, [*blocks, "word"]).filter(F.least("size_of", "size_other") >= F.lit(least) * F.greatest("size_of", "size_other"))
+    once = near.filter(F.array_intersect("tokens", "theirs")[0] == F.col("word"))
+    return once.withColumn("alike", jaccard(F.col("tokens"), F.col("theirs"))).filter(F.col("alike") >= least).select(*blocks, "name", "other", "alike")
+
+
+def like_pairs(rows: DataFrame, blocks: list[str], alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """l, r and what alike adds: rows (key, name and blocks) of one block whose names are alike, l the lesser key.
+
+    alike is asked about the distinct names of a block and gives ordered pairs (blocks, name, other, its columns; a name
+    with itself too). Rows meet only where their names are alike, so the work grows with the pairs that come out.
+    """
+    names = rows.filter(F.col("name").isNotNull()).select(*blocks, "name").distinct()
+    pairs = alike(names)
+    added = [c for c in pairs.columns if c not in (*blocks, "name", "other")]
+    left = rows.select(*blocks, "name", F.col("key").alias("l")).join(pairs, [*blocks, "name"]).drop("name")
+    # merged: a side that looks small would be sent to all, and a name's rows are streamed here
+    met = left.hint("merge").join(rows.select(*blocks, F.col("name").alias("other"), F.col("key").alias("r")), [*blocks, "other"])
+    return met.filter("l < r").select("l", "r", *added)
+
+
 def tokens(title: Column, name: Column, artist: Column, alias: Column, stop: tuple[str, ...] = V.STOP_WORDS) -> Column:
     """Distinct words of two characters or more, without the entity's names and words that say nothing."""
     text = F.lower(F.concat_ws(" ", title, name))
