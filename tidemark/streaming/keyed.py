@@ -11,10 +11,10 @@ Events of one key are taken in the order of seq within a batch; batches must com
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -27,7 +27,7 @@ _FIELDS = [c for c in HISTORY if c not in ("event_key", "first_seen", "last_seen
 
 
 def _text(value: object) -> str:
-    """A stored field; nulls (also as pandas has them) are empty."""
+    """A stored field; nulls are empty."""
     return value if isinstance(value, str) else ""
 
 
@@ -97,23 +97,26 @@ class _Store(StatefulProcessor):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rows = handle.getMapState("rows", "own string", ", ".join(f"{c} string" for c in self.columns), self.ttl_ms)
+        # a row as one text: each read and write of a state goes field by field between Python and the JVM
+        self.rows = handle.getMapState("rows", "own string", "fields string", self.ttl_ms)
+
+    def put(self, own: str, values: tuple[str, ...]) -> None:
+        self.rows.updateValue((own,), (json.dumps(values),))
 
     def fold(self, rows: dict[str, dict], events: list[dict]) -> dict[str, dict]:
         raise NotImplementedError
 
-    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: object) -> None:
-        for row in initialState[list(self.columns)].itertuples(index=False):
-            values = tuple(_text(v) for v in row)
-            self.rows.updateValue((dict(zip(self.columns, values))[self.own],), values)
+    def handleInitialState(self, key: tuple, initialState: Row, timerValues: object) -> None:
+        self.put(_text(initialState[self.own]), tuple(_text(initialState[c]) for c in self.columns))
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        events = [e for frame in rows for e in frame.to_dict("records")]
-        known = {k[0]: dict(zip(self.columns, v)) for k, v in self.rows.iterator()}
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        events = [row.asDict() for row in rows]
+        known = {k[0]: dict(zip(self.columns, json.loads(v[0]))) for k, v in self.rows.iterator()}
         changed = self.fold(known, events)
         for k, row in changed.items():
-            self.rows.updateValue((k,), tuple(row[c] for c in self.columns))
-        yield pd.DataFrame([[row[c] for c in self.columns] for row in changed.values()], columns=list(self.columns), dtype=object)
+            values = tuple(row[c] for c in self.columns)
+            self.put(k, values)
+            yield Row(**dict(zip(self.columns, values)))
 
     def close(self) -> None:
         pass
@@ -137,7 +140,8 @@ def _changes(rows: DataFrame, keys: list[str], store: _Store, initial: DataFrame
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     first = initial.select(*[F.coalesce(c, F.lit("")).alias(c) for c in store.columns]).groupBy(*keys) if initial is not None else None
     mode = "ProcessingTime" if store.ttl_ms else "None"
-    return rows.groupBy(*keys).transformWithStateInPandas(store, text_schema(store.columns), "Update", mode, first)
+    # rows, not frames: most keys have few rows in a batch, and a frame for each of them costs more than its rows
+    return rows.groupBy(*keys).transformWithState(store, text_schema(store.columns), "Update", mode, first)
 
 
 def history_changes(events: DataFrame, *, initial: DataFrame | None = None, ttl_ms: int | None = None) -> DataFrame:
